@@ -1,7 +1,7 @@
 """Detection and anonymization of personal data as Spark jobs."""
 
-from .functions.masks import register_mask
-from .operators.anonymize import anonymize, anonymize_table, process_table, register_python_mask
+from .functions.masks import register_mask, register_python_mask
+from .operators.anonymize import anonymize, anonymize_table, process_table
 from .operators.detect import Recognizer, detect
 from .operators.findings import findings
 from .operators.lexicon import lexicon_findings

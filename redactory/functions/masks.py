@@ -1,46 +1,47 @@
-"""Masking strategies as functions ``Column -> Column`` and the registry that builds them.
+"""Masking strategies as functions from SQL expression to SQL expression, and their registry.
 
-Lengths count code points; white space, letters and digits are the ASCII classes.
+Lengths count code points; white space, letters and digits are the ASCII classes. Use
+``F.expr(mask_email("email"))`` to mask a column directly.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+import pandas as pd
 
-from .text import let, star_after, strip
+from .text import Sql, case, each, keep, let, lit, star_after, strip, struct
 
-Mask = Callable[[Column], Column]
+Mask = Callable[[Sql], Sql]
 
 # Street suffixes that an address mask leaves readable.
 STREET_SUFFIXES = ("st", "ave", "rd", "dr", "ln", "blvd", "way", "ct", "pl")
 
 
 def replace_with(new_value: str) -> Mask:
-    return lambda value: F.lit(new_value)
+    return lambda value: lit(new_value)
 
 
 def mask_chars(count: int, from_end: bool = True, char: str = "*") -> Mask:
     """Mask ``count`` characters at one end; a shorter value is masked completely."""
 
-    def apply(value: Column) -> Column:
-        hidden = F.least(F.length(value), F.lit(count))
-        stars = F.repeat(F.lit(char), hidden)
+    def apply(value: Sql) -> Sql:
+        hidden = f"least(length({value}), {int(count)})"
+        stars = f"repeat({lit(char)}, {hidden})"
         if from_end:
-            return F.concat(F.left(value, F.length(value) - hidden), stars)
-        return F.concat(stars, F.substring(value, hidden + 1, F.length(value)))
+            return f"concat(left({value}, length({value}) - {hidden}), {stars})"
+        return f"concat({stars}, substring({value}, {hidden} + 1))"
 
     return apply
 
 
 def hash_with(hash_type: str = "sha256") -> Mask:
     hashes: dict[str, Mask] = {
-        "sha256": lambda v: F.sha2(v, 256),
-        "sha512": lambda v: F.sha2(v, 512),
-        "md5": F.md5,
+        "sha256": lambda v: f"sha2({v}, 256)",
+        "sha512": lambda v: f"sha2({v}, 512)",
+        "md5": lambda v: f"md5({v})",
     }
     if hash_type not in hashes:
         raise ValueError(f"unknown hash_type {hash_type!r}; known: {sorted(hashes)}")
@@ -48,14 +49,18 @@ def hash_with(hash_type: str = "sha256") -> Mask:
 
 
 def encrypt_with(key: str, mode: str = "GCM") -> Mask:
-    """AES, hex-encoded. GCM draws a new IV per value; ECB is deterministic and can be joined on."""
+    """AES, hex-encoded. GCM draws a new IV per value; ECB is deterministic and can be joined on.
+
+    The key becomes a literal of the plan: set ``spark.sql.redaction.string.regex`` to keep it out
+    of plan displays and event logs.
+    """
     _check_key(key)
-    return lambda value: F.hex(F.aes_encrypt(value.cast("binary"), F.lit(key).cast("binary"), F.lit(mode)))
+    return lambda value: f"hex(aes_encrypt(cast({value} AS binary), cast({lit(key)} AS binary), {lit(mode)}))"
 
 
 def decrypt_with(key: str, mode: str = "GCM") -> Mask:
     _check_key(key)
-    return lambda value: F.aes_decrypt(F.unhex(value), F.lit(key).cast("binary"), F.lit(mode)).cast("string")
+    return lambda value: f"cast(aes_decrypt(unhex({value}), cast({lit(key)} AS binary), {lit(mode)}) AS string)"
 
 
 def _check_key(key: str) -> None:
@@ -63,66 +68,73 @@ def _check_key(key: str) -> None:
         raise ValueError("encryption needs a key of 16, 24 or 32 bytes")
 
 
-def redact(value: Column) -> Column:
-    return F.lit("")
+def redact(value: Sql) -> Sql:
+    return "''"
 
 
-def mask_email(value: Column) -> Column:
+def mask_email(value: Sql) -> Sql:
     """Two characters of the user, one of the first domain label, and the last label stay."""
-    user = F.substring_index(value, "@", 1)
-    short_or = lambda v, keep: F.when(F.length(v) <= 2, v).otherwise(star_after(v, keep))
+    short_or = lambda v, shown: case(f"length({v}) <= 2", v, star_after(v, shown))
 
-    def address(parts: Column) -> Column:
-        labels = F.split(parts["domain"], "[.]", -1)
-        host = F.when(
-            F.contains(parts["domain"], F.lit(".")),
-            F.concat(short_or(F.get(labels, F.lit(0)), 1), F.lit("."), F.element_at(labels, -1)),
-        ).otherwise(parts["domain"])
-        return F.concat(short_or(parts["user"], 2), F.lit("@"), host)
+    def address(p: Sql) -> Sql:
+        host = f"concat({short_or(f'{p}.labels[0]', 1)}, '.', element_at({p}.labels, -1))"
+        return f"concat({short_or(f'{p}.user', 2)}, '@', {case(f'size({p}.labels) > 1', host, f'{p}.labels[0]')})"
 
-    parts = F.struct(
-        user.alias("user"), F.substring(value, F.length(user) + 2, F.length(value)).alias("domain")
-    )
-    return F.when(F.contains(value, F.lit("@")), let(parts, address)).otherwise(value)
+    user = f"substring_index({value}, '@', 1)"
+    labels = f"split(substring({value}, length({user}) + 2), '[.]', -1)"
+    return case(f"contains({value}, '@')", let(struct(user=user, labels=labels), address), value)
 
 
-def mask_person(value: Column) -> Column:
+def mask_person(value: Sql) -> Sql:
     """Two characters of every word stay; words of at most two characters stay whole."""
-    words = F.filter(F.split(value, r"\s+"), lambda w: w != "")
-    return F.array_join(
-        F.transform(words, lambda w: F.when(F.length(w) <= 2, w).otherwise(star_after(w, 2))), " "
-    )
+    words = keep(f"split({value}, {lit(r'\s+')})", lambda w: f"{w} != ''")
+    return f"array_join({each(words, lambda w: case(f'length({w}) <= 2', w, star_after(w, 2)))}, ' ')"
 
 
-def mask_location(value: Column) -> Column:
+def mask_location(value: Sql) -> Sql:
     """One character of every word or number stays, short words and street suffixes stay whole."""
+    suffixes = ", ".join(map(lit, STREET_SUFFIXES))
 
-    def word(w: Column) -> Column:
-        number = w.rlike("^[0-9]+$")
-        kept = (number & (F.length(w) == 1)) | (
-            ~number & ((F.length(w) <= 2) | F.lower(w).isin(*STREET_SUFFIXES))
+    def word(w: Sql) -> Sql:
+        readable = case(
+            f"{w} RLIKE '^[0-9]+$'", f"length({w}) = 1", f"length({w}) <= 2 OR lower({w}) IN ({suffixes})"
         )
-        return F.when(kept, w).otherwise(star_after(w, 1))
+        return case(readable, w, star_after(w, 1))
+
+    parts = keep(each(f"split({value}, ',')", strip), lambda p: f"{p} != ''")
+    part = lambda p: f"array_join({each(f'split({p}, {lit(r"\s+")})', word)}, ' ')"
+    return f"array_join({each(parts, part)}, ', ')"
+
+
+@dataclass(frozen=True)
+class PythonMask:
+    """A mask with a Python body, run on Arrow batches: ``body(Series[str]) -> Series[str]``."""
 
-    parts = F.filter(F.transform(F.split(value, ","), strip), lambda p: p != "")
-    return F.array_join(
-        F.transform(parts, lambda p: F.array_join(F.transform(F.split(p, r"\s+"), word), " ")), ", "
-    )
+    body: Callable[[pd.Series], pd.Series]
 
 
-NAMED_MASKS: dict[str, Mask] = {
+NAMED_MASKS: dict[str, Mask | PythonMask] = {
     "mask_email": mask_email,
     "mask_person": mask_person,
     "mask_location": mask_location,
 }
 
 
-def register_mask(name: str, mask: Mask) -> None:
-    """Make ``mask`` available to policies as ``{"strategy": "custom", "lambda": name}``."""
-    NAMED_MASKS[name] = mask
+def register_mask(name: str, mask: Mask | str) -> None:
+    """Offer a mask to policies as ``custom`` with ``lambda: name``.
+
+    ``mask`` is a SQL template such as ``"concat(left({value}, 1), '***')"`` or a function from SQL
+    expression to SQL expression.
+    """
+    NAMED_MASKS[name] = (lambda value: mask.format(value=value)) if isinstance(mask, str) else mask
+
+
+def register_python_mask(name: str, body: Callable[[pd.Series], pd.Series]) -> None:
+    """Offer a Python function over batches of values as a custom mask. Prefer ``register_mask``."""
+    NAMED_MASKS[name] = PythonMask(body)
 
 
-def build_mask(strategy: str, entity: str, params: Mapping[str, Any], defaults: Mapping[str, Any]) -> Mask:
+def build_mask(strategy: str, entity: str, params: Mapping[str, Any], defaults: Mapping[str, Any]) -> Mask | PythonMask:
     """Resolve a strategy and its parameters to a mask when the plan is built."""
     if strategy == "replace":
         return replace_with(params.get("new_value", f"<{entity}>"))
@@ -142,8 +154,6 @@ def build_mask(strategy: str, entity: str, params: Mapping[str, Any], defaults:
         return redact
     if strategy == "custom":
         name = params.get("lambda")
-        if callable(name):
-            return name
         if name not in NAMED_MASKS:
             raise ValueError(f"{entity}: unknown custom mask {name!r}; known: {sorted(NAMED_MASKS)}")
         return NAMED_MASKS[name]

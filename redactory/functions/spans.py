@@ -1,329 +1,245 @@
 """Spans: building them from regular expressions, resolving overlaps, rewriting text.
 
 A span is ``struct<entity,start,end,score,value>`` with 0-based code-point offsets and an
-exclusive end; a cell carries ``array<span>``. Everything here is a Column expression.
+exclusive end; a cell carries ``array<span>``. Every function takes and returns SQL expressions.
 
-Cost per cell is linear in the hits except for Spark's own array appends, which copy; running
-folds therefore work block by block, so that a cell with very many hits stays cheap.
+Cost per cell grows linearly with its hits: Spark copies an array on every append and walks a
+string from its beginning on every ``substring``, so long folds and reads work block by block.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from .text import let
+from .text import Sql, case, each, fn, fold, keep, let, lit, struct
 
 SPAN_TYPE = "struct<entity:string,start:int,end:int,score:double,value:string>"
 SPANS_TYPE = f"array<{SPAN_TYPE}>"
+NO_SPANS = f"cast(array() AS {SPANS_TYPE})"
 BLOCK = 128
+PIECE = 64
 
 
-def no_spans() -> Column:
-    return F.array().cast(SPANS_TYPE)
-
+def make_span(entity: Sql, start: Sql, end: Sql, score: Sql, value: Sql) -> Sql:
+    return struct(entity=entity, start=start, end=end, score=score, value=value)
 
-def make_span(entity, start: Column, end: Column, score, value: Column) -> Column:
-    as_column = lambda v: v if isinstance(v, Column) else F.lit(v)
-    return F.struct(
-        as_column(entity).alias("entity"),
-        start.cast("int").alias("start"),
-        end.cast("int").alias("end"),
-        as_column(score).cast("double").alias("score"),
-        value.alias("value"),
-    )
 
-
-def running(values: Column, zero: int, step: Callable[[Column, Column], Column]) -> Column:
+def running(values: Sql, zero: int, step: Callable[[Sql, Sql], Sql]) -> Sql:
     """Running fold of a non-empty ``array<int>``: element i is the fold of elements 0..i."""
 
-    def one_block(outer: Column, block: Column) -> Column:
-        def advance(acc: Column, v: Column) -> Column:
-            nxt = step(acc["last"], v)
-            return F.struct(nxt.alias("last"), F.array_append(acc["seen"], nxt).alias("seen"))
-
-        return F.aggregate(
-            block,
-            F.struct(outer["last"].alias("last"), F.array().cast("array<int>").alias("seen")),
-            advance,
-            lambda acc: F.struct(
-                acc["last"].alias("last"), F.array_append(outer["blocks"], acc["seen"]).alias("blocks")
-            ),
+    def one_block(outer: Sql, block: Sql) -> Sql:
+        advance = lambda acc, v: let(
+            step(f"{acc}.last", v), lambda n: struct(last=n, seen=f"array_append({acc}.seen, {n})")
         )
+        finish = lambda acc: struct(last=f"{acc}.last", blocks=f"array_append({outer}.blocks, {acc}.seen)")
+        return fold(block, struct(last=f"{outer}.last", seen="cast(array() AS array<int>)"), advance, finish)
 
-    def fold(bound: Column) -> Column:
-        blocks = F.transform(
-            F.sequence(F.lit(1), F.size(bound), F.lit(BLOCK)), lambda first: F.slice(bound, first, F.lit(BLOCK))
-        )
-        start = F.struct(F.lit(zero).alias("last"), F.array().cast("array<array<int>>").alias("blocks"))
-        return F.flatten(F.aggregate(blocks, start, one_block, lambda acc: acc["blocks"]))
+    def blocks(bound: Sql) -> Sql:
+        cut = each(f"sequence(1, size({bound}), {BLOCK})", lambda first: f"slice({bound}, {first}, {BLOCK})")
+        start = struct(last=str(zero), blocks="cast(array() AS array<array<int>>)")
+        return f"flatten({fold(cut, start, one_block, lambda acc: f'{acc}.blocks')})"
 
-    return let(values, fold)
+    return let(values, blocks)
 
 
-def regex_spans(text: Column, entity: str, regex: str, score) -> Column:
-    """All non-overlapping matches of ``regex`` as spans.
+def locate(text: Sql, regex: Sql, hits: Sql, entity: Sql, score_of: Callable[[Sql], Sql]) -> Sql:
+    """Spans of ``hits``, the non-empty list of all matches of ``regex`` in ``text``.
 
-    ``score`` is a number or a function of the matched value; a NULL score discards the match.
-    The text is searched once; only cells with a hit are searched again, to find the gaps
-    between matches from which the offsets follow.
+    Offsets follow from the gaps between the matches, so only texts with a match are searched a
+    second time. ``score_of`` maps a matched value to its score.
     """
-    score_of = score if callable(score) else (lambda value: F.lit(float(score)))
-
-    def located(matches: Column) -> Column:
-        gaps = F.slice(F.split(text, regex, -1), F.lit(1), F.size(matches))
-        advance = F.zip_with(gaps, matches, lambda gap, hit: F.length(gap) + F.length(hit))
-        ends = running(advance, 0, lambda total, n: total + n)
-        return F.zip_with(
-            matches, ends, lambda hit, end: make_span(entity, end - F.length(hit), end, score_of(hit), hit)
-        )
+    gaps = f"slice(split({text}, {regex}, -1), 1, size({hits}))"
+    advance = f"zip_with({gaps}, {hits}, {fn(lambda gap, hit: f'length({gap}) + length({hit})')})"
+    as_span = lambda hit, end: make_span(entity, f"{end} - length({hit})", end, score_of(hit), hit)
+    return f"zip_with({hits}, {running(advance, 0, lambda total, n: f'{total} + {n}')}, {fn(as_span)})"
+
 
-    found = let(
-        F.regexp_extract_all(text, F.lit(regex), F.lit(0)),
-        lambda matches: F.when(F.size(matches) > 0, located(matches)).otherwise(no_spans()),
+def regex_spans(text: Sql, entity: str, regex: str, score: float) -> Sql:
+    """All non-overlapping matches of one regular expression as spans in text order."""
+    found = lambda hits: locate(text, lit(regex), hits, lit(entity), lambda value: lit(float(score)))
+    return let(
+        f"regexp_extract_all({text}, {lit(regex)}, 0)", lambda hits: case(f"size({hits}) > 0", found(hits), NO_SPANS)
     )
-    return F.filter(found, lambda s: s["score"].isNotNull()) if callable(score) else found
 
 
-def whole_value_span(text: Column, entity: str, score: float) -> Column:
+def whole_value_span(text: Sql, entity: str, score: float) -> Sql:
     """The complete value as one span."""
-    return F.array(make_span(entity, F.lit(0), F.length(text), score, text))
+    return f"array({make_span(lit(entity), '0', f'length({text})', lit(float(score)), text)})"
 
 
-def _blockwise(
-    text: Column, spans: Column, first_char: Callable[[Column], Column], body: Callable[..., Column]
-) -> Column:
-    """``transform`` over sorted spans for bodies that read the text around each span.
+def read_around(text: Sql, spans: Sql, first_char: Callable[[Sql], Sql], body: Callable[[Sql, Sql, Sql, Sql], Sql]) -> Sql:
+    """``transform`` over sorted, non-empty spans for bodies that read the text around each span.
 
-    ``substring`` walks a string from its beginning, so reading the whole text once per span is
-    quadratic. Each block of spans gets its own piece of text: ``body(span, i, piece, offset)``,
-    where ``offset`` is the position of the piece in the text and ``first_char(i)`` tells where
-    the piece of the block that starts with span ``i`` must begin.
+    Each block of spans gets its own piece of the text: ``body(span, i, piece, offset)``, where
+    ``offset`` is the position of the piece and ``first_char(i)`` tells where the piece of the
+    block that starts with span ``i`` must begin. It ends where the last span of the block ends.
     """
-    size = 64
-
-    def one_block(at: Column) -> Column:
-        block = F.slice(spans, at + 1, F.lit(size))
-        last = F.least(at + size, F.size(spans)) - 1
-        window = F.struct(
-            F.substring(text, first_char(at) + 1, F.get(spans, last)["end"] - first_char(at)).alias("piece"),
-            first_char(at).alias("offset"),
-        )
-        return let(
-            window, lambda w: F.transform(block, lambda s, i: body(s, at + i, w["piece"], w["offset"]))
-        )
 
-    return F.flatten(F.transform(F.sequence(F.lit(0), F.size(spans) - 1, F.lit(size)), one_block))
+    def one_block(at: Sql) -> Sql:
+        block = f"slice({spans}, {at} + 1, {PIECE})"
+        until = f"get({spans}, least({at} + {PIECE}, size({spans})) - 1).end"
+        cut = lambda first: struct(piece=f"substring({text}, {first} + 1, {until} - {first})", offset=first)
+        within = lambda w: each(block, lambda s, i: body(s, f"({at} + {i})", f"{w}.piece", f"{w}.offset"))
+        return let(let(first_char(at), cut), within)
 
+    return f"flatten({each(f'sequence(0, size({spans}) - 1, {PIECE})', one_block)})"
 
-def boost_by_context(
-    spans: Column, text: Column, words: list[str] | tuple[str, ...], window: int = 60, boost: float = 0.35
-) -> Column:
-    """Raise the score of spans preceded, within ``window`` characters, by one of ``words``.
 
-    ``spans`` must be in text order.
+def boost_by_context(text: Sql, spans: Sql, words: Sql, window: int = 60, boost: float = 0.35) -> Sql:
+    """Raise the score of spans preceded, within ``window`` characters, by one of ``words``, an
+    array of lower-case strings. ``spans`` must be in text order and not empty.
     """
-    if not words:
-        return spans
+    opening = lambda start: f"greatest({start} - {window}, 0)"
 
-    def judged(ahead: Column, score: Column) -> Column:
-        near = F.lit(False)
-        for word in words:
-            near = near | F.contains(ahead, F.lit(word.lower()))
-        return F.when(near, F.least(F.lit(1.0), score + boost)).otherwise(score)
+    def rescored(span: Sql, i: Sql, piece: Sql, offset: Sql) -> Sql:
+        first = opening(f"{span}.start")
+        ahead = f"lower(substring({piece}, {first} - {offset} + 1, {span}.start - {first}))"
+        near = lambda a: f"exists({words}, {fn(lambda w: f'contains({a}, {w})')})"
+        raised = f"least(1.0D, {span}.score + {lit(boost)})"
+        score = let(ahead, lambda a: case(near(a), raised, f"{span}.score"))
+        return make_span(f"{span}.entity", f"{span}.start", f"{span}.end", score, f"{span}.value")
 
-    def boosted(found: Column) -> Column:
-        opening = lambda start: F.greatest(start - window, F.lit(0))
+    return let(spans, lambda s: read_around(text, s, lambda at: opening(f"get({s}, {at}).start"), rescored))
 
-        def rescored(span: Column, i: Column, piece: Column, offset: Column) -> Column:
-            first = opening(span["start"])
-            ahead = F.lower(F.substring(piece, first - offset + 1, span["start"] - first))
-            score = let(ahead, lambda a: judged(a, span["score"]))
-            return make_span(span["entity"], span["start"], span["end"], score, span["value"])
 
-        return F.when(
-            F.size(found) > 0,
-            _blockwise(text, found, lambda at: opening(F.get(found, at)["start"]), rescored),
-        ).otherwise(found)
-
-    return let(spans, boosted)
-
-
-def at_least(spans: Column, threshold: float | None) -> Column:
+def at_least(spans: Sql, threshold: float | None) -> Sql:
     """Confidence filter; no threshold (or 0) keeps everything."""
-    return F.filter(spans, lambda s: s["score"] >= float(threshold)) if threshold else spans
+    return keep(spans, lambda s: f"{s}.score >= {lit(float(threshold))}") if threshold else spans
 
 
-def only_entities(spans: Column, entities: list[str] | None) -> Column:
+def only_entities(spans: Sql, entities: Sequence[str]) -> Sql:
     """Entity allow-list; an empty list keeps everything."""
-    return F.filter(spans, lambda s: s["entity"].isin(list(entities))) if entities else spans
+    listed = ", ".join(map(lit, entities))
+    return keep(spans, lambda s: f"{s}.entity IN ({listed})") if entities else spans
 
 
-def distinct_spans(spans: Column) -> Column:
+def distinct_spans(spans: Sql) -> Sql:
     """Sort by (entity, start, end) and keep the best score of identical spans."""
 
-    def dedupe(ordered: Column) -> Column:
-        def differs_from_next(span: Column, i: Column) -> Column:
-            nxt = F.get(ordered, i + 1)
-            same = (nxt["entity"] == span["entity"]) & (nxt["start"] == span["start"]) & (nxt["end"] == span["end"])
-            return ~F.coalesce(same, F.lit(False))
+    def dedupe(ordered: Sql) -> Sql:
+        def differs(s: Sql, i: Sql) -> Sql:
+            same = lambda n: f"coalesce({n}.entity = {s}.entity AND {n}.start = {s}.start AND {n}.end = {s}.end, false)"
+            return "NOT " + let(f"get({ordered}, {i} + 1)", same)
 
-        return F.filter(ordered, differs_from_next)
+        return keep(ordered, differs)
 
-    return F.when(F.size(spans) > 1, let(F.sort_array(spans), dedupe)).otherwise(spans)
+    return let(spans, lambda s: case(f"size({s}) > 1", let(f"sort_array({s})", dedupe), s))
 
 
-def _placed(start: Column, end: Column, entity: Column, score: Column, value: Column) -> Column:
+def _placed(start: Sql, end: Sql, entity: Sql, score: Sql, value: Sql) -> Sql:
     """A span with the offset first, so that natural order is text order."""
-    return F.struct(
-        start.alias("start"), end.alias("end"), entity.alias("entity"), score.alias("score"), value.alias("value")
-    )
+    return struct(start=start, end=end, entity=entity, score=score, value=value)
 
 
-def _by_start(spans: Column) -> Column:
-    return F.sort_array(
-        F.transform(spans, lambda s: _placed(s["start"], s["end"], s["entity"], s["score"], s["value"]))
-    )
-
-
-def _groups(ordered: Column) -> Column:
+def _groups(ordered: Sql) -> Sql:
     """Cut spans in text order into runs that do not overlap each other: ``array<array<span>>``."""
 
-    def cut(reach: Column) -> Column:
-        opens = lambda i: (i == 0) | (F.get(ordered, i)["start"] >= F.get(reach, i - 1))
-        heads = F.filter(F.sequence(F.lit(0), F.size(ordered) - 1), opens)
-
-        def runs(first: Column) -> Column:
-            return F.transform(
-                first,
-                lambda at, i: F.slice(
-                    ordered, at + 1, F.coalesce(F.get(first, i + 1), F.size(ordered)) - at
-                ),
-            )
-
-        return let(heads, runs)
+    def cut(reach: Sql) -> Sql:
+        opens = lambda i: f"{i} = 0 OR get({ordered}, {i}).start >= get({reach}, {i} - 1)"
+        heads = keep(f"sequence(0, size({ordered}) - 1)", opens)
+        until = lambda first, i: f"coalesce(get({first}, {i} + 1), size({ordered}))"
+        run = lambda first: each(first, lambda at, i: f"slice({ordered}, {at} + 1, {until(first, i)} - {at})")
+        return let(heads, run)
 
-    return let(running(F.transform(ordered, lambda s: s["end"]), 0, lambda far, end: F.greatest(far, end)), cut)
+    ends = each(ordered, lambda s: f"{s}.end")
+    return let(running(ends, 0, lambda far, end: f"greatest({far}, {end})"), cut)
 
 
-def _hulls(spans: Column) -> Column:
+def _hulls(spans: Sql) -> Sql:
     """Merge overlapping spans of one entity into their hull, keeping the best score."""
 
-    def hull(group: Column) -> Column:
-        def extend(acc: Column, s: Column) -> Column:
-            new = F.greatest(s["end"] - acc["end"], F.lit(0))
-            return F.struct(
-                (acc["end"] + new).alias("end"),
-                F.concat(acc["value"], F.right(s["value"], new)).alias("value"),
-                F.greatest(acc["score"], s["score"]).alias("score"),
+    def hull(group: Sql) -> Sql:
+        def extend(acc: Sql, s: Sql) -> Sql:
+            return let(
+                f"greatest({s}.end - {acc}.end, 0)",
+                lambda new: struct(
+                    end=f"{acc}.end + {new}",
+                    value=f"concat({acc}.value, right({s}.value, {new}))",
+                    score=f"greatest({acc}.score, {s}.score)",
+                ),
             )
 
-        head = group[0]
-        start = F.struct(head["end"].alias("end"), head["value"].alias("value"), head["score"].alias("score"))
-        return F.aggregate(
-            group,
-            start,
-            extend,
-            lambda acc: _placed(head["start"], acc["end"], head["entity"], acc["score"], acc["value"]),
-        )
+        head = f"{group}[0]"
+        start = struct(end=f"{head}.end", value=f"{head}.value", score=f"{head}.score")
+        finish = lambda a: _placed(f"{head}.start", f"{a}.end", f"{head}.entity", f"{a}.score", f"{a}.value")
+        return case(f"size({group}) = 1", head, fold(group, start, extend, finish))
 
-    def of_entity(entity: Column) -> Column:
-        return let(
-            F.filter(spans, lambda s: s["entity"] == entity),
-            lambda own: F.transform(_groups(own), hull),
-        )
-
-    return F.flatten(F.transform(F.array_distinct(F.transform(spans, lambda s: s["entity"])), of_entity))
+    of_entity = lambda entity: let(
+        keep(spans, lambda s: f"{s}.entity = {entity}"), lambda own: each(_groups(own), hull)
+    )
+    return f"flatten({each(f'array_distinct({each(spans, lambda s: f"{s}.entity")})', of_entity)})"
 
 
-def _claim(group: Column) -> Column:
+def _claim(group: Sql) -> Sql:
     """Give every character of an overlapping group to the strongest span that covers it.
 
     Strength is (score desc, length desc, start asc, entity asc). This equals placing the spans
     greedily in that order and clipping each to what is still uncovered, so no detected
     character is left out.
     """
-
-    def owner(left: Column) -> Column:
-        covering = F.filter(group, lambda s: (s["start"] <= left) & (left < s["end"]))
-        return F.array_min(
-            F.transform(
-                covering,
-                lambda s: F.struct(
-                    (-s["score"]).alias("worst"),
-                    (s["start"] - s["end"]).alias("shortest"),
-                    s["start"].alias("start"),
-                    s["entity"].alias("entity"),
-                    s["value"].alias("value"),
-                ),
-            )
-        )
-
-    edges = F.sort_array(
-        F.array_distinct(F.concat(F.transform(group, lambda s: s["start"]), F.transform(group, lambda s: s["end"])))
+    rank = lambda s: struct(
+        worst=f"-{s}.score", shortest=f"{s}.start - {s}.end", start=f"{s}.start", entity=f"{s}.entity", value=f"{s}.value"
     )
+    covering = lambda left: keep(group, lambda s: f"{s}.start <= {left} AND {left} < {s}.end")
+    owner = lambda left: f"array_min({each(covering(left), rank)})"
+    edges = f"concat({each(group, lambda s: f'{s}.start')}, {each(group, lambda s: f'{s}.end')})"
 
-    def pieces(cuts: Column) -> Column:
-        lefts = F.slice(cuts, F.lit(1), F.size(cuts) - 1)
-        owned = F.transform(lefts, lambda left: F.struct(left.alias("left"), owner(left).alias("owner")))
+    def pieces(cuts: Sql) -> Sql:
+        owned = each(f"slice({cuts}, 1, size({cuts}) - 1)", lambda left: struct(left=left, owner=owner(left)))
 
-        def merged(segments: Column) -> Column:
-            changes = F.filter(
-                segments, lambda s, i: (i == 0) | (F.get(segments, i - 1)["owner"] != s["owner"])
-            )
-            def piece(runs: Column, s: Column, i: Column) -> Column:
-                owner, left = s["owner"], s["left"]
-                right = F.coalesce(F.get(runs, i + 1)["left"], F.element_at(cuts, -1))
-                value = F.substring(owner["value"], left - owner["start"] + 1, right - left)
-                return _placed(left, right, owner["entity"], -owner["worst"], value)
+        def merged(segments: Sql) -> Sql:
+            changes = keep(segments, lambda s, i: f"{i} = 0 OR get({segments}, {i} - 1).owner != {s}.owner")
+
+            def piece(runs: Sql, s: Sql, i: Sql) -> Sql:
+                right = f"coalesce(get({runs}, {i} + 1).left, element_at({cuts}, -1))"
+                own = f"{s}.owner"
+                cut = lambda r: _placed(
+                    f"{s}.left", r, f"{own}.entity", f"-{own}.worst",
+                    f"substring({own}.value, {s}.left - {own}.start + 1, {r} - {s}.left)",
+                )
+                return let(right, cut)
 
-            return let(changes, lambda runs: F.transform(runs, lambda s, i: piece(runs, s, i)))
+            return let(changes, lambda runs: each(runs, lambda s, i: piece(runs, s, i)))
 
         return let(owned, merged)
 
-    return let(edges, pieces)
+    return let(f"sort_array(array_distinct({edges}))", pieces)
 
 
-def resolve_spans(spans: Column) -> Column:
+def resolve_spans(spans: Sql) -> Sql:
     """Disjoint spans in text order that cover exactly the characters covered by ``spans``.
 
     Overlaps of one entity become their hull; overlaps of different entities go to the stronger
     span, the weaker one keeping its uncovered part. Cells without overlaps only pay a sort.
     """
-
-    def settle(ordered: Column) -> Column:
-        def disjoint(groups: Column) -> Column:
-            return F.flatten(F.transform(groups, lambda g: F.when(F.size(g) == 1, g).otherwise(_claim(g))))
-
-        overlapping = F.exists(
-            F.sequence(F.lit(1), F.size(ordered) - 1),
-            lambda i: F.get(ordered, i)["start"] < F.get(ordered, i - 1)["end"],
-        )
-        settled = let(F.sort_array(_hulls(ordered)), lambda hulls: let(_groups(hulls), disjoint))
-        return F.when((F.size(ordered) > 1) & overlapping, settled).otherwise(ordered)
-
-    final = F.transform(
-        let(_by_start(spans), settle),
-        lambda s: make_span(s["entity"], s["start"], s["end"], s["score"], s["value"]),
+    placed = each(spans, lambda s: _placed(f"{s}.start", f"{s}.end", f"{s}.entity", f"{s}.score", f"{s}.value"))
+
+    def settle(ordered: Sql) -> Sql:
+        collide = fn(lambda i: f"get({ordered}, {i}).start < get({ordered}, {i} - 1).end")
+        overlapping = f"size({ordered}) > 1 AND exists(sequence(1, size({ordered}) - 1), {collide})"
+        disjoint = lambda groups: f"flatten({each(groups, lambda g: case(f'size({g}) = 1', g, _claim(g)))})"
+        settled = let(f"sort_array({_hulls(ordered)})", lambda hulls: let(_groups(hulls), disjoint))
+        return case(overlapping, settled, ordered)
+
+    final = each(
+        let(f"sort_array({placed})", settle),
+        lambda s: make_span(f"{s}.entity", f"{s}.start", f"{s}.end", f"{s}.score", f"{s}.value"),
     )
-    return F.when(F.size(spans) > 0, final).otherwise(no_spans())
+    return case(f"size({spans}) > 0", final, NO_SPANS)
 
 
-def rewrite(text: Column, resolved: Column, mask: Callable[[Column, Column], Column]) -> Column:
+def rewrite(text: Sql, resolved: Sql, mask: Callable[[Sql, Sql], Sql]) -> Sql:
     """Replace each resolved span by ``mask(span, index)``; text without spans is returned as is."""
 
-    def assemble(spans: Column) -> Column:
-        end_before = lambda i: F.coalesce(F.get(spans, i - 1)["end"], F.lit(0))
+    def assemble(spans: Sql) -> Sql:
+        end_before = lambda i: f"coalesce(get({spans}, {i} - 1).end, 0)"
 
-        def piece(span: Column, i: Column, part: Column, offset: Column) -> Column:
-            gap = F.substring(part, end_before(i) - offset + 1, span["start"] - end_before(i))
-            return F.concat(gap, mask(span, i))
+        def piece(span: Sql, i: Sql, part: Sql, offset: Sql) -> Sql:
+            gap = lambda last: f"substring({part}, {last} - {offset} + 1, {span}.start - {last})"
+            return f"concat({let(end_before(i), gap)}, {mask(span, i)})"
 
-        tail = F.substring(text, F.element_at(spans, -1)["end"] + 1, F.length(text))
-        return F.when(
-            F.size(spans) > 0, F.concat(F.array_join(_blockwise(text, spans, end_before, piece), ""), tail)
-        ).otherwise(text)
+        tail = f"substring({text}, element_at({spans}, -1).end + 1)"
+        body = f"concat(array_join({read_around(text, spans, end_before, piece)}, ''), {tail})"
+        return case(f"size({spans}) > 0", body, text)
 
     return let(resolved, assemble)

@@ -1,36 +1,86 @@
-"""Small text expressions shared by detection and masking."""
+"""Writing SQL expressions: literals, lambdas, bindings, and a few text functions.
+
+Expressions are composed as SQL text and parsed once per column. Building the same trees object by
+object costs a round trip to the JVM for every node, seconds per table for a full policy.
+"""
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
+from inspect import signature
+
+Sql = str
+
+_names = itertools.count(1)
+
+
+def lit(value: str | bool | int | float | None) -> Sql:
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, int):
+        return str(value)
+    if isinstance(value, float):
+        return f"{value!r}D"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+def column(name: str) -> Sql:
+    return "`" + name.replace("`", "``") + "`"
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
+
+def fn(body: Callable[..., Sql]) -> Sql:
+    """A SQL lambda with fresh parameter names, so that nested lambdas never hide each other."""
+    names = [f"v{next(_names)}" for p in signature(body).parameters.values() if p.kind is p.POSITIONAL_OR_KEYWORD]
+    head = names[0] if len(names) == 1 else f"({', '.join(names)})"
+    return f"{head} -> {body(*names)}"
+
+
+def let(value: Sql, body: Callable[[Sql], Sql]) -> Sql:
     """Bind ``value`` once and use it many times inside ``body``.
 
     Expressions below a higher-order function are interpreted, without common-subexpression
     elimination, so an expensive value must be bound before it is referenced repeatedly.
     """
-    return F.transform(F.array(value), body)[0]
+    return f"transform(array({value}), {fn(body)})[0]"
+
+
+def each(array: Sql, body: Callable[..., Sql]) -> Sql:
+    return f"transform({array}, {fn(body)})"
+
+
+def keep(array: Sql, condition: Callable[..., Sql]) -> Sql:
+    return f"filter({array}, {fn(condition)})"
+
+
+def fold(array: Sql, start: Sql, step: Callable[[Sql, Sql], Sql], finish: Callable[[Sql], Sql]) -> Sql:
+    return f"aggregate({array}, {start}, {fn(step)}, {fn(finish)})"
+
+
+def struct(**fields: Sql) -> Sql:
+    return "named_struct(" + ", ".join(f"'{name}', {value}" for name, value in fields.items()) + ")"
+
+
+def case(condition: Sql, yes: Sql, no: Sql) -> Sql:
+    return f"CASE WHEN {condition} THEN {yes} ELSE {no} END"
 
 
-def strip(text: Column) -> Column:
+def strip(text: Sql) -> Sql:
     """Remove white space at both ends (``trim`` removes blanks only)."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return f"regexp_replace({text}, {lit(r'^\s+|\s+$')}, '')"
 
 
-def worth_analysing(text: Column) -> Column:
-    """True if at least two characters remain after stripping white space.
+def worth_analysing(text: Sql) -> Sql:
+    """True if at least two characters remain after stripping white space; NULL for NULL.
 
     Written as a search that stops at the first two adjacent visible characters, so long texts
-    are not copied just to be measured. NULL for NULL.
+    are not copied just to be measured.
     """
-    return text.rlike(r"(?s)\S(?:\S|.*\S)")
+    return f"({text} RLIKE {lit(r'(?s)\S(?:\S|.*\S)')})"
 
 
-def star_after(text: Column, keep: int, char: str = "*") -> Column:
-    """Keep the first ``keep`` characters and mask the rest."""
-    return F.concat(F.left(text, F.lit(keep)), F.repeat(F.lit(char), F.length(text) - keep))
+def star_after(text: Sql, shown: int, char: str = "*") -> Sql:
+    """Keep the first ``shown`` characters and mask the rest."""
+    return f"concat(left({text}, {shown}), repeat({lit(char)}, length({text}) - {shown}))"

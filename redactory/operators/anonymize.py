@@ -4,61 +4,47 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.masks import NAMED_MASKS, Mask, build_mask, replace_with
-from ..functions.spans import no_spans, resolve_spans, rewrite
+from ..functions.masks import Mask, PythonMask, build_mask
+from ..functions.spans import NO_SPANS, resolve_spans, rewrite
+from ..functions.text import Sql, column, each, fn, let, lit
 from ..plans.eligibility import ColumnPlan, plan_columns
 from ..policy import Policy, TablePolicy
-from .detect import detect
+from .detect import compile_recognizers, detect
 
-SPANS_PREFIX = "__spans__"
-MASKED_PREFIX = "__masked__"
+SPANS = "__spans"
+TEXTS = "__texts"
+RESOLVED = "__resolved"
+MASKED = "__masked"
 
 
-@dataclass(frozen=True)
-class PythonMask:
-    """A mask with a Python body, run on Arrow batches: ``body(Series[str]) -> Series[str]``."""
-
-    body: Callable[[pd.Series], pd.Series]
-
-    def __call__(self, value: Column) -> Column:
-        raise TypeError("a Python mask runs on whole span arrays; use it through a policy")
-
-
-def register_python_mask(name: str, body: Callable[[pd.Series], pd.Series]) -> None:
-    """Offer ``body`` to policies as a custom mask. Prefer ``register_mask`` with a Column function."""
-    NAMED_MASKS[name] = PythonMask(body)
-
-
-def masks_for(policy: Policy) -> dict[str, Mask]:
+def masks_for(policy: Policy) -> dict[str, Mask | PythonMask]:
     return {e.entity: build_mask(e.strategy, e.entity, e.params, policy.defaults) for e in policy.active()}
 
 
-def mask_span(policy: Policy, masks: Mapping[str, Mask]) -> Callable[[Column], Column]:
+def mask_span(policy: Policy, masks: Mapping[str, Mask | PythonMask]) -> Callable[[Sql], Sql]:
     """Choose the mask by the entity of a span; other entities get the default replacement."""
-    default = replace_with(policy.default_replacement)
 
-    def apply(span: Column) -> Column:
-        native = {e: m for e, m in masks.items() if not isinstance(m, PythonMask)}
-        chosen = None
-        for entity, mask in native.items():
-            condition = span["entity"] == entity
-            masked = mask(span["value"])
-            chosen = F.when(condition, masked) if chosen is None else chosen.when(condition, masked)
-        return default(span["value"]) if chosen is None else chosen.otherwise(default(span["value"]))
+    def apply(span: Sql) -> Sql:
+        branches = [
+            f"WHEN {lit(entity)} THEN {mask(f'{span}.value')}"
+            for entity, mask in masks.items()
+            if not isinstance(mask, PythonMask)
+        ]
+        default = lit(policy.default_replacement)
+        return f"CASE {span}.entity {' '.join(branches)} ELSE {default} END" if branches else default
 
     return apply
 
 
-def _python_masked(spans: Column, masks: Mapping[str, Mask], on_error: str) -> Column | None:
+def _python_masked(entities: Sql, values: Sql, masks: Mapping[str, Mask | PythonMask], on_error: str) -> Column:
     """Masked values of spans with Python masks, aligned with ``spans``; NULL for all others."""
     bodies = {e: m.body for e, m in masks.items() if isinstance(m, PythonMask)}
-    if not bodies:
-        return None
 
     def guarded(body: Callable[[pd.Series], pd.Series], values: pd.Series) -> pd.Series:
         try:
@@ -87,12 +73,13 @@ def _python_masked(spans: Column, masks: Mapping[str, Mask], on_error: str) -> C
             grouped = flat.groupby("index", sort=False)["masked"].agg(list)
             yield pd.Series([grouped[i] if len(v) else [] for i, v in values.items()])
 
-    return run(F.transform(spans, lambda s: s["entity"]), F.transform(spans, lambda s: s["value"]))
+    return run(F.expr(entities), F.expr(values))
 
 
 @dataclass(frozen=True)
 class Prepared:
-    """A table with its spans: the input columns plus one span column per inspected column."""
+    """A table with its spans: the input columns plus an array with the spans of every inspected
+    column, in the order of ``inspected``."""
 
     frame: DataFrame
     columns: list[ColumnPlan]
@@ -106,53 +93,61 @@ class Prepared:
     def eligible(self) -> list[ColumnPlan]:
         return [c for c in self.columns if c.eligible]
 
-    def spans(self, name: str) -> Column:
-        return F.col(f"`{SPANS_PREFIX}{name}`")
+    def spans(self, index: int) -> Sql:
+        return f"{SPANS}[{index}]"
+
+    def entities(self) -> list[str]:
+        return sorted({r.entity for c in self.inspected for r in c.recognizers})
 
     def metrics(self) -> list[Column]:
-        """Aggregates over ``frame`` that make up the report; no row is exploded or shuffled."""
-        entities = sorted({r.entity for c in self.inspected for r in c.recognizers})
-        hit = lambda c: F.size(self.spans(c.name)) > 0
-        any_hit = F.lit(False)
-        for c in self.inspected:
-            any_hit = any_hit | hit(c)
-        found = [F.count(F.lit(1)).alias("rows"), F.count_if(any_hit).alias("anonymized_rows")]
+        """Aggregates over ``frame`` that make up the report; no row is exploded or shuffled.
+
+        ``rows``, ``anonymized_rows``, per inspected column i ``hits_i`` and, per entity j it may
+        hold, ``found_i_j``.
+        """
+        hits = [f"size({self.spans(i)}) > 0" for i in range(len(self.inspected))]
+        found = ["count(1) AS rows", f"count_if({' OR '.join(hits) or 'false'}) AS anonymized_rows"]
         for i, c in enumerate(self.inspected):
-            found.append(F.count_if(hit(c)).alias(f"hits_{i}"))
-            for j, entity in enumerate(entities):
+            found.append(f"count_if({hits[i]}) AS hits_{i}")
+            for j, entity in enumerate(self.entities()):
                 if any(r.entity == entity for r in c.recognizers):
-                    own = F.filter(self.spans(c.name), lambda s, e=entity: s["entity"] == e)
-                    found.append(F.coalesce(F.sum(F.size(own).cast("long")), F.lit(0)).alias(f"found_{i}_{j}"))
-        return found
+                    own = f"size(filter({self.spans(i)}, s -> s.entity = {lit(entity)}))"
+                    found.append(f"coalesce(sum({own}), 0L) AS found_{i}_{j}")
+        return [F.expr(f) for f in found]
 
     def result(self) -> DataFrame:
         """The anonymized table, in the column order of the input."""
+        position = {c.name: i for i, c in enumerate(self.inspected)}
+
+        def output(c: ColumnPlan) -> Sql:
+            if c.name in position:
+                return f"{TEXTS}[{position[c.name]}]"
+            return f"cast({column(c.name)} AS string)" if c.eligible else column(c.name)
+
+        frame = self._rewritten() if position else self.frame
+        return frame.select(*[F.expr(output(c)).alias(c.name) for c in self.columns])
+
+    def _rewritten(self) -> DataFrame:
         masks = masks_for(self.policy)
         choose = mask_span(self.policy, masks)
-        frame = self.frame
-        python = any(isinstance(m, PythonMask) for m in masks.values())
-        if python:
-            for c in self.inspected:
-                frame = frame.withColumn(SPANS_PREFIX + c.name, resolve_spans(self.spans(c.name)))
-            for c in self.inspected:
-                frame = frame.withColumn(
-                    MASKED_PREFIX + c.name, _python_masked(self.spans(c.name), masks, self.policy.on_error)
-                )
-
-        def output(c: ColumnPlan) -> Column:
-            value = F.col(f"`{c.name}`")
-            if not c.eligible:
-                return value
-            text = value.cast("string")
-            if not c.recognizers:
-                return text.alias(c.name)
-            if python:
-                done = F.col(f"`{MASKED_PREFIX}{c.name}`")
-                mask = lambda s, i: F.coalesce(F.get(done, i), choose(s))
-                return rewrite(text, self.spans(c.name), mask).alias(c.name)
-            return rewrite(text, resolve_spans(self.spans(c.name)), lambda s, i: choose(s)).alias(c.name)
-
-        return frame.select(*[output(c) for c in self.columns])
+        texts = f"array({', '.join(f'cast({column(c.name)} AS string)' for c in self.inspected)})"
+        if not any(isinstance(m, PythonMask) for m in masks.values()):
+            body = fn(lambda t, s: rewrite(t, resolve_spans(s), lambda span, i: choose(span)))
+            return self.frame.withColumn(TEXTS, F.expr(f"zip_with({texts}, {SPANS}, {body})"))
+        # Python masks run on the resolved values, one Arrow column per inspected column.
+        frame = self.frame.withColumn(RESOLVED, F.expr(each(SPANS, resolve_spans)))
+        cells = [f"{RESOLVED}[{i}]" for i in range(len(self.inspected))]
+        frame = frame.withColumns(
+            {
+                f"{MASKED}{i}": _python_masked(f"{cell}.entity", f"{cell}.value", masks, self.policy.on_error)
+                for i, cell in enumerate(cells)
+            }
+        )
+        done = ", ".join(f"{MASKED}{i}" for i in range(len(cells)))
+        paired = f"zip_with({texts}, {RESOLVED}, (t, s) -> struct(t, s))"
+        zipped = f"zip_with({paired}, array({done}), (c, m) -> struct(c.t AS t, c.s AS s, m AS m))"
+        body = lambda c: rewrite(f"{c}.t", f"{c}.s", lambda span, i: f"coalesce(get({c}.m, {i}), {choose(span)})")
+        return frame.withColumn(TEXTS, F.expr(each(zipped, body)))
 
 
 def prepare_table(
@@ -161,15 +156,30 @@ def prepare_table(
     table_policy: TablePolicy | None = None,
     language_column: str | None = None,
 ) -> Prepared:
-    """Add a span column for every column that can hold personal data under ``policy``."""
+    """Add the spans of every column that can hold personal data under ``policy``.
+
+    Columns that need the same recognizers share one expression over the array of their values, so
+    the plan grows with the number of different column policies, not with the number of columns.
+    """
     columns = plan_columns(df.schema, policy, table_policy, by_language=language_column is not None)
-    language = F.col(f"`{language_column}`") if language_column else None
-    spans = [
-        detect(F.col(f"`{c.name}`").cast("string"), c.recognizers, language).alias(SPANS_PREFIX + c.name)
-        for c in columns
-        if c.recognizers
-    ]
-    return Prepared(df.select("*", *spans) if spans else df, columns, policy)
+    language = column(language_column) if language_column else None
+    inspected = [c for c in columns if c.recognizers]
+    groups: dict[tuple, list[int]] = {}
+    for i, c in enumerate(inspected):
+        groups.setdefault(c.recognizers, []).append(i)
+    place, parts = {}, []
+    for recognizers, members in groups.items():
+        texts = ", ".join(f"cast({column(inspected[i].name)} AS string)" for i in members)
+        for i in members:
+            place[i] = len(place)
+        parts.append(each(f"array({texts})", partial(detect, recognizers=recognizers, language=language)))
+    if not parts:
+        return Prepared(df, columns, policy)
+    found = f"concat({', '.join(parts)})"
+    if list(place.values()) != sorted(place.values()) or list(place) != sorted(place):
+        order = ", ".join(str(place[i]) for i in range(len(inspected)))
+        found = let(found, lambda f: each(f"array({order})", lambda i: f"{f}[{i}]"))
+    return Prepared(df.withColumn(SPANS, F.expr(found)), columns, policy)
 
 
 def anonymize_table(
@@ -187,18 +197,16 @@ def anonymize_table(
     return prepare_table(df, policy, table_policy, language_column).result()
 
 
-def anonymize(df: DataFrame, column: str, policy: Policy, extra_spans: Column | None = None) -> DataFrame:
-    """Detect and anonymize one text column, whatever its name; ``extra_spans`` joins in further
-    findings, e.g. those of a lexicon join or of a model."""
-    from .detect import compile_recognizers
-
-    spans = detect(F.col(f"`{column}`"), compile_recognizers(policy))
+def anonymize(df: DataFrame, name: str, policy: Policy, extra_spans: str | None = None) -> DataFrame:
+    """Detect and anonymize one text column, whatever its name. ``extra_spans`` names a span column
+    with further findings, e.g. those of a lexicon join or of a model."""
+    text, holder = column(name), SPANS
+    spans = detect(text, compile_recognizers(policy))
     if extra_spans is not None:
-        spans = F.concat(spans, F.coalesce(extra_spans, no_spans()))
-    holder = SPANS_PREFIX + column
+        spans = f"concat({spans}, coalesce({column(extra_spans)}, {NO_SPANS}))"
     choose = mask_span(policy, masks_for(policy))
-    out = rewrite(F.col(f"`{column}`"), resolve_spans(F.col(f"`{holder}`")), lambda s, i: choose(s))
-    return df.withColumn(holder, spans).withColumn(column, out).drop(holder)
+    out = rewrite(text, resolve_spans(column(holder)), lambda s, i: choose(s))
+    return df.withColumn(holder, F.expr(spans)).withColumn(name, F.expr(out)).drop(holder)
 
 
 def process_table(df: DataFrame, rows: Callable, schema: str | None = None) -> DataFrame:

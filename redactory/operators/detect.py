@@ -6,20 +6,10 @@ import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.spans import (
-    SPANS_TYPE,
-    at_least,
-    boost_by_context,
-    distinct_spans,
-    no_spans,
-    regex_spans,
-    whole_value_span,
-)
-from ..functions.text import let, worth_analysing
+from ..functions.spans import NO_SPANS, boost_by_context, distinct_spans, locate, whole_value_span
+from ..functions.text import Sql, case, each, fn, keep, let, lit, struct, worth_analysing
 from ..policy import ColumnPolicy, Pattern, Policy
 from ..policy_defaults import ADDRESS_CONTEXT, ADDRESS_PATTERNS
 
@@ -55,7 +45,8 @@ class Recognizer:
     """Finds one entity in a text.
 
     ``needs`` is a literal every match contains, ``first`` a character class every match starts
-    with; both only serve to skip texts cheaply. ``kinds`` are the value classes whose text form
+    with; both only serve to skip texts cheaply. ``check`` names a rule of ``CHECKS`` that scores the
+    matched values. ``kinds`` are the value classes whose text form
     can match at all, so numeric columns cost nothing for patterns that need letters.
     """
 
@@ -69,30 +60,34 @@ class Recognizer:
     languages: frozenset[str] | None = None
     context: tuple[str, ...] = ()
     threshold: float | None = None
-    rescore: Callable[[Column, float], Column] | None = None
+    check: str = ""
 
 
-def luhn_valid(value: Column) -> Column:
+def luhn_valid(value: Sql) -> Sql:
     """Checksum of payment card numbers; everything but digits is ignored."""
-    digits = F.regexp_replace(value, "[^0-9]", "")
-    places = F.sequence(F.lit(1), F.length(digits))
 
-    def share(i: Column) -> Column:
-        digit = F.substring(digits, i, F.lit(1)).cast("int")
-        doubled = (F.length(digits) - i) % 2 == 1
-        return F.when(doubled, 2 * digit - F.when(digit > 4, 9).otherwise(0)).otherwise(digit)
+    def check(digits: Sql) -> Sql:
+        def share(i: Sql) -> Sql:
+            digit = f"cast(substring({digits}, {i}, 1) AS int)"
+            twice = case(f"{digit} > 4", f"2 * {digit} - 9", f"2 * {digit}")
+            return case(f"(length({digits}) - {i}) % 2 = 1", twice, digit)
+
+        shares = each(f"sequence(1, length({digits}))", share)
+        total = f"aggregate({shares}, 0, {fn(lambda a, b: f'{a} + {b}')})"
+        return f"CASE WHEN {digits} = '' THEN false ELSE {total} % 10 = 0 END"
 
-    total = F.aggregate(F.transform(places, share), F.lit(0), lambda a, b: a + b)
-    return (F.length(digits) > 0) & (total % 10 == 0)
+    return let(f"regexp_replace({value}, '[^0-9]', '')", check)
 
 
-def _card_score(value: Column, score: float) -> Column:
-    return F.when(luhn_valid(value), F.lit(1.0)).otherwise(F.lit(0.3))
+def octets_fit(value: Sql) -> Sql:
+    return f"forall(split({value}, '[.]'), {fn(lambda o: f'cast({o} AS int) <= 255')})"
 
 
-def _ip_score(value: Column, score: float) -> Column:
-    octets_fit = F.forall(F.split(value, "[.]"), lambda o: o.cast("int") <= 255)
-    return F.when(octets_fit, F.lit(score))
+# Scores of matched values: (value, score of the pattern) -> score, NULL to discard the match.
+CHECKS: dict[str, Callable[[Sql, Sql], Sql]] = {
+    "luhn": lambda value, score: case(luhn_valid(value), score, "0.3D"),
+    "octets": lambda value, score: case(octets_fit(value), score, "NULL"),
+}
 
 
 def _edged(body: str) -> str:
@@ -130,10 +125,10 @@ def built_in() -> tuple[Recognizer, ...]:
         Recognizer("PHONE_NUMBER", (PHONE,), first="0-9(+", languages=frozenset({"en"})),
         Recognizer("US_SSN", (SSN,), first="0-9", languages=frozenset({"en"})),
         Recognizer(
-            "CREDIT_CARD", (CARD,), first="0-9", kinds=frozenset({TEXT, "integer", "decimal"}), rescore=_card_score
+            "CREDIT_CARD", (CARD,), first="0-9", kinds=frozenset({TEXT, "integer", "decimal"}), check="luhn"
         ),
         Recognizer("LOCATION", ADDRESSES, first="0-9", context=ADDRESS_CONTEXT, languages=frozenset({"en"})),
-        Recognizer("IP_ADDRESS", (IP,), first="0-9", rescore=_ip_score),
+        Recognizer("IP_ADDRESS", (IP,), first="0-9", check="octets"),
         Recognizer("URL", (URL,), needs="://"),
         Recognizer("DATE_TIME", DATES, kinds=frozenset({TEXT, "date", "timestamp"})),
         Recognizer("MONEY", MONEY),
@@ -193,69 +188,90 @@ def _combinable(regex: str) -> bool:
     return not re.search(r"\\[1-9k]|\(\?<[A-Za-z]", regex)
 
 
-def _search(text: Column, recognizer: Recognizer) -> Column:
-    if recognizer.whole:
-        return whole_value_span(text, recognizer.entity, 1.0)
+def _candidates(text: Sql, group: Sequence[Recognizer], rules: dict[object, str]) -> Sql:
+    """One struct per pattern: its settings and its matches in ``text``."""
     found = []
-    for pattern in recognizer.patterns:
-        score = pattern.score
-        if recognizer.rescore is not None:
-            score = lambda value, p=pattern: recognizer.rescore(value, p.score)
-        spans = regex_spans(text, recognizer.entity, pattern.regex, score)
-        if recognizer.words:
-            spans = F.filter(spans, lambda s: s["value"].isin(list(recognizer.words)))
-        found.append(at_least(boost_by_context(spans, text, recognizer.context), recognizer.threshold))
-    return F.concat(*found) if len(found) > 1 else found[0]
-
-
-def _gate(text: Column, group: Sequence[Recognizer]) -> Column | None:
+    for r in group:
+        rule = rules.setdefault(r.words, f"words{len(rules)}") if r.words else r.check
+        for p in r.patterns:
+            found.append(
+                struct(
+                    entity=lit(r.entity),
+                    regex=lit(p.regex),
+                    score=lit(float(p.score)),
+                    rule=lit(rule),
+                    threshold=lit(float(r.threshold or 0.0)),
+                    context=f"cast(array({', '.join(lit(w.lower()) for w in r.context)}) AS array<string>)",
+                    hits=f"regexp_extract_all({text}, {lit(p.regex)}, 0)",
+                )
+            )
+    return f"array({', '.join(found)})"
+
+
+def _spans_of(text: Sql, c: Sql, rules: dict[object, str], checks: set[str]) -> Sql:
+    """The spans of one candidate: located, scored, boosted by context, cut at the threshold."""
+
+    def score_of(value: Sql) -> Sql:
+        branches = [f"WHEN {lit(name)} THEN {CHECKS[name](value, f'{c}.score')}" for name in sorted(checks)]
+        for words, name in rules.items():
+            listed = case(f"{value} IN ({', '.join(map(lit, words))})", f"{c}.score", "NULL")
+            branches.append(f"WHEN {lit(name)} THEN {listed}")
+        return f"CASE {c}.rule {' '.join(branches)} ELSE {c}.score END" if branches else f"{c}.score"
+
+    spans = locate(text, f"{c}.regex", f"{c}.hits", f"{c}.entity", score_of)
+    if rules or checks:
+        spans = keep(spans, lambda s: f"{s}.score IS NOT NULL")
+    boosted = let(
+        spans,
+        lambda s: case(f"size({c}.context) > 0 AND size({s}) > 0", boost_by_context(text, s, f"{c}.context"), s),
+    )
+    return keep(boosted, lambda s: f"{s}.score >= {c}.threshold")
+
+
+def _gate(text: Sql, group: Sequence[Recognizer]) -> Sql | None:
     """A cheap condition every text with a match fulfils."""
     head = group[0]
     if head.needs:
-        return F.contains(text, F.lit(head.needs))
+        return f"contains({text}, {lit(head.needs)})"
     regexes = [p.regex for r in group for p in r.patterns]
     if len(regexes) < 2 or not all(map(_combinable, regexes)):
         return None
     union = "|".join(f"(?:{r})" for r in regexes)
-    return text.rlike(f"(?=[{head.first}])(?:{union})" if head.first else union)
+    firsts = "".join(sorted({c for r in group for c in (r.first or "").replace("0-9", "")}))
+    return f"{text} RLIKE {lit(f'(?=[0-9{firsts}])(?:{union})' if head.first else union)}"
 
 
-def detect(text: Column, recognizers: Sequence[Recognizer], language: Column | None = None) -> Column:
+def detect(text: Sql, recognizers: Sequence[Recognizer], language: Sql | None = None) -> Sql:
     """``array<span>`` of everything the recognizers find in ``text``; empty for NULL.
 
     Recognizers that share a gate are searched together: one scan of the text decides whether any
-    of their patterns occurs, and only then is each of them located. With ``language``, a
+    of their patterns occurs, and only then is each of them searched. Matches of all patterns are
+    located by one piece of the plan, which keeps plans of many patterns and columns small. With ``language``, a
     recognizer that is bound to languages applies to rows of these languages only.
     """
+    whole = [r for r in recognizers if r.whole]
     groups: dict[object, list[Recognizer]] = {}
     for r in recognizers:
-        if r.whole:
-            key = "whole"
-        elif r.needs:
-            key = ("needs", r.needs)
-        elif r.first:
-            key = ("first", r.languages if language is not None else None)
-        else:
-            key = ("entity", r.entity, len(r.words), r.patterns)
-        groups.setdefault(key, []).append(r)
-
-    parts = []
-    for key, group in groups.items():
-        if isinstance(key, tuple) and key[0] == "first":
-            widest = "".join(sorted({c for r in group for c in r.first.replace("0-9", "")}))
-            group = [replace(r, first="0-9" + widest) for r in group]
-        spans = [_search(text, r) for r in group]
-        part = F.concat(*spans) if len(spans) > 1 else spans[0]
-        conditions = []
-        if language is not None and group[0].languages:
-            conditions.append(language.isin(*sorted(group[0].languages)))
-        gate = None if key == "whole" else _gate(text, group)
-        if gate is not None:
-            conditions.append(gate)
-        for condition in reversed(conditions):
-            part = F.when(condition, part).otherwise(no_spans())
-        parts.append(part)
-    if not parts:
-        return no_spans()
-    every = F.concat(*parts) if len(parts) > 1 else parts[0]
-    return F.when(worth_analysing(text), let(every, distinct_spans)).otherwise(no_spans()).cast(SPANS_TYPE)
+        if not r.whole:
+            bound = r.languages if language is not None else None
+            groups.setdefault((bound, r.needs or ("first" if r.first else (r.entity, r.patterns))), []).append(r)
+
+    def search(t: Sql) -> Sql:
+        parts = [whole_value_span(t, r.entity, 1.0) for r in whole]
+        rules: dict[object, str] = {}
+        listed = []
+        for (bound, _), group in groups.items():
+            conditions = [f"{language} IN ({', '.join(map(lit, sorted(bound)))})"] if bound else []
+            conditions += [g for g in [_gate(t, group)] if g]
+            candidates = _candidates(t, group, rules)
+            if conditions:
+                candidates = f"CASE WHEN {' AND '.join(conditions)} THEN {candidates} END"
+            listed.append(f"coalesce({candidates}, array())" if conditions else candidates)
+        if listed:
+            checks = {r.check for r in recognizers if r.check}
+            hit = keep(f"concat({', '.join(listed)})", lambda c: f"size({c}.hits) > 0")
+            parts.append(f"flatten({each(hit, lambda c: _spans_of(t, c, rules, checks))})")
+        every = f"concat({', '.join(parts)})"
+        return case(worth_analysing(t), distinct_spans(every), NO_SPANS)
+
+    return let(text, search) if recognizers else NO_SPANS

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import Sql, column
 from ..policy import Policy
 from .detect import Recognizer, compile_recognizers, detect
 
@@ -14,18 +15,21 @@ from .detect import Recognizer, compile_recognizers, detect
 def findings(
     df: DataFrame,
     keys: Sequence[str],
-    column: str,
+    name: str,
     recognizers: Policy | Sequence[Recognizer],
-    language: Column | None = None,
+    language: str | None = None,
 ) -> DataFrame:
-    """One row per span: the key columns, entity, start, end, score, value."""
+    """One row per span found in column ``name``: the key columns, entity, start, end, score, value.
+
+    ``language`` names a column by which recognizers are routed row by row."""
     if isinstance(recognizers, Policy):
         recognizers = compile_recognizers(recognizers, by_language=language is not None)
-    return explode_spans(df, keys, detect(F.col(f"`{column}`").cast("string"), recognizers, language))
+    routed = column(language) if language else None
+    return explode_spans(df, keys, detect(f"cast({column(name)} AS string)", recognizers, routed))
 
 
-def explode_spans(df: DataFrame, keys: Sequence[str], spans: Column) -> DataFrame:
-    return df.select(*keys, F.inline(spans))
+def explode_spans(df: DataFrame, keys: Sequence[str], spans: Sql) -> DataFrame:
+    return df.select(*keys, F.expr(f"inline({spans})"))
 
 
 def collect_spans(found: DataFrame, keys: Sequence[str], into: str = "spans") -> DataFrame:

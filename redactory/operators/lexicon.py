@@ -4,35 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.spans import _blockwise, no_spans, regex_spans
-from ..functions.text import let
+from ..functions.spans import NO_SPANS, read_around, regex_spans
+from ..functions.text import Sql, case, each, let, struct
+from ..functions.text import column as quoted
 from .detect import WORD
 
 BROADCAST_LIMIT = 64 * 1024 * 1024
 SALTS = 16
 
 
-def _tokens(text: Column, reach: int) -> Column:
-    """Every word with its offset and the ``reach`` characters that start at it."""
+def _tokens(text: Sql, reach: int) -> Sql:
+    """Every word of the text as ``struct<start, ahead>``: its offset and the ``reach`` characters
+    that start at it."""
 
-    def ahead(words: Column) -> Column:
-        # The piece of text of a block must reach beyond its last word: cut it at the block's end
-        # plus ``reach`` by extending the last span of the block.
-        stretched = F.transform(
-            words, lambda w: F.struct(w["start"].alias("start"), (w["end"] + reach).alias("end"))
+    def ahead(words: Sql) -> Sql:
+        # Stretched, so that the piece of text read for a block reaches beyond its last word.
+        stretched = each(words, lambda w: struct(start=f"{w}.start", end=f"{w}.end + {reach}"))
+        body = lambda s, i, piece, offset: struct(
+            start=f"{s}.start", ahead=f"substring({piece}, {s}.start - {offset} + 1, {reach})"
         )
-        body = lambda s, i, piece, offset: F.struct(
-            s["start"].alias("start"), F.substring(piece, s["start"] - offset + 1, F.lit(reach)).alias("ahead")
-        )
-        return _blockwise(text, stretched, lambda at: F.get(stretched, at)["start"], body)
+        return let(stretched, lambda w: read_around(text, w, lambda at: f"get({w}, {at}).start", body))
 
-    empty = F.array().cast("array<struct<start:int,ahead:string>>")
-    return let(
-        regex_spans(text, "", WORD, 0.0), lambda words: F.when(F.size(words) > 0, ahead(words)).otherwise(empty)
-    )
+    empty = "cast(array() AS array<struct<start:int,ahead:string>>)"
+    return let(regex_spans(text, "", WORD, 0.0), lambda words: case(f"size({words}) > 0", ahead(words), empty))
 
 
 def lexicon_findings(
@@ -62,7 +59,7 @@ def lexicon_findings(
         F.coalesce(F.sum(F.octet_length("term") * 2 + F.octet_length("entity") + 48), F.lit(0)).alias("bytes"),
         F.coalesce(F.max(F.length("term")), F.lit(0)).alias("longest"),
     ).first()
-    words = df.select(*keys, F.inline(_tokens(F.col(f"`{column}`"), size["longest"] + 1))).withColumn(
+    words = df.select(*keys, F.expr(f"inline({_tokens(quoted(column), size['longest'] + 1)})")).withColumn(
         "head", F.regexp_extract("ahead", WORD, 0)
     )
     if size["bytes"] <= broadcast_limit:
@@ -86,4 +83,4 @@ def lexicon_findings(
 
 def attach(df: DataFrame, keys: Sequence[str], spans: DataFrame, name: str = "spans") -> DataFrame:
     """Join collected spans back to their rows; rows without any get an empty array."""
-    return df.join(spans, list(keys), "left").withColumn(name, F.coalesce(F.col(name), no_spans()))
+    return df.join(spans, list(keys), "left").withColumn(name, F.expr(f"coalesce({quoted(name)}, {NO_SPANS})"))

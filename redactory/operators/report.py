@@ -35,7 +35,7 @@ def profile_from_metrics(spark, table: str, prepared: Prepared, values: dict) ->
 
 
 def _unfold(metrics: DataFrame, table: str, prepared: Prepared) -> DataFrame:
-    entities = sorted({r.entity for c in prepared.inspected for r in c.recognizers})
+    entities = prepared.entities()
     position = {c.name: i for i, c in enumerate(prepared.inspected)}
     available = set(metrics.columns)
     items = []

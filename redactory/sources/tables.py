@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -76,9 +77,8 @@ class TableSet:
 
 def directory_tables(spark: SparkSession, path: str) -> list[str]:
     """Names of the Parquet tables in a folder; only paths are listed, no file is opened."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(f"{path}/*.parquet")
-    names = listed.select(F.regexp_extract("path", r"/([^/]+)\.parquet(?:/[^/]*)?$", 1).alias("table")).distinct()
-    return sorted(r["table"] for r in names.collect())
+    files = spark.read.format("binaryFile").load(f"{path}/*.parquet").inputFiles()
+    return sorted({re.search(r"/([^/]+)\.parquet(?:/[^/]*)?$", f).group(1) for f in files})
 
 
 def append(df: DataFrame, path: str) -> None:
