@@ -46,7 +46,8 @@ from redactory.streaming.jobs import (
     upsert_stream,
 )
 
-from .people import CITIES, payments, people
+from . import people as derived
+from .people import CITIES
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
@@ -64,6 +65,14 @@ def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spread(read(spark, sf_dir, name).select(*columns), columns[0])
 
 
+def people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(derived.people(spark, sf_dir), "user_id")
+
+
+def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(derived.payments(spark, sf_dir), "order_key")
+
+
 def all_tables(spark: SparkSession, sf_dir: str) -> TableSet:
     return TableSet.from_directory(spark, sf_dir)
 
@@ -534,7 +543,8 @@ def findings_cube_rows(spark, sf_dir):
 def anonymize_database_report(spark, sf_dir):
     """Every driver table, reported in one action."""
     frames = dict(all_tables(spark, sf_dir).frames)
-    frames["documents"], frames["pages"] = spread(frames["documents"], "doc_id"), spread(frames["pages"], "page_id")
+    for name in ("documents", "pages", "conversations", "events", "orders", "lineitem"):
+        frames[name] = spread(frames[name])
     full = R.report(R.profile_tables(frames, Policy.default()), Policy.default())
     stats, found = F.col("processing_stats"), F.col("anonymization_stats")
     return full.select(
@@ -576,7 +586,8 @@ def observed_report(spark, sf_dir):
 def stream_anonymize(spark, sf_dir):
     stream = file_stream(spark, sf_dir, "documents.parquet").select("doc_id", "text")
     out = scratch_path(spark, "stream-out")
-    anonymize_stream(stream, Policy.default(), out, scratch_path(spark, "stream-state")).awaitTermination()
+    wide = stream.repartition(2 * spark.sparkContext.defaultParallelism)  # one file is one task otherwise
+    anonymize_stream(wide, Policy.default(), out, scratch_path(spark, "stream-state")).awaitTermination()
     return spark.read.parquet(out)
 
 

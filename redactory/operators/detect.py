@@ -8,6 +8,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import types as T
 
+from ..functions.regexes import first_class, min_width
 from ..functions.spans import NO_SPANS, boost_by_context, distinct_spans, locate, whole_value_span
 from ..functions.text import Sql, case, each, fn, keep, let, lit, struct, worth_analysing
 from ..policy import ColumnPolicy, Pattern, Policy
@@ -44,9 +45,8 @@ def kind_of(data_type: T.DataType) -> str | None:
 class Recognizer:
     """Finds one entity in a text.
 
-    ``needs`` is a literal every match contains, ``first`` a character class every match starts
-    with; both only serve to skip texts cheaply. ``check`` names a rule of ``CHECKS`` that scores the
-    matched values. ``kinds`` are the value classes whose text form
+    ``needs`` is a literal every match contains; it only serves to skip texts cheaply. ``check``
+    names a rule of ``CHECKS`` that scores the matched values. ``kinds`` are the value classes whose text form
     can match at all, so numeric columns cost nothing for patterns that need letters.
     """
 
@@ -55,7 +55,6 @@ class Recognizer:
     words: tuple[str, ...] = ()
     whole: bool = False
     needs: str | None = None
-    first: str | None = None
     kinds: frozenset[str] = frozenset({TEXT})
     languages: frozenset[str] | None = None
     context: tuple[str, ...] = ()
@@ -122,13 +121,13 @@ def built_in() -> tuple[Recognizer, ...]:
     """Recognizers that need no policy entry beyond enabling their entity."""
     return (
         Recognizer("EMAIL_ADDRESS", (EMAIL,), needs="@"),
-        Recognizer("PHONE_NUMBER", (PHONE,), first="0-9(+", languages=frozenset({"en"})),
-        Recognizer("US_SSN", (SSN,), first="0-9", languages=frozenset({"en"})),
+        Recognizer("PHONE_NUMBER", (PHONE,), languages=frozenset({"en"})),
+        Recognizer("US_SSN", (SSN,), languages=frozenset({"en"})),
         Recognizer(
-            "CREDIT_CARD", (CARD,), first="0-9", kinds=frozenset({TEXT, "integer", "decimal"}), check="luhn"
+            "CREDIT_CARD", (CARD,), kinds=frozenset({TEXT, "integer", "decimal"}), check="luhn"
         ),
-        Recognizer("LOCATION", ADDRESSES, first="0-9", context=ADDRESS_CONTEXT, languages=frozenset({"en"})),
-        Recognizer("IP_ADDRESS", (IP,), first="0-9", check="octets"),
+        Recognizer("LOCATION", ADDRESSES, context=ADDRESS_CONTEXT, languages=frozenset({"en"})),
+        Recognizer("IP_ADDRESS", (IP,), check="octets"),
         Recognizer("URL", (URL,), needs="://"),
         Recognizer("DATE_TIME", DATES, kinds=frozenset({TEXT, "date", "timestamp"})),
         Recognizer("MONEY", MONEY),
@@ -184,8 +183,16 @@ def compile_recognizers(
     return chosen
 
 
-def _combinable(regex: str) -> bool:
-    return not re.search(r"\\[1-9k]|\(\?<[A-Za-z]", regex)
+def _first(recognizer: Recognizer) -> str | None:
+    """The characters the matches of a recognizer start with, if that is known and selective."""
+    classes = [first_class(p.regex) for p in recognizer.patterns]
+    return "".join(dict.fromkeys(classes)) if classes and all(classes) else None
+
+
+def _guarded(regex: str) -> str:
+    """The same pattern, tried only where a match can start."""
+    first = first_class(regex)
+    return f"(?=[{first}])(?:{regex})" if first else regex
 
 
 def _candidates(text: Sql, group: Sequence[Recognizer], rules: dict[object, str]) -> Sql:
@@ -197,12 +204,12 @@ def _candidates(text: Sql, group: Sequence[Recognizer], rules: dict[object, str]
             found.append(
                 struct(
                     entity=lit(r.entity),
-                    regex=lit(p.regex),
+                    regex=lit(_guarded(p.regex)),
                     score=lit(float(p.score)),
                     rule=lit(rule),
                     threshold=lit(float(r.threshold or 0.0)),
                     context=f"cast(array({', '.join(lit(w.lower()) for w in r.context)}) AS array<string>)",
-                    hits=f"regexp_extract_all({text}, {lit(p.regex)}, 0)",
+                    hits=f"regexp_extract_all({text}, {lit(_guarded(p.regex))}, 0)",
                 )
             )
     return f"array({', '.join(found)})"
@@ -228,17 +235,18 @@ def _spans_of(text: Sql, c: Sql, rules: dict[object, str], checks: set[str]) ->
     return keep(boosted, lambda s: f"{s}.score >= {c}.threshold")
 
 
-def _gate(text: Sql, group: Sequence[Recognizer]) -> Sql | None:
-    """A cheap condition every text with a match fulfils."""
-    head = group[0]
-    if head.needs:
-        return f"contains({text}, {lit(head.needs)})"
+def _gates(text: Sql, group: Sequence[Recognizer]) -> list[Sql]:
+    """Cheap conditions that every text with a match fulfils, cheapest first."""
     regexes = [p.regex for r in group for p in r.patterns]
-    if len(regexes) < 2 or not all(map(_combinable, regexes)):
-        return None
-    union = "|".join(f"(?:{r})" for r in regexes)
-    firsts = "".join(sorted({c for r in group for c in (r.first or "").replace("0-9", "")}))
-    return f"{text} RLIKE {lit(f'(?=[0-9{firsts}])(?:{union})' if head.first else union)}"
+    gates = [f"octet_length({text}) >= {min(map(min_width, regexes))}"]
+    if group[0].needs:
+        gates.append(f"contains({text}, {lit(group[0].needs)})")
+    elif len(regexes) > 1 and not any(re.search(r"\\[1-9k]|\(\?<[A-Za-z]", x) for x in regexes):
+        union = "|".join(f"(?:{x})" for x in regexes)
+        firsts = [_first(r) for r in group]
+        start = f"(?=[{''.join(dict.fromkeys(firsts))}])" if all(firsts) else ""
+        gates.append(f"{text} RLIKE {lit(f'{start}(?:{union})')}")
+    return gates
 
 
 def detect(text: Sql, recognizers: Sequence[Recognizer], language: Sql | None = None) -> Sql:
@@ -254,7 +262,7 @@ def detect(text: Sql, recognizers: Sequence[Recognizer], language: Sql | None =
     for r in recognizers:
         if not r.whole:
             bound = r.languages if language is not None else None
-            groups.setdefault((bound, r.needs or ("first" if r.first else (r.entity, r.patterns))), []).append(r)
+            groups.setdefault((bound, r.needs or ("first" if _first(r) else (r.entity, r.patterns))), []).append(r)
 
     def search(t: Sql) -> Sql:
         parts = [whole_value_span(t, r.entity, 1.0) for r in whole]
@@ -262,16 +270,16 @@ def detect(text: Sql, recognizers: Sequence[Recognizer], language: Sql | None =
         listed = []
         for (bound, _), group in groups.items():
             conditions = [f"{language} IN ({', '.join(map(lit, sorted(bound)))})"] if bound else []
-            conditions += [g for g in [_gate(t, group)] if g]
-            candidates = _candidates(t, group, rules)
-            if conditions:
-                candidates = f"CASE WHEN {' AND '.join(conditions)} THEN {candidates} END"
-            listed.append(f"coalesce({candidates}, array())" if conditions else candidates)
+            conditions += _gates(t, group)
+            candidates = f"CASE WHEN {' AND '.join(conditions)} THEN {_candidates(t, group, rules)} END"
+            listed.append(f"coalesce({candidates}, array())")
         if listed:
             checks = {r.check for r in recognizers if r.check}
             hit = keep(f"concat({', '.join(listed)})", lambda c: f"size({c}.hits) > 0")
             parts.append(f"flatten({each(hit, lambda c: _spans_of(t, c, rules, checks))})")
         every = f"concat({', '.join(parts)})"
-        return case(worth_analysing(t), distinct_spans(every), NO_SPANS)
+        widths = [1 if r.whole else min(min_width(p.regex) for p in r.patterns) for r in recognizers]
+        worth = f"octet_length({t}) >= {max(2, min(widths))} AND {worth_analysing(t)}"
+        return case(worth, distinct_spans(every), NO_SPANS)
 
     return let(text, search) if recognizers else NO_SPANS
