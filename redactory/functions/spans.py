@@ -51,7 +51,12 @@ def locate(text: Sql, regex: Sql, hits: Sql, entity: Sql, score_of: Callable[[Sq
     gaps = f"slice(split({text}, {regex}, -1), 1, size({hits}))"
     advance = f"zip_with({gaps}, {hits}, {fn(lambda gap, hit: f'length({gap}) + length({hit})')})"
     as_span = lambda hit, end: make_span(entity, f"{end} - length({hit})", end, score_of(hit), hit)
-    return f"zip_with({hits}, {running(advance, 0, lambda total, n: f'{total} + {n}')}, {fn(as_span)})"
+    ends = case(
+        f"size({hits}) = 1",
+        f"array(length(split({text}, {regex}, 2)[0]) + length({hits}[0]))",
+        running(advance, 0, lambda total, n: f"{total} + {n}"),
+    )
+    return f"zip_with({hits}, {ends}, {fn(as_span)})"
 
 
 def regex_spans(text: Sql, entity: str, regex: str, score: float) -> Sql:

@@ -7,13 +7,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import keep, lit, struct
 from ..policy import Policy, TablePolicy
 from .anonymize import Prepared, prepare_table
 
-PROFILE = (
-    "table string, column string, n_rows bigint, anonymized_rows bigint, values_processed bigint, "
-    "values_anonymized bigint, entities map<string,bigint>"
-)
+NO_COUNTS = "cast(map() AS map<string,bigint>)"
 
 
 def profile_table(
@@ -35,42 +33,25 @@ def profile_from_metrics(spark, table: str, prepared: Prepared, values: dict) ->
 
 
 def _unfold(metrics: DataFrame, table: str, prepared: Prepared) -> DataFrame:
-    entities = prepared.entities()
-    position = {c.name: i for i, c in enumerate(prepared.inspected)}
+    """From one row of counters to one row per eligible column."""
     available = set(metrics.columns)
+    position = {c.name: i for i, c in enumerate(prepared.inspected)}
+    entities = list(enumerate(prepared.entities()))
     items = []
-    for c in prepared.eligible:
-        i = position.get(c.name)
-        counts = [
-            F.struct(F.lit(e).alias("key"), F.col(f"found_{i}_{j}").alias("value"))
-            for j, e in enumerate(entities)
-            if f"found_{i}_{j}" in available
-        ]
-        found = F.filter(F.array(*counts), lambda kv: kv["value"] > 0) if counts else F.array().cast(
-            "array<struct<key:string,value:bigint>>"
-        )
+    for c in prepared.eligible or [None]:
+        i = position.get(c.name) if c else None
+        counts = [struct(key=lit(e), value=f"found_{i}_{j}") for j, e in entities if f"found_{i}_{j}" in available]
+        found = keep(f"array({', '.join(counts)})", lambda kv: f"{kv}.value > 0")
         items.append(
-            F.struct(
-                F.lit(c.name).alias("column"),
-                F.col("rows").alias("values_processed"),
-                (F.col(f"hits_{i}") if i is not None else F.lit(0).cast("bigint")).alias("values_anonymized"),
-                F.map_from_entries(found).alias("entities"),
+            struct(
+                column=lit(c.name) if c else "cast(NULL AS string)",
+                values_processed="rows" if c else "0L",
+                values_anonymized=f"hits_{i}" if i is not None else "0L",
+                entities=f"map_from_entries({found})" if counts else NO_COUNTS,
             )
         )
-    if not items:
-        items = [
-            F.struct(
-                F.lit(None).cast("string").alias("column"),
-                F.lit(0).cast("bigint").alias("values_processed"),
-                F.lit(0).cast("bigint").alias("values_anonymized"),
-                F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<bigint>")).alias("entities"),
-            )
-        ]
-    return metrics.select(
-        F.lit(table).alias("table"),
-        F.col("rows").alias("n_rows"),
-        "anonymized_rows",
-        F.inline(F.array(*items)),
+    return metrics.selectExpr(
+        f"{lit(table)} AS `table`", "rows AS n_rows", "anonymized_rows", f"inline(array({', '.join(items)}))"
     ).select("table", "column", "n_rows", "anonymized_rows", "values_processed", "values_anonymized", "entities")
 
 
