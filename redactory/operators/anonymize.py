@@ -109,9 +109,11 @@ class Prepared:
         found = ["count(1) AS rows", f"count_if({' OR '.join(hits) or 'false'}) AS anonymized_rows"]
         for i, c in enumerate(self.inspected):
             found.append(f"count_if({hits[i]}) AS hits_{i}")
+            possible = {r.entity for r in c.recognizers}
             for j, entity in enumerate(self.entities()):
-                if any(r.entity == entity for r in c.recognizers):
+                if entity in possible:
                     own = f"size(filter({self.spans(i)}, s -> s.entity = {lit(entity)}))"
+                    own = f"size({self.spans(i)})" if len(possible) == 1 else f"CASE WHEN {hits[i]} THEN {own} END"
                     found.append(f"coalesce(sum({own}), 0L) AS found_{i}_{j}")
         return [F.expr(f) for f in found]
 

@@ -41,6 +41,14 @@ def kind_of(data_type: T.DataType) -> str | None:
     return None
 
 
+def max_width(data_type: T.DataType) -> int | None:
+    """The most characters the text form of a value can have; None if unknown."""
+    fixed = {T.ByteType: 4, T.ShortType: 6, T.IntegerType: 11, T.LongType: 20, T.FloatType: 15, T.DoubleType: 25}
+    if isinstance(data_type, T.DecimalType):
+        return data_type.precision + 3
+    return fixed.get(type(data_type))
+
+
 @dataclass(frozen=True)
 class Recognizer:
     """Finds one entity in a text.
@@ -148,7 +156,10 @@ def deny_recognizer(entity: str, words: Sequence[str], score: float = 1.0) -> Re
 
 
 def compile_recognizers(
-    policy: Policy, column: ColumnPolicy | None = None, kind: str = TEXT, by_language: bool = False
+    policy: Policy,
+    column: ColumnPolicy | None = None,
+    data_type: T.DataType = T.StringType(),
+    by_language: bool = False,
 ) -> list[Recognizer]:
     """The recognizers one column needs, with context words and thresholds filled in.
 
@@ -157,6 +168,7 @@ def compile_recognizers(
     languages are kept, to be routed row by row.
     """
     column = column or ColumnPolicy()
+    kind, room = kind_of(data_type), max_width(data_type)
     chosen: list[Recognizer] = []
     for entity in policy.active():
         if column.entities and entity.entity not in column.entities:
@@ -167,13 +179,15 @@ def compile_recognizers(
         if entity.deny:
             found.append(deny_recognizer(entity.entity, entity.deny))
         for recognizer in found:
-            if kind not in recognizer.kinds:
+            fitting = tuple(p for p in recognizer.patterns if room is None or min_width(p.regex) <= room)
+            if kind not in recognizer.kinds or not fitting:
                 continue
             if not by_language and recognizer.languages and column.language not in recognizer.languages:
                 continue
             chosen.append(
                 replace(
                     recognizer,
+                    patterns=fitting,
                     context=tuple(dict.fromkeys(recognizer.context + entity.context)),
                     threshold=policy.threshold(entity, column),
                 )

@@ -40,7 +40,7 @@ def plan_columns(
         eligible = policy.enabled and is_eligible(field, table_policy)
         column = (table_policy.columns if table_policy else {}).get(field.name)
         recognizers = (
-            compile_recognizers(policy, column, kind_of(field.dataType), by_language) if eligible else []
+            compile_recognizers(policy, column, field.dataType, by_language) if eligible else []
         )
         plans.append(ColumnPlan(field.name, field.dataType, eligible, tuple(recognizers)))
     return plans
