@@ -20,6 +20,7 @@ from redactory import (
     anonymize_tables,
     findings,
     lexicon_findings,
+    process_table,
     query_results,
     register_python_mask,
     upsert,
@@ -486,6 +487,17 @@ def python_mask_phones(spark, sf_dir):
     return anonymize_table(people(spark, sf_dir).select("user_id", "bio"), policy)
 
 
+def process_table_batches(spark, sf_dir):
+    """A user function over batches of rows."""
+
+    def shout(batches):
+        for batch in batches:
+            yield batch.assign(c_mktsegment=batch["c_mktsegment"].str.lower(), n=batch["c_name"].str.len())
+
+    schema = "c_custkey bigint, c_name string, c_mktsegment string, n bigint"
+    return process_table(read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment"), shout, schema)
+
+
 # ---- report -------------------------------------------------------------------------------------
 
 
@@ -544,7 +556,7 @@ def anonymize_database_report(spark, sf_dir):
     """Every driver table, reported in one action."""
     frames = dict(all_tables(spark, sf_dir).frames)
     for name in ("documents", "pages", "conversations", "events", "orders", "lineitem"):
-        frames[name] = spread(frames[name])
+        frames[name] = spread(frames[name], frames[name].columns[0])
     full = R.report(R.profile_tables(frames, Policy.default()), Policy.default())
     stats, found = F.col("processing_stats"), F.col("anonymization_stats")
     return full.select(
@@ -667,6 +679,7 @@ QUERIES = {
     "anonymize_table": anonymize_people,
     "anonymize_typed": anonymize_typed,
     "python_mask_phones": python_mask_phones,
+    "process_table_batches": process_table_batches,
     "report_totals": report_totals,
     "report_by_table": report_by_table,
     "report_by_column": report_by_column,

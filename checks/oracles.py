@@ -390,6 +390,7 @@ def oracle_sql() -> dict[str, str]:
         "python_mask_phones": rewritten(
             PEOPLE, "user_id", "bio", spans(PEOPLE, "user_id", "bio", ["PHONE_NUMBER"]), mask=f"reverse({value})"
         ),
+        "process_table_batches": "SELECT c_custkey, c_name, lower(c_mktsegment) AS c_mktsegment, length(c_name) AS n FROM customer",
         "report_totals": cells + TOTALS,
         "report_by_table": cells + BY_TABLE,
         "report_by_column": cells + BY_COLUMN,

@@ -17,13 +17,13 @@ def min_width(regex: str) -> int:
 def first_class(regex: str) -> str | None:
     """The characters a match can start with, as the inside of a character class.
 
-    Only told if no letter is among them, because a class full of letters skips nothing.
+    Only told for a few characters: a class full of letters skips nothing.
     """
     tree = _tree(regex)
     if tree is None or tree.state.flags & re.IGNORECASE:
         return None
     found, complete = _starts(list(tree))
-    if not complete or any(c.isalpha() or c == "_" for c in found):
+    if not complete or len(found) > 16:
         return None
     digits = "".join(sorted(c for c in found if c.isdigit()))
     others = "".join(re.escape(c) for c in sorted(found) if not c.isdigit())

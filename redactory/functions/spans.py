@@ -104,7 +104,13 @@ def boost_by_context(text: Sql, spans: Sql, words: Sql, window: int = 60, boost:
         score = let(ahead, lambda a: case(near(a), raised, f"{span}.score"))
         return make_span(f"{span}.entity", f"{span}.start", f"{span}.end", score, f"{span}.value")
 
-    return let(spans, lambda s: read_around(text, s, lambda at: opening(f"get({s}, {at}).start"), rescored))
+    def boosted(s: Sql) -> Sql:
+        alone = each(s, lambda span: rescored(span, "0", text, "0"))
+        return case(
+            f"size({s}) = 1", alone, read_around(text, s, lambda at: opening(f"get({s}, {at}).start"), rescored)
+        )
+
+    return let(spans, boosted)
 
 
 def at_least(spans: Sql, threshold: float | None) -> Sql:

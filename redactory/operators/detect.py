@@ -144,11 +144,11 @@ def built_in() -> tuple[Recognizer, ...]:
 
 
 def deny_recognizer(entity: str, words: Sequence[str], score: float = 1.0) -> Recognizer:
-    """Listed words and phrases. Long lists of single words become a hashed look-up of every word
-    of the text, other lists one alternation, longest entry first. Lists of many thousands of
-    entries belong in a table: see ``lexicon_findings``."""
+    """Listed words and phrases: one alternation, longest entry first. Long lists of single words
+    become a hashed look-up of every word of the text, which does not slow down with the list.
+    Lists of many thousands of entries belong in a table: see ``lexicon_findings``."""
     listed = sorted(set(words), key=lambda w: (-len(w), w))
-    if len(listed) > 16 and all(re.fullmatch(r"\w+", w) for w in listed):
+    if len(listed) > 256 and all(re.fullmatch(r"\w+", w) for w in listed):
         return Recognizer(entity, (Pattern("deny_list", WORD, score),), words=tuple(listed), kinds=ALL_KINDS)
     body = "|".join(re.sub(r"([^0-9A-Za-z_\u0080-\uffff])", r"\\\1", w) for w in listed)
     regex = rf"(?<![\p{{L}}\p{{N}}_])(?:{body})(?![\p{{L}}\p{{N}}_])"

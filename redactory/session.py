@@ -49,7 +49,8 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     Pattern matching is CPU work, and a small file with a single row group is read by one task
     whatever the number of splits. Spark cuts small inputs into about one split per core, so
     fewer than two splits per core marks an input that is cheap to shuffle. Large inputs have
-    far more splits and keep the shuffle-free plan.
+    far more splits and keep the shuffle-free plan. Name a unique column in ``keys``: rows that are
+    dealt out without one are sorted first, so that repeated tasks deal them out alike.
     """
     wanted = 2 * df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= wanted:
