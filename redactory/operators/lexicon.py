@@ -67,7 +67,9 @@ def lexicon_findings(
     else:
         salted = words.withColumn("salt", F.pmod(F.xxhash64(*keys, "start"), F.lit(salts)).cast("int"))
         repeated = terms.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        joined = salted.join(repeated, ["head", "salt"])
+        # Spark takes the size of exploded words for the size of the texts they come from; the hint
+        # keeps it from broadcasting them on that estimate, and lets it split skewed partitions.
+        joined = salted.join(repeated.hint("merge"), ["head", "salt"])
     whole_word = F.col("ahead").startswith(F.col("term")) & ~F.substring(
         F.col("ahead"), F.length("term") + 1, F.lit(1)
     ).rlike(WORD)
