@@ -6,12 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
+from .byte_bpe import encode_digests
 from .common import table
 from .token_counts import count_tokens
 
 CONTEXT = 1024
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return encode_digests(documents, ranks, public_tokenizers.PATTERN)
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return count_tokens(
@@ -19,5 +26,5 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op5_token_counts": op5_token_counts}
+QUERIES = {"op3_byte_bpe": op3_byte_bpe, "op5_token_counts": op5_token_counts}
 ORACLE_SQL: dict[str, str] = {}
