@@ -6,11 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
+from redactory.session import scratch_path
+
 from .byte_bpe import encode_digests
 from .common import table
 from .token_counts import count_tokens
+from .token_files import token_index, write_tokens
 
 CONTEXT = 1024
+END_ID = 2
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,5 +30,11 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op3_byte_bpe": op3_byte_bpe, "op5_token_counts": op5_token_counts}
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "tokens")
+    write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), folder, END_ID)
+    return token_index(spark, folder)
+
+
+QUERIES = {"op3_byte_bpe": op3_byte_bpe, "op5_token_counts": op5_token_counts, "op8_token_files": op8_token_files}
 ORACLE_SQL: dict[str, str] = {}
