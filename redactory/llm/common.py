@@ -8,6 +8,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from redactory.session import scratch_path
 
@@ -71,7 +72,7 @@ def map_texts(
     ``function`` gets an iterator of text lists and yields, for each, one sequence per new column of ``schema``.
     """
     frame = df.select(*keep, text_or_empty(text).alias("_text"))
-    new = df.sparkSession.createDataFrame([], schema).schema
+    new = T.StructType.fromDDL(schema)
     whole = frame.drop("_text").schema
     for field in new:
         whole = whole.add(field)

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import chunks, text_or_empty
 
@@ -104,7 +105,7 @@ def write_tokens(
     rows = df.select(F.col(key), text_or_empty(text).alias("_text")).withColumn("_tie", F.xxhash64("_text"))
     order = [F.col(key).asc_nulls_first(), F.col("_tie").asc()]
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select(key, "_text")
-    schema = df.select(key).schema.add("part", "integer").add("offset", "long").add("ids", "array<int>")
+    schema = df.select(key).schema.add("part", "integer").add("offset", "long").add("ids", T.ArrayType(T.IntegerType()))
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
