@@ -12,6 +12,7 @@ from .byte_bpe import encode_digests
 from .common import table
 from .token_counts import count_tokens
 from .token_files import token_index, write_tokens
+from .top_k import top_k
 
 CONTEXT = 1024
 END_ID = 2
@@ -30,11 +31,36 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), k=10, is_query="vec_id % 100 = 0")
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "tokens")
     write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), folder, END_ID)
     return token_index(spark, folder)
 
 
-QUERIES = {"op3_byte_bpe": op3_byte_bpe, "op5_token_counts": op5_token_counts, "op8_token_files": op8_token_files}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {
+    "op3_byte_bpe": op3_byte_bpe,
+    "op5_token_counts": op5_token_counts,
+    "op6_top_k": op6_top_k,
+    "op8_token_files": op8_token_files,
+}
+
+ORACLE_SQL = {
+    "op6_top_k": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id,
+         CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+""",
+}
