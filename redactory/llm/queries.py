@@ -13,6 +13,7 @@ from .common import table
 from .token_counts import count_tokens
 from .token_files import token_index, write_tokens
 from .top_k import top_k
+from .toxicity import toxicity
 
 CONTEXT = 1024
 END_ID = 2
@@ -41,11 +42,16 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_index(spark, folder)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op3_byte_bpe": op3_byte_bpe,
     "op5_token_counts": op5_token_counts,
     "op6_top_k": op6_top_k,
     "op8_token_files": op8_token_files,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLE_SQL = {
