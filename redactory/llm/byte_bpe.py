@@ -23,8 +23,9 @@ from pyspark.sql import DataFrame
 from .common import map_texts
 from .token_counts import UNUSUAL
 
-#: Pre-tokens, and stretches of text, of which a worker keeps tokens and bytes; beyond, it starts anew.
-CACHE = 400_000
+#: Pre-tokens of which a worker keeps tokens and decoded text; beyond, it starts anew. Stretches of several
+#: pre-tokens are kept besides, fewer of them.
+CACHE, CACHE_STRETCHES = 900_000, 200_000
 #: Words that one recursive query contracts together.
 WORDS_AT_ONCE = 60_000
 #: A contraction per step takes as many steps as a word has bytes. Words beyond this length are contracted in
@@ -61,7 +62,7 @@ SELECT word, pos, tok FROM step WHERE done
 """
 
 DECODE = """
-SELECT word, string_agg(CAST(tok AS VARCHAR), ',' ORDER BY pos) AS ids, count(*) AS n,
+SELECT word, string_agg(CAST(tok AS VARCHAR), ',' ORDER BY pos) AS ids,
        unhex(string_agg(v.hex, '' ORDER BY pos)) AS bytes
 FROM tokens t JOIN vocabulary v ON v.id = t.tok GROUP BY word
 """
@@ -79,8 +80,8 @@ class Codec:
         self.start = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
         self.bytes_of = {rank: token for token, rank in self.ranks.items()}
         self.pattern = regex.compile(pattern)
-        self.known: dict[str, tuple[str, int, bytes]] = {}
-        self.stretches: dict[str, tuple[str, int, bytes]] = {}
+        self.known: dict[str, tuple[str, str]] = {}
+        self.stretches: dict[str, tuple[str, str]] = {}
         self.duck = duckdb.connect(config={"threads": 1, "memory_limit": "500MB"})
         splits = [
             (self.ranks[token[:i]] << 20 | self.ranks[token[i:]], rank)
@@ -129,8 +130,9 @@ class Codec:
             self.duck.register("byte_rows", rows)
             tokens = self.duck.sql(ENCODE).to_arrow_table() if len(joined) else others.slice(0, 0)
             self.duck.register("tokens", pa.concat_tables([tokens.cast(others.schema), others]))
-            for word, ids, n, decoded in self.duck.execute(DECODE).fetchall():
-                self.known[part[word]] = (ids, n, decoded)
+            for number, ids, decoded in self.duck.execute(DECODE).fetchall():
+                word, decoded = part[number], decoded.decode()
+                self.known[word] = (ids, word if decoded == word else decoded)  # one string instead of two equal ones
             self.duck.unregister("byte_rows")
             self.duck.unregister("tokens")
 
@@ -143,24 +145,23 @@ class Codec:
         stretches = [" " + part for part in rest]
         return [first, *stretches] if first else stretches
 
-    def read(self, stretches: set[str]) -> None:
-        """Make all stretches known."""
-        new = stretches.difference(self.stretches)
-        if len(self.stretches) + len(new) > CACHE:
-            self.stretches.clear()
-            new = stretches
+    def read(self, texts: list[str]) -> list[list[tuple[str, str]]]:
+        """For each text, ids (joined by commas) and decoded text of its stretches, in order."""
+        cut = [self.cut(text) for text in texts]
+        new = set().union(*cut).difference(self.known, self.stretches)
         words = {stretch: self.words(stretch) for stretch in new}
-        unknown = set().union(*words.values()).difference(self.known)
-        if len(self.known) + len(unknown) > CACHE:
-            self.known.clear()
-            unknown = set().union(*words.values())
-        self.learn(sorted(unknown))
+        if len(self.stretches) + len(words) > CACHE_STRETCHES or len(self.known) + len(words) > CACHE:
+            self.stretches.clear()
+            if len(self.known) + len(words) > CACHE:
+                self.known.clear()
+            words = {stretch: self.words(stretch) for stretch in set().union(*cut).difference(self.known)}
+        self.learn(sorted(set().union(*words.values()).difference(self.known)))
         for stretch, own in words.items():
-            if len(own) == 1:
-                self.stretches[stretch] = self.known[own[0]]
-            else:
-                ids, n, decoded = zip(*map(self.known.__getitem__, own))
-                self.stretches[stretch] = (",".join(ids), sum(n), b"".join(decoded))
+            if stretch not in self.known:
+                ids, decoded = zip(*map(self.known.__getitem__, own))
+                self.stretches[stretch] = (",".join(ids), "".join(decoded))
+        known, stretches = self.known.get, self.stretches.get
+        return [[known(part) or stretches(part) for part in parts] for parts in cut]
 
     def words(self, text: str) -> list[str]:
         """Pre-tokens. A code point that the library's Unicode tables do not know as letter or number counts as
@@ -223,14 +224,10 @@ def encoded_texts(texts: Iterator[list[str]], path: str, pattern: str) -> Iterat
     """For each list of texts: the ids of each text joined by commas, their number, the decoded bytes."""
     code = codec(path, pattern)
     for batch in texts:
-        cut = [code.cut(text) for text in batch]
-        code.read(set().union(*cut))
-        found = [[code.stretches[part] for part in parts] for parts in cut]
-        yield [
-            [",".join([ids for ids, _, _ in parts]) for parts in found],
-            [sum([n for _, n, _ in parts]) for parts in found],
-            [b"".join([decoded for _, _, decoded in parts]) for parts in found],
-        ]
+        found = code.read(batch)
+        joined = [",".join([ids for ids, _ in parts]) for parts in found]
+        decoded = ["".join([text for _, text in parts]).encode() for parts in found]
+        yield [joined, [own.count(",") + 1 if own else 0 for own in joined], decoded]
 
 
 def encode_bytes(df: DataFrame, path: str, pattern: str, text: str = "text", key: str = "doc_id") -> DataFrame:
