@@ -10,6 +10,7 @@ from redactory.session import scratch_path
 
 from .byte_bpe import encode_digests
 from .common import table
+from .simhash import near_duplicates
 from .token_counts import count_tokens
 from .token_files import token_index, write_tokens
 from .top_k import top_k
@@ -19,6 +20,11 @@ CONTEXT = 1024
 END_ID = 2
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"), radius=2, words_each=3)
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -47,6 +53,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_simhash": op2_simhash,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_token_counts": op5_token_counts,
     "op6_top_k": op6_top_k,
