@@ -212,7 +212,7 @@ def stars(mask: np.ndarray, value: np.ndarray, fp: np.ndarray, radius: int) -> t
         same = np.flatnonzero((mask[step:] == mask[:-step]) & (value[step:] == value[:-step]))
         if not len(same):
             break
-        near = same[np.bitwise_count(fp[same] ^ fp[same + step]) <= radius]
+        near = same[np.bitwise_count((fp[same] ^ fp[same + step]).view(np.uint64)) <= radius]
         a, b = at[near], at[near + step]
         while True:
             la, lb = label[a], label[b]
