@@ -10,7 +10,9 @@ document skips all stripes that cannot hold it.
 from __future__ import annotations
 
 import functools
+import re
 import zlib
+from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -24,15 +26,20 @@ from .common import chunks, text_or_empty
 
 #: Words of which a worker keeps the ids; beyond, it starts anew.
 CACHE = 500_000
-#: Code points from here on go to the tokenizer whole.
-LATIN_END = "\u0250"
+#: Bytes of ASCII letters, digits and white space, and of the code points U+00C0 to U+00FF, which are letters but
+#: for two. In a text of these, commas and full stops only, a mark is a piece of its own unless marks meet.
+LETTERS_AND_BLANKS = bytes(
+    b for b in range(256) if chr(b).isalnum() and b < 128 or b in b" \t\n\v\f\r" or b == 0xC3 or 0x80 <= b < 0xC0
+)
+MARKS_TOGETHER = re.compile(rb"[,.][,.]|\xc3[\x97\xb7]")
 STRIPE_BYTES = 16 << 20
 INDEX_STRIDE = 1_000
 
 
 class WordEncoder:
     """Ids of words between ASCII white space, remembered. The tokenizer drops white space and no normal form,
-    piece or special token of it reaches over a blank, so a text has the ids of its words one after the other."""
+    piece or special token of it reaches over a blank, so a text has the ids of its words one after the other.
+    In plain text commas and full stops are pieces of their own and become words too."""
 
     def __init__(self, path: str) -> None:
         import os
@@ -45,44 +52,40 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        if self.tokenizer.encode("a b", add_special_tokens=False).ids != [
-            i for w in "ab" for i in self.tokenizer.encode(w, add_special_tokens=False).ids
-        ]:
-            raise ValueError("the tokenizer must drop white space")
+        apart = [i for text in ("the", "THE,") for i in self.tokenizer.encode(text, add_special_tokens=False).ids]
+        if self.tokenizer.encode("the \n the ,", add_special_tokens=False).ids != apart:
+            raise ValueError("the tokenizer must drop white space and lower the case")
         self.model = self.tokenizer.model
         self.symbols = dict(enumerate(byte_symbols()))
         self.known: dict[bytes, bytes] = {}
-        self.letters: dict[str, bytes] = {}
+
+    def words(self, text: str) -> list[bytes]:
+        data = text.encode()
+        if data.translate(None, LETTERS_AND_BLANKS).strip(b",.") or MARKS_TOGETHER.search(data):
+            return data.split()
+        return text.lower().encode().replace(b",", b" , ").replace(b".", b" . ").split()
 
     def learn(self, words: Sequence[bytes]) -> None:
         odd = []
         for word in words:
-            text = word.decode().lower()
-            body, end = (text[:-1], text[-1]) if text[-1] in ",." else (text, "")
-            if body.isalpha() and max(body) < LATIN_END:
-                self.known[word] = self.piece(body) + (self.piece(end) if end else b"")
+            if word.isalpha() and word.islower():  # ASCII letters
+                ids = self.model.tokenize(word.decode())
+            elif not word.translate(None, LETTERS_AND_BLANKS) and (text := word.decode()).islower() and text.isalpha():
+                ids = self.model.tokenize(word.decode("latin-1").translate(self.symbols))
             else:
                 odd.append(word)
+                continue
+            self.known[word] = array("i", [token.id for token in ids]).tobytes()
         if odd:
             found = self.tokenizer.encode_batch_fast([w.decode() for w in odd], add_special_tokens=False)
             self.known.update((w, np.array(e.ids, "<i4").tobytes()) for w, e in zip(odd, found))
 
-    def piece(self, text: str) -> bytes:
-        """Ids of a lower-case run of Latin letters, or of one mark: text that normalizing and splitting leave whole."""
-        ids = self.letters.get(text)
-        if ids is None:
-            symbols = text if text.isascii() else text.encode().decode("latin-1").translate(self.symbols)
-            ids = np.array([t.id for t in self.model.tokenize(symbols)], "<i4").tobytes()
-            self.letters[text] = ids
-        return ids
-
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
-        split = [text.encode().split() for text in texts]
+        split = [self.words(text) for text in texts]
         new = set().union(*split).difference(self.known)
         if len(self.known) + len(new) > CACHE:
             self.known.clear()
-            self.letters.clear()
             new = set().union(*split)
         self.learn(list(new))
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
