@@ -11,6 +11,7 @@ from redactory.session import scratch_path
 from .byte_bpe import encode_digests
 from .common import table
 from .simhash import near_duplicates
+from .suffix_dedup import remove_repeats
 from .token_counts import count_tokens
 from .token_files import token_index, write_tokens
 from .top_k import top_k
@@ -20,6 +21,10 @@ CONTEXT = 1024
 END_ID = 2
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), length=100).drop("kept")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), radius=2, words_each=3)
     return found.select("doc_id", "fingerprint", "component_id")
@@ -53,6 +58,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_simhash": op2_simhash,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_token_counts": op5_token_counts,
