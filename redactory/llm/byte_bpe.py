@@ -35,28 +35,28 @@ LONG = 200
 BLANK_BY_SPACE = regex.compile(r" \s|\s ")
 LETTER_OR_NUMBER = regex.compile(r"[\p{L}\p{N}]")
 
-#: code = rank of the pair that a token begins, its position, position of its right neighbour; so the minimum of a
-#: word is its leftmost pair of minimum rank and names the row that goes.
+#: Every row knows its right neighbour. code = rank of the pair that it begins, its position, the neighbour's
+#: position; so the minimum of a word is its leftmost pair of minimum rank and names the row that goes (gone).
 ENCODE = """
-WITH RECURSIVE step(word, pos, tok, code, done) AS (
-    SELECT b.word, b.pos, b.tok, (m.rank << 16) | (b.pos << 8) | (b.pos + 1), false
+WITH RECURSIVE step(word, pos, tok, next_pos, next_tok, code, done) AS (
+    SELECT b.word, b.pos, b.tok, b.next_pos, b.next_tok, (m.rank << 16) | (b.pos << 8) | b.next_pos, false
     FROM byte_rows b LEFT JOIN merges m ON m.pair = b.pair
   UNION ALL
-    SELECT word, pos, to_tok, (m.rank << 16) | (pos << 8) | to_next_pos, best IS NULL
+    SELECT word, pos, tok, next_pos, next_tok,
+           CASE WHEN pair IS NULL THEN code ELSE (m.rank << 16) | (pos << 8) | next_pos END, best IS NULL
     FROM (
-        SELECT word, pos, best,
-               CASE WHEN code = best THEN best >> 16 ELSE tok END AS to_tok,
-               CASE WHEN code = best THEN pos2 ELSE pos1 END AS to_next_pos,
-               CASE WHEN code = best THEN tok2 WHEN pos1 = ((best >> 8) & 255) THEN best >> 16 ELSE tok1 END AS to_next
-        FROM (
-            SELECT word, pos, tok, code,
-                   min(code) OVER (follow ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS best,
-                   lead(tok) OVER follow AS tok1, lead(tok, 2) OVER follow AS tok2,
-                   lead(pos) OVER follow AS pos1, lead(pos, 2) OVER follow AS pos2
-            FROM step WHERE NOT done WINDOW follow AS (PARTITION BY word ORDER BY pos)
-        )
-        WHERE best IS NULL OR pos <> (best & 255)
-    ) LEFT JOIN merges m ON m.pair = (to_tok << 20) | to_next
+        SELECT s.word, s.pos, s.code, best,
+               CASE WHEN s.code = best THEN best >> 16 ELSE s.tok END AS tok,
+               CASE WHEN s.code = best THEN gone.next_pos ELSE s.next_pos END AS next_pos,
+               CASE WHEN s.code = best THEN gone.next_tok
+                    WHEN s.next_pos = ((best >> 8) & 255) THEN best >> 16 ELSE s.next_tok END AS next_tok,
+               CASE WHEN s.code = best THEN ((best >> 16) << 20) | gone.next_tok
+                    WHEN s.next_pos = ((best >> 8) & 255) THEN (s.tok << 20) | (best >> 16) END AS pair
+        FROM step s
+        JOIN (SELECT word, min(code) AS best FROM step WHERE NOT done GROUP BY word) USING (word)
+        LEFT JOIN step gone ON s.code = best AND gone.word = s.word AND gone.pos = s.next_pos
+        WHERE NOT s.done AND (best IS NULL OR s.pos <> (best & 255))
+    ) LEFT JOIN merges m USING (pair)
 )
 SELECT word, pos, tok FROM step WHERE done
 """
@@ -114,15 +114,17 @@ class Codec:
             ends = np.cumsum(lengths)
             joined = np.frombuffer(b"".join(encoded[i] for i in rest), np.uint8)
             toks = self.start[joined]
-            pairs = np.full(len(toks), -1)
-            pairs[:-1] = toks[:-1] << 20 | toks[1:]
-            pairs[ends - 1] = -1
+            next_toks = np.append(toks[1:], -1)
+            next_toks[ends - 1] = -1
+            pos = np.arange(len(joined)) - np.repeat(ends - lengths, lengths)
             rows = pa.table(
                 {
                     "word": np.repeat(np.array(rest, np.int64), lengths),
-                    "pos": np.arange(len(joined), dtype=np.int64) - np.repeat(ends - lengths, lengths),
+                    "pos": pos,
                     "tok": toks,
-                    "pair": pairs,
+                    "next_pos": pos + 1,
+                    "next_tok": next_toks,
+                    "pair": np.where(next_toks < 0, -1, toks << 20 | next_toks),
                 }
             )
             direct = np.array(whole + long, np.int64).reshape(-1, 3)
