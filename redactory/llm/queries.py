@@ -10,6 +10,7 @@ from redactory.session import scratch_path
 
 from .byte_bpe import encode_digests
 from .common import table
+from .mixing import mix
 from .simhash import near_duplicates
 from .suffix_dedup import remove_repeats
 from .token_counts import count_tokens
@@ -36,6 +37,11 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(documents, ranks, public_tokenizers.PATTERN)
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, taken = mix(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5)
+    return taken.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return count_tokens(
@@ -61,6 +67,7 @@ QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_simhash": op2_simhash,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_mixing": op4_mixing,
     "op5_token_counts": op5_token_counts,
     "op6_top_k": op6_top_k,
     "op8_token_files": op8_token_files,
@@ -68,6 +75,33 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op4_mixing": r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS no
+  FROM d GROUP BY source
+), w AS (
+  SELECT *, CAST([3, 1, 2][1 + (no - 1) % 3] AS DOUBLE) AS weight, CAST(source_size AS DOUBLE) * 2 AS cap FROM s
+), l AS (
+  SELECT *, ((SELECT sum(source_size) FROM s) * 1.5::DOUBLE
+    - coalesce(sum(cap) OVER (ORDER BY cap / weight, no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (ORDER BY cap / weight, no ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM w
+), t AS (
+  SELECT source, source_size, CASE WHEN cap < level * weight THEN cap ELSE weight *
+    (SELECT arg_min(level, (cap / weight, no)) FROM l WHERE NOT cap < level * weight) END AS target
+  FROM l
+), p AS (
+  SELECT doc_id, size, source_size, target, least(CAST(floor(target + 0.5) AS BIGINT), 2 * source_size) AS quota,
+    coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), '')), size
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target, CAST(greatest(0, least(a + size, quota) - a)
+  + greatest(0, least(a + size, quota - source_size) - a) AS BIGINT) AS taken
+FROM p
+""",
     "op6_top_k": """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
