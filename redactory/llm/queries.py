@@ -11,6 +11,7 @@ from redactory.session import scratch_path
 from .byte_bpe import encode_digests
 from .common import table
 from .mixing import mix
+from .quality import quality
 from .simhash import near_duplicates
 from .suffix_dedup import remove_repeats
 from .token_counts import count_tokens
@@ -63,6 +64,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_simhash": op2_simhash,
@@ -72,6 +77,7 @@ QUERIES = {
     "op6_top_k": op6_top_k,
     "op8_token_files": op8_token_files,
     "op9_toxicity": op9_toxicity,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL = {
