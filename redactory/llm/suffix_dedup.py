@@ -6,7 +6,8 @@ are dealt out by anchor; anchors that occur once are done. Equal segments need n
 are repeats. Different segments around one anchor are cut from the texts and compared in a suffix array: the
 Burrows-Wheeler transform of a bounded number of them is searched breadth-first, extending intervals backwards,
 which finds the common prefixes of neighbouring suffixes by increasing length; the search stops at ``length``,
-and neighbours that it has not parted by then share a window.
+and neighbours that it has not parted by then share a window. A window reaches over the anchor by its size on one side at least, so a segment is
+only compared if the hash of that side occurs in another segment around the anchor.
 
 An anchor with a great share of all segments is split: its windows are dealt out one by one, by their own hash.
 Such anchors are found beforehand, in a pass that keeps a bounded number of counters.
@@ -30,7 +31,7 @@ from .common import chunks, numbered, text_or_empty, unique_ids, written
 #: Bytes of an anchor; power of two.
 ANCHOR = 32
 #: Bytes of text that are hashed together.
-TEXT_BYTES = 1 << 20
+TEXT_BYTES = 1 << 18
 #: Segments that one task gathers by anchor, on average.
 TASK_SEGMENTS = 400_000
 #: No anchor keeps more than twice this share of the segments together; so 1 / share anchors at most are split.
@@ -59,9 +60,8 @@ def rolling_hashes(data: np.ndarray, size: int = ANCHOR) -> np.ndarray:
     return h
 
 
-def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and place of the anchor of every window; of equal hashes the leftmost."""
-    h = rolling_hashes(data)
+def anchors(h: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and place of the anchor of every window, from all hashes; of equal hashes the leftmost."""
     width = length - ANCHOR + 1  # anchors to choose from in a window
     low = np.uint64((1 << width.bit_length()) - 1)
     n = len(h) - width + 1
@@ -80,15 +80,16 @@ def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def segments(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
-    """Anchor hash, number of the text, first window and number of windows of every segment; and the joined texts
-    with their starts."""
+    """Anchor hash, hashes of its two sides (32 bits each), number of the text, first window and number of windows
+    of every segment; and the joined texts with their starts."""
     sizes = np.array([len(t) for t in texts], np.int64)
     starts = np.cumsum(sizes) - sizes
     joined = b"".join(texts)
     if len(joined) < length:
         none = np.zeros(0, np.int64)
-        return none, none, none, none, joined, starts
-    found, place = anchors(np.frombuffer(joined, np.uint8), length)
+        return none, none, none, none, none, joined, starts
+    h = rolling_hashes(np.frombuffer(joined, np.uint8))
+    found, place = anchors(h, length)
     owner = np.repeat(np.arange(len(texts)), sizes)[: len(found)]
     window = np.arange(len(found))
     inside = window + length <= (starts + sizes)[owner]
@@ -98,7 +99,10 @@ def segments(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     stop = np.append(np.flatnonzero(cut), len(found))
     limit = (starts + sizes - length + 1)[owner[first]]
     after = np.minimum(stop[np.searchsorted(stop, first, side="right")], limit)
-    return found[first].view(np.int64), owner[first], first - starts[owner[first]], after - first, joined, starts
+    left, right = (h[np.clip(place[first] + d, 0, len(h) - 1)] for d in (-ANCHOR, ANCHOR))
+    sides = ((left >> np.uint64(32) << np.uint64(32)) | (right >> np.uint64(32))).view(np.int64)
+    own = owner[first]
+    return found[first].view(np.int64), sides, own, first - starts[own], after - first, joined, starts
 
 
 def grouped_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[bytes]]]:
@@ -144,19 +148,20 @@ def window_hashes(joined: bytes, first: np.ndarray, length: int) -> np.ndarray:
 
 
 def segment_rows(texts: DataFrame, length: int, heavy: np.ndarray) -> DataFrame:
-    """``anchor, content, _key, start, n``. Copies of a segment within a group of texts are repeats at once; they
+    """``anchor, sides, content, _key, start, n``. Copies of a segment within a group of texts are repeats at once; they
     are marked by a negative ``n`` and dealt out evenly."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
         for keys, own in grouped_texts(batches):
-            anchor, owner, start, n, joined, starts = segments(own, length)
+            anchor, sides, owner, start, n, joined, starts = segments(own, length)
             split = np.isin(anchor, heavy)
             if split.any():
                 each = np.where(split, n, 1)
                 step = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
                 n = np.where(np.repeat(split, each), 1, np.repeat(n, each))
-                anchor, owner, start = np.repeat(anchor, each), np.repeat(owner, each), np.repeat(start, each) + step
+                anchor, sides, owner = np.repeat(anchor, each), np.repeat(sides, each), np.repeat(owner, each)
+                start = np.repeat(start, each) + step
                 one = np.repeat(split, each)
                 anchor[one] = window_hashes(joined, (starts[owner] + start)[one], length)
             begin = (starts[owner] + start).tolist()
@@ -164,17 +169,17 @@ def segment_rows(texts: DataFrame, length: int, heavy: np.ndarray) -> DataFrame:
             content = np.array([digest(joined[a:b]) for a, b in zip(begin, end)], np.uint64).view(np.int64)
             key = keys[owner]
             order = np.lexsort((start, key, content, anchor))
-            anchor, content, key, start, n = (x[order] for x in (anchor, content, key, start, n))
+            anchor, sides, content, key, start, n = (x[order] for x in (anchor, sides, content, key, start, n))
             again = np.zeros(len(n), bool)
             again[1:] = (anchor[1:] == anchor[:-1]) & (content[1:] == content[:-1])
             anchor = np.where(again, key * 1_000_003 + start, anchor)
-            columns = (anchor, content, key, start, np.where(again, -n, n))
+            columns = (anchor, sides, content, key, start, np.where(again, -n, n))
             yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=SEGMENT)
 
-    return texts.mapInArrow(run, "anchor long, content long, _key long, start long, n long")
+    return texts.mapInArrow(run, "anchor long, sides long, content long, _key long, start long, n long")
 
 
-SEGMENT = ["anchor", "content", "_key", "start", "n"]
+SEGMENT = ["anchor", "sides", "content", "_key", "start", "n"]
 
 
 def marked(rows: DataFrame, parts: int) -> DataFrame:
@@ -185,21 +190,25 @@ def marked(rows: DataFrame, parts: int) -> DataFrame:
         held = [[column.to_numpy() for column in batch.columns] for batch in batches]
         if not held:
             return
-        anchor, content, key, start, n = map(np.concatenate, zip(*held))
+        anchor, sides, content, key, start, n = map(np.concatenate, zip(*held))
         del held
         done = n < 0
         sure = (np.zeros(int(done.sum()), np.int64), key[done], start[done], -n[done])
-        anchor, content, key, start, n = (x[~done] for x in (anchor, content, key, start, n))
+        anchor, sides, content, key, start, n = (x[~done] for x in (anchor, sides, content, key, start, n))
         order = np.lexsort((start, key, content, anchor))
-        anchor, content, key, start, n = (x[order] for x in (anchor, content, key, start, n))
+        anchor, sides, content, key, start, n = (x[order] for x in (anchor, sides, content, key, start, n))
         new_anchor, new_content = np.ones(len(n), bool), np.ones(len(n), bool)
         new_anchor[1:] = anchor[1:] != anchor[:-1]
         new_content[1:] = new_anchor[1:] | (content[1:] != content[:-1])
         group = np.cumsum(new_anchor) - 1
-        contents = np.bincount(group, new_content).astype(np.int64)[group] if len(n) else group
-        state = np.where(contents > GROUP_SEGMENTS, 2, 1)
-        state[~new_content] = 0
-        keep = ~new_content | (contents > 1)
+        several = np.flatnonzero(new_content)
+        several = several[np.bincount(group, new_content)[group[several]] > 1] if len(n) else several
+        left, right = sides[several] >> 32, sides[several] & 0xFFFFFFFF
+        several = several[repeated(group[several], left) | repeated(group[several], right)]
+        size = np.bincount(group[several], minlength=len(n))[group[several]]
+        state = np.where(new_content, -1, 0)
+        state[several] = np.where(size > GROUP_SEGMENTS, 2, 1)
+        keep = state >= 0
         out = [np.concatenate(x) for x in zip(sure, (anchor[keep], key[keep], start[keep], n[keep]))]
         out.append(np.concatenate([np.zeros(len(sure[0]), np.int64), state[keep]]))
         yield pa.RecordBatch.from_arrays(list(map(pa.array, out)), names=["anchor", "_key", "start", "n", "state"])
@@ -208,6 +217,15 @@ def marked(rows: DataFrame, parts: int) -> DataFrame:
     return dealt.mapInArrow(run, "anchor long, _key long, start long, n long, state long")
 
 
+def repeated(group: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Whether another row of the group has the value."""
+    order = np.lexsort((value, group))
+    same = (group[order][1:] == group[order][:-1]) & (value[order][1:] == value[order][:-1])
+    found = np.zeros(len(group), bool)
+    found[order[1:][same]] = found[order[:-1][same]] = True
+    return found
+
+
 # --- segments that differ ---
 
 
