@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F  # noqa: F401
+from pyspark.sql import functions as F
 
 from redactory.session import scratch_path
 
 from .byte_bpe import encode_digests
 from .common import table
 from .mixing import mix
+from .personal_data import personal_data, texts_of
 from .quality import quality
 from .simhash import near_duplicates
 from .suffix_dedup import remove_repeats
@@ -54,6 +55,19 @@ def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), k=10, is_query="vec_id % 100 = 0")
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_email",
+        "n_ip",
+        "n_card",
+        "n_phone",
+        F.sha2(F.expr(texts_of("base")), 256).alias("base_sha256"),
+        F.expr(texts_of("spans")).alias("spans"),
+    )
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "tokens")
     write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), folder, END_ID)
@@ -75,6 +89,7 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op5_token_counts": op5_token_counts,
     "op6_top_k": op6_top_k,
+    "op7_personal_data": op7_personal_data,
     "op8_token_files": op8_token_files,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
