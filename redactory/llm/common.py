@@ -35,6 +35,14 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def keyed(df: DataFrame, key: str = "doc_id", text: str = "text", name: str = "_key") -> DataFrame:
+    """``df`` with a whole number per row, not null and not repeated: the key itself if it is such a number, else the
+    rank of the row by key (nulls first) and text."""
+    if unique_ids(df, key):
+        return df.withColumn(name, F.col(key).cast("long"))
+    return written(numbered(df, [F.col(key), F.xxhash64(text), F.col(text)], name), "keyed")
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, or a longer name that no column of ``df`` has (Spark compares names without case)."""
     taken = {c.lower() for c in df.columns}
@@ -71,7 +79,8 @@ def map_texts(
 
     ``function`` gets an iterator of text lists and yields, for each, one sequence per new column of ``schema``.
     """
-    frame = df.select(*keep, text_or_empty(text).alias("_text"))
+    source = text if text in keep else "_text"  # a text that is kept is not sent twice
+    frame = df.select(*keep) if text in keep else df.select(*keep, text_or_empty(text).alias("_text"))
     new = T.StructType.fromDDL(schema)
     whole = frame.drop("_text").schema
     for field in new:
@@ -82,9 +91,9 @@ def map_texts(
         pending: list[pa.RecordBatch] = []
 
         def texts() -> Iterator[list[str]]:
-            for part in chunks(batches, "_text"):
+            for part in chunks(batches, source):
                 pending.append(part)
-                yield part.column("_text").to_pylist()
+                yield [value or "" for value in part.column(source).to_pylist()]
 
         for columns in function(texts()):
             part = pending.pop(0)

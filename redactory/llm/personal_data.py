@@ -217,3 +217,23 @@ def personal_data(df: DataFrame, text: str = "text", keep_columns: tuple[str, ..
     result = result.withColumn("spans", F.expr(by_start.format("concat(base, coalesce(_new, slice(base, 1, 0)))")))
     result = result.withColumn("base", F.expr(by_start.format("base")))
     return result.select(*keep_columns, *[f"n{name}" for name in names], "base", "spans")
+
+
+def masked(text: Sql, spans: Sql) -> Sql:
+    """The text with each span (sorted by start) replaced by its kind in angle brackets; what an earlier span
+    covers already is not replaced again."""
+    name = "element_at(array(" + ", ".join(lit(k.name) for k in KINDS) + "), {} + 1)"
+
+    def rewritten(ends: Sql) -> Sql:
+        """``ends``: the furthest end of the spans before each one."""
+
+        def one(s: Sql, i: Sql) -> Sql:
+            gap = f"substring({text}, get({ends}, {i}) + 1, {s}.start - get({ends}, {i}))"
+            return case(f"{s}.start >= get({ends}, {i})", f"concat({gap}, '<', {name.format(s + '.kind')}, '>')", "''")
+
+        rest = f"substring({text}, get({ends}, size({spans})) + 1)"
+        return f"concat(array_join({each(spans, one)}, ''), {rest})"
+
+    advance = lambda last, n: f"greatest({last}, {n})"
+    ends = running(f"concat(array(0), {each(spans, lambda s: f'{s}.end')})", 0, advance)
+    return let(ends, rewritten)

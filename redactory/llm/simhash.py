@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, written
+from .common import chunks, map_texts, text_or_empty, written
 from .components import components
 
 BITS = 64
@@ -274,3 +274,106 @@ def near_duplicates(
     labels = nodes.join(smallest, "root").select("fp", "component_id")
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return prints.join(labels, "fp").select(key, "fp", digits, "component_id")
+
+
+# --- groups of similar texts ---
+
+#: Fingerprints of samples, and shingles in a sample. Two texts of similarity s have a common sample with
+#: probability 1 - (1 - s**4)**16: 0.9998 at 0.8.
+SAMPLES, SAMPLE_SHINGLES = 16, 4
+ORDERS = np.random.default_rng(SEED).integers(1, 1 << 63, SAMPLES * SAMPLE_SHINGLES, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def shingle_hashes(text: str, words_each: int) -> np.ndarray:
+    """Different 64-bit hashes of the shingles; one of the empty string if there is no word."""
+    words = text.encode().lower().split()
+    joined = b" ".join(words)
+    ends = np.cumsum([len(word) + 1 for word in words]).astype(np.int64) - 1
+    starts = (ends - [len(word) for word in words]).tolist()
+    ends = ends.tolist()[words_each - 1 :] or [len(joined)]
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(joined[a:b], SEED) for a, b in zip(starts or [0], ends)], np.uint64))
+
+
+def sample_fingerprints(text: str, words_each: int) -> list[int]:
+    """SimHash fingerprints of samples of the shingles. A sample are the shingles of the smallest hash by each of a
+    few orders, so similar texts often have the same one, and then the same fingerprint."""
+    hashes = shingle_hashes(text, words_each)
+    chosen = []
+    for factor in ORDERS:
+        mixed = hashes * factor
+        chosen.append(hashes[np.argmin(mixed ^ (mixed >> np.uint64(29)))])
+    bits = np.unpackbits(np.array(chosen).view(np.uint8).reshape(SAMPLES, SAMPLE_SHINGLES, 8), axis=2, bitorder="little")
+    majority = 2 * bits.sum(axis=1, dtype=np.int64) > SAMPLE_SHINGLES
+    return np.packbits(majority, axis=1, bitorder="little").reshape(-1).view("<i8").tolist()
+
+
+def similar_pairs(texts: DataFrame, pairs: DataFrame, similarity: float, words_each: int) -> DataFrame:
+    """``u, v, similar``: whether the texts (``_key, _text``) of each pair share enough of their shingles (Jaccard)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "b"):
+            found = []
+            last, held = None, None
+            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+                if a != last:
+                    last, held = a, shingle_hashes(a, words_each)
+                other = shingle_hashes(b, words_each)
+                common = len(np.intersect1d(held, other, assume_unique=True))
+                found.append(common >= similarity * (len(held) + len(other) - common))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("u"), batch.column("v"), pa.array(found, pa.bool_())], names=["u", "v", "similar"]
+            )
+
+    first = texts.select(F.col("_key").alias("u"), F.col("_text").alias("a"))
+    second = texts.select(F.col("_key").alias("v"), F.col("_text").alias("b"))
+    both = pairs.join(second, "v").join(first, "u").select("u", "v", "a", "b")
+    return both.mapInArrow(run, "u long, v long, similar boolean")
+
+
+def similar_groups(
+    df: DataFrame, similarity: float = 0.8, words_each: int = 5, radius: int = 2, text: str = "text", key: str = "doc_id"
+) -> DataFrame:
+    """``key, group_id`` for every row of ``df``: the smallest key that chains of similar texts reach.
+
+    Texts are similar if their sets of shingles have a Jaccard index of ``similarity`` or more. The fingerprints
+    of whole texts at 0.8 differ in some ten bits of 64, more than probes can follow; so candidates are texts
+    whose whole fingerprints link within ``radius`` and texts that share the fingerprint of a sample. Equal texts
+    are one. In every bucket all texts are compared with the first, those that differ from it with the first
+    of them, and so on until none is left; all decisions are by the shingles themselves. Keys must be whole
+    numbers, not null and not repeated. Null texts count as empty.
+    """
+    rows = df.select(F.col(key).cast("long").alias("_key"), text_or_empty(text).alias("_text"))
+
+    def run(texts: Iterator[list[str]]) -> Iterator[list[list]]:
+        for batch in texts:
+            whole = [[fingerprint(text, words_each), *sample_fingerprints(text, words_each)] for text in batch]
+            digests = [np.frombuffer(xxhash.xxh3_128_digest(text.encode()), "<i8").tolist() for text in batch]
+            yield [whole, [d[0] for d in digests], [d[1] for d in digests]]
+
+    prints = written(map_texts(rows, ["_key"], "_text", run, "fps array<long>, h1 long, h2 long"), "samples")
+    firsts = prints.groupBy("h1", "h2").agg(F.min("_key").alias("first"))
+    same = written(prints.select("_key", "h1", "h2").join(firsts, ["h1", "h2"]).select("_key", "first"), "equal")
+    different = prints.join(same.where("_key = first").select("_key"), "_key").select("_key", "fps")
+    whole = written(different.select("_key", F.col("fps")[0].alias("fp")), "whole")
+    stars_ = components(links(whole.select("fp").distinct(), radius))
+    linked = whole.join(stars_, whole["fp"] == stars_["node"], "left")
+    buckets = linked.select("_key", F.lit(0).alias("sample"), F.coalesce("root", "fp").alias("fp"))
+    sampled = different.select("_key", F.posexplode("fps").alias("sample", "fp")).where("sample > 0")
+    open_ = written(buckets.union(sampled), "candidates")
+    found = None
+    while True:
+        sizes = open_.groupBy("sample", "fp").agg(F.min("_key").alias("u"), F.count("*").alias("n")).where("n > 1")
+        open_ = written(open_.join(sizes, ["sample", "fp"]).where("_key <> u"), "candidates")
+        pairs = open_.select("u", F.col("_key").alias("v")).distinct()
+        if pairs.limit(1).count() == 0:
+            break
+        judged = written(similar_pairs(rows, pairs, similarity, words_each), "judged")
+        new = judged.where("similar").select("u", "v")
+        found = new if found is None else found.union(new)
+        failed = judged.where("NOT similar").select("u", F.col("v").alias("_key"))
+        open_ = written(open_.join(failed, ["u", "_key"]).select("_key", "sample", "fp"), "candidates")
+    equal = same.where("_key <> first").select(F.col("_key").alias("u"), F.col("first").alias("v"))
+    roots = components(equal if found is None else equal.union(found))
+    grouped = rows.select("_key").join(roots, F.col("_key") == F.col("node"), "left")
+    return grouped.select(F.col("_key").alias(key), F.coalesce("root", "_key").alias("group_id"))
