@@ -7,45 +7,51 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from redactory.llm.byte_bpe import encode_bytes
-from redactory.llm.common import keyed, table, written
+from redactory.llm.common import fresh, keyed, table, written
 from redactory.llm.mixing import mix
 from redactory.llm.personal_data import masked, personal_data
 from redactory.llm.simhash import similar_groups
 from redactory.llm.toxicity import fit, learning_rows, score
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """``_key, doc_id, text, source, doc``: whole rows as structs, so no column of theirs meets one that a stage adds."""
+    return keyed(docs.select("doc_id", "text", "source", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")))
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below 0.5 stay, empty ones too."""
     model = fit(learning_rows(docs, table(spark, sf_dir, "labels"), "toxic"))
-    return score(docs, model, keep=docs.columns).where("score < 0.5").select(*docs.columns)
+    name = fresh(docs, "score")
+    return score(docs, model, keep=docs.columns, name=name).where(F.col(name) < 0.5).drop(name)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of similar documents the one of smallest id stays."""
-    rows = keyed(docs)
+    rows = packed(docs)
     groups = similar_groups(rows, similarity=0.8, words_each=5, key="_key")
     gone = written(groups.where("group_id <> _key").select("_key"), "gone")
-    return rows.join(gone, "_key", "left_anti").select(*docs.columns)
+    return rows.join(gone, "_key", "left_anti").select("doc.*")
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data give way to the name of their kind in angle brackets; ``n_chars`` follows the new text."""
-    rows = keyed(docs)
+    rows = packed(docs)
     found = personal_data(rows, keep_columns=("_key",)).where(F.size("spans") > 0).select("_key", "spans")
-    text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.expr(masked("text", "spans")))
-    count = F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(F.length("_masked").cast("long"))
-    rows = rows.join(written(found, "found"), "_key", "left").withColumn("_masked", text).withColumn("n_chars", count)
-    return rows.withColumn("text", F.col("_masked")).select(*docs.columns)
+    rows = rows.join(written(found, "found"), "_key", "left")
+    rows = rows.withColumn("clean", F.expr(f"CASE WHEN spans IS NOT NULL THEN {masked('text', 'spans')} END"))
+    changed = F.col("doc").withField("text", F.col("clean")).withField("n_chars", F.length("clean").cast("long"))
+    return rows.select(F.when(F.col("clean").isNull(), F.col("doc")).otherwise(changed).alias("doc")).select("doc.*")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document once for each turn in which the mix takes words of it; documents that it does not reach, and
     those without words, go. Documents are not cut, so a source is over its target by less than one document a turn."""
-    rows = keyed(docs)
+    rows = packed(docs)
     _, taken = mix(rows, key="_key")
     turns = taken.where("taken > 0").select("_key", F.ceil(F.col("taken") / F.col("size")).alias("turns"))
     rows = rows.join(written(turns, "turns"), "_key")
-    return rows.withColumn("turn", F.explode(F.sequence(F.lit(1).cast("long"), F.col("turns")))).select(*docs.columns)
+    return rows.select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("turns")))).select("doc.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

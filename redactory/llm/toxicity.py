@@ -160,9 +160,11 @@ def fit(rows: DataFrame, identity: Sequence[Sequence[str]] = IDENTITY_TERMS) ->
     return Model({f: float(w) for f, w in zip(named, weights) if w}, float(bias))
 
 
-def score(df: DataFrame, model: Model, text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """One row per row of ``df``: columns ``keep`` and ``score`` (null text: empty). No shuffle."""
-    return map_texts(df, list(keep), text, model.scores, "score double")
+def score(
+    df: DataFrame, model: Model, text: str = "text", keep: Sequence[str] = ("doc_id",), name: str = "score"
+) -> DataFrame:
+    """One row per row of ``df``: columns ``keep`` and the score (null text: empty). No shuffle."""
+    return map_texts(df, list(keep), text, model.scores, f"`{name}` double")
 
 
 def toxicity(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
