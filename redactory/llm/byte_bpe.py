@@ -114,7 +114,7 @@ class Codec:
             ends = np.cumsum(lengths)
             joined = np.frombuffer(b"".join(encoded[i] for i in rest), np.uint8)
             toks = self.start[joined]
-            next_toks = np.append(toks[1:], -1)
+            next_toks = np.append(toks[1:], -1)[: len(toks)]
             next_toks[ends - 1] = -1
             pos = np.arange(len(joined)) - np.repeat(ends - lengths, lengths)
             rows = pa.table(

@@ -48,11 +48,11 @@ class MergeTable:
         if spec["pre_tokenizer"]["add_prefix_space"] or model["dropout"] or model["ignore_merges"]:
             raise ValueError("prefix spaces, dropout and ignored merges are not supported")
         self.shift = max(vocab.values()).bit_length()
-        made: dict[str, int] = {}
+        made = dict.fromkeys(byte_symbols(), -1)
         keys, into = [], []
         for rank, pair in enumerate(model["merges"]):
             left, right = pair if isinstance(pair, list) else pair.split(" ")
-            if max(made.get(left, -1), made.get(right, -1)) >= rank or left + right in made:
+            if left not in made or right not in made or left + right in made:
                 raise ValueError("merges must follow the merges of their parts")
             made[left + right] = rank
             keys.append(vocab[left] << self.shift | vocab[right])
