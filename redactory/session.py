@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -36,13 +37,17 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="redactory-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _own_folder()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+@functools.cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="redactory-")
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Repartition a scan that cannot keep the cores busy; leave every larger scan alone.
 
