@@ -23,11 +23,13 @@ from pyspark.sql import DataFrame
 from .common import map_texts
 from .token_counts import UNUSUAL
 
-#: Pre-tokens of which a worker keeps tokens and decoded text; beyond, it starts anew. Stretches of several
-#: pre-tokens are kept besides, fewer of them.
-CACHE, CACHE_STRETCHES = 900_000, 200_000
+#: Pre-tokens, and stretches of several, of which a worker keeps tokens and decoded text. Beyond, those that were not
+#: used since the last time are forgotten.
+CACHE = 350_000
+#: Bytes of text that are encoded together.
+TEXT_BYTES = 2 << 20
 #: Words that one recursive query contracts together.
-WORDS_AT_ONCE = 60_000
+WORDS_AT_ONCE = 20_000
 #: A contraction per step takes as many steps as a word has bytes. Words beyond this length are contracted in
 #: the same order (minimum rank, then leftmost) on a heap. Positions take 8 bits of a code, so 255 at most.
 LONG = 200
@@ -62,9 +64,12 @@ SELECT word, pos, tok FROM step WHERE done
 """
 
 DECODE = """
-SELECT word, string_agg(CAST(tok AS VARCHAR), ',' ORDER BY pos) AS ids,
-       unhex(string_agg(v.hex, '' ORDER BY pos)) AS bytes
-FROM tokens t JOIN vocabulary v ON v.id = t.tok GROUP BY word
+SELECT word, array_to_string(list_transform(parts, lambda p: p.tok), ',') AS ids,
+       unhex(array_to_string(list_transform(parts, lambda p: p.hex), '')) AS bytes
+FROM (
+    SELECT word, list({'tok': tok, 'hex': hex} ORDER BY pos) AS parts
+    FROM tokens t JOIN vocabulary v ON v.id = t.tok GROUP BY word
+)
 """
 
 
@@ -81,8 +86,8 @@ class Codec:
         self.bytes_of = {rank: token for token, rank in self.ranks.items()}
         self.pattern = regex.compile(pattern)
         self.known: dict[str, tuple[str, str]] = {}
-        self.stretches: dict[str, tuple[str, str]] = {}
-        self.duck = duckdb.connect(config={"threads": 1, "memory_limit": "500MB"})
+        self.older: dict[str, tuple[str, str]] = {}
+        self.duck = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
         splits = [
             (self.ranks[token[:i]] << 20 | self.ranks[token[i:]], rank)
             for token, rank in self.ranks.items()
@@ -149,21 +154,24 @@ class Codec:
 
     def read(self, texts: list[str]) -> list[list[tuple[str, str]]]:
         """For each text, ids (joined by commas) and decoded text of its stretches, in order."""
+        if len(self.known) > CACHE:
+            self.older, self.known = self.known, {}
         cut = [self.cut(text) for text in texts]
-        new = set().union(*cut).difference(self.known, self.stretches)
-        words = {stretch: self.words(stretch) for stretch in new}
-        if len(self.stretches) + len(words) > CACHE_STRETCHES or len(self.known) + len(words) > CACHE:
-            self.stretches.clear()
-            if len(self.known) + len(words) > CACHE:
-                self.known.clear()
-            words = {stretch: self.words(stretch) for stretch in set().union(*cut).difference(self.known)}
-        self.learn(sorted(set().union(*words.values()).difference(self.known)))
+        missing = self.recall(set().union(*cut))
+        words = {stretch: self.words(stretch) for stretch in missing}
+        self.learn(sorted(self.recall(set().union(*words.values()))))
         for stretch, own in words.items():
-            if stretch not in self.known:
+            if len(own) > 1:
                 ids, decoded = zip(*map(self.known.__getitem__, own))
-                self.stretches[stretch] = (",".join(ids), "".join(decoded))
-        known, stretches = self.known.get, self.stretches.get
-        return [[known(part) or stretches(part) for part in parts] for parts in cut]
+                self.known[stretch] = (",".join(ids), "".join(decoded))
+        return [[self.known[part] for part in parts] for parts in cut]
+
+    def recall(self, parts: set[str]) -> set[str]:
+        """Make parts known that were known before; returns the others."""
+        new = parts.difference(self.known)
+        again = new.intersection(self.older)
+        self.known.update((part, self.older[part]) for part in again)
+        return new.difference(again)
 
     def words(self, text: str) -> list[str]:
         """Pre-tokens. A code point that the library's Unicode tables do not know as letter or number counts as
@@ -244,7 +252,7 @@ def encode_bytes(df: DataFrame, path: str, pattern: str, text: str = "text", key
         for ids, n, decoded in encoded_texts(texts, path, pattern):
             yield [[np.array(i.split(","), np.int32) if i else [] for i in ids], n, decoded]
 
-    return map_texts(df, [key], text, run, "token_ids array<int>, n_tokens long, decoded binary")
+    return map_texts(df, [key], text, run, "token_ids array<int>, n_tokens long, decoded binary", TEXT_BYTES)
 
 
 def encode_digests(df: DataFrame, path: str, pattern: str, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -255,4 +263,4 @@ def encode_digests(df: DataFrame, path: str, pattern: str, text: str = "text", k
             digests = [[hashlib.sha256(value).hexdigest() for value in values] for values in (map(str.encode, ids), decoded)]
             yield [n, *digests]
 
-    return map_texts(df, [key], text, run, "n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return map_texts(df, [key], text, run, "n_tokens long, ids_sha256 string, decoded_sha256 string", TEXT_BYTES)

@@ -74,15 +74,17 @@ def map_texts(
     text: str,
     function: Callable[[Iterator[list[str]]], Iterator[Sequence[Sequence]]],
     schema: str,
+    limit: int = CHUNK_BYTES,
 ) -> DataFrame:
     """Columns ``keep`` of ``df`` followed by what ``function`` makes of the texts (null: empty), batch by batch.
 
-    ``function`` gets an iterator of text lists and yields, for each, one sequence per new column of ``schema``.
+    ``function`` gets an iterator of text lists (``limit`` bytes each, one text at least) and yields, for each, one
+    sequence per new column of ``schema``.
     """
     source = text if text in keep else "_text"  # a text that is kept is not sent twice
     frame = df.select(*keep) if text in keep else df.select(*keep, text_or_empty(text).alias("_text"))
     new = T.StructType.fromDDL(schema)
-    whole = frame.drop("_text").schema
+    whole = df.select(*keep).schema
     for field in new:
         whole = whole.add(field)
     names = whole.names
@@ -91,7 +93,7 @@ def map_texts(
         pending: list[pa.RecordBatch] = []
 
         def texts() -> Iterator[list[str]]:
-            for part in chunks(batches, source):
+            for part in chunks(batches, source, limit):
                 pending.append(part)
                 yield [value or "" for value in part.column(source).to_pylist()]
 
