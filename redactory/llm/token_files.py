@@ -31,6 +31,8 @@ CACHE = 500_000
 LETTERS_AND_BLANKS = bytes(
     b for b in range(256) if chr(b).isalnum() and b < 128 or b in b" \t\n\v\f\r" or b == 0xC3 or 0x80 <= b < 0xC0
 )
+#: Such letters followed by marks that are neither letters, digits nor apostrophes: two pieces at most.
+LETTERS_THEN_MARKS = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\xbf])+)([!-&(-/:-@\[-`{-~]*)")
 MARKS_TOGETHER = re.compile(rb"[,.][,.]|\xc3[\x97\xb7]")
 STRIPE_BYTES = 16 << 20
 INDEX_STRIDE = 1_000
@@ -69,17 +71,23 @@ class WordEncoder:
         odd = []
         for word in words:
             if word.isalpha() and word.islower():  # ASCII letters
-                ids = self.model.tokenize(word.decode())
-            elif not word.translate(None, LETTERS_AND_BLANKS) and (text := word.decode()).islower() and text.isalpha():
-                ids = self.model.tokenize(word.decode("latin-1").translate(self.symbols))
+                self.piece(word)
+            elif (found := LETTERS_THEN_MARKS.fullmatch(word)) and (letters := found[1].decode().lower()).isalpha():
+                self.known[word] = self.piece(letters.encode()) + (self.piece(found[2]) if found[2] else b"")
             else:
                 odd.append(word)
-                continue
-            self.known[word] = array("i", [token.id for token in ids]).tobytes()
         if odd:
             found = self.tokenizer.encode_batch_fast([w.decode() for w in odd], add_special_tokens=False)
             self.known.update((w, np.array(e.ids, "<i4").tobytes()) for w, e in zip(odd, found))
 
+    def piece(self, piece: bytes) -> bytes:
+        """Ids of a run of lower-case letters or of marks, which normalizing and splitting leave whole."""
+        ids = self.known.get(piece)
+        if ids is None:
+            symbols = piece.decode() if piece.isascii() else piece.decode("latin-1").translate(self.symbols)
+            ids = self.known[piece] = array("i", [token.id for token in self.model.tokenize(symbols)]).tobytes()
+        return ids
+
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
         split = [self.words(text) for text in texts]
