@@ -20,7 +20,7 @@ CARD = (r"\b\d{16}\b", 1.0, "luhn")
 IP = (r"\b\d{1,3}(?:\.\d{1,3}){3}\b", 0.95, "octets")
 URL = (r"""https?://[^\s"'<>]+""", 0.7, "")
 ADDRESS = [
-    (rf"\b\d+(?:\s+[A-Za-z]+){{1,6}}\s+(?:{STREET_WORDS})\b(?:,\s*[A-Za-z\s]{{1,40}}){{0,3}}", 0.8, ""),
+    (rf"\b\d+(?:\s+[A-Za-z]+)+\s+(?:{STREET_WORDS})\b(?:,\s*[A-Za-z\s]+)*", 0.8, ""),
     (rf"\b\d+\s+[A-Za-z\s]+(?:{STREET_WORDS})\b", 0.7, ""),
     (r"\b\d+\s+[A-Za-z\s]+,\s*[A-Za-z\s]+,\s*[A-Za-z\s]+", 0.8, ""),
 ]

@@ -58,6 +58,8 @@ def _starts(items: list) -> tuple[set[str], bool]:
                 return found, True
             continue
         if name == "SUBPATTERN":
+            if arg[1] or arg[2]:  # flags of its own, for example another case
+                return found, False
             inner, complete = _starts(list(arg[-1]))
             return found | inner, complete
         if name == "BRANCH":

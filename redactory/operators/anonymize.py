@@ -201,14 +201,22 @@ def anonymize_table(
 
 def anonymize(df: DataFrame, name: str, policy: Policy, extra_spans: str | None = None) -> DataFrame:
     """Detect and anonymize one text column, whatever its name. ``extra_spans`` names a span column
-    with further findings, e.g. those of a lexicon join or of a model."""
-    text, holder = column(name), SPANS
+    with further findings, e.g. those of a lexicon join or of a model. Masks and the global switch
+    work as for whole tables."""
+    if not policy.enabled:
+        return df
+    text, masks = column(name), masks_for(policy)
     spans = detect(text, compile_recognizers(policy))
     if extra_spans is not None:
         spans = f"concat({spans}, coalesce({column(extra_spans)}, {NO_SPANS}))"
-    choose = mask_span(policy, masks_for(policy))
-    out = rewrite(text, resolve_spans(column(holder)), lambda s, i: choose(s))
-    return df.withColumn(holder, F.expr(spans)).withColumn(name, F.expr(out)).drop(holder)
+    choose = mask_span(policy, masks)
+    frame = df.withColumn(SPANS, F.expr(spans)).withColumn(RESOLVED, F.expr(resolve_spans(SPANS)))
+    mask = lambda s, i: choose(s)
+    if any(isinstance(m, PythonMask) for m in masks.values()):
+        masked = _python_masked(f"{RESOLVED}.entity", f"{RESOLVED}.value", masks, policy.on_error)
+        frame = frame.withColumn(MASKED, masked)
+        mask = lambda s, i: f"coalesce(get({MASKED}, {i}), {choose(s)})"
+    return frame.withColumn(name, F.expr(rewrite(text, RESOLVED, mask))).drop(SPANS, RESOLVED, MASKED)
 
 
 def process_table(df: DataFrame, rows: Callable, schema: str | None = None) -> DataFrame:

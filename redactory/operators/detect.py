@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from ..functions.regexes import first_class, min_width
 from ..functions.spans import NO_SPANS, boost_by_context, distinct_spans, locate, whole_value_span
 from ..functions.text import Sql, case, each, fn, keep, let, lit, struct, worth_analysing
-from ..policy import ColumnPolicy, Pattern, Policy
+from ..policy import ColumnPolicy, Pattern, Policy, PolicyError
 from ..policy_defaults import ADDRESS_CONTEXT, ADDRESS_PATTERNS
 
 # Word edges by look-around: unlike \b they do not depend on what the JVM takes for a letter, so a
@@ -103,7 +103,7 @@ def _edged(body: str) -> str:
 
 EMAIL = Pattern(
     "email",
-    EDGE_BEFORE + r"(?=[A-Za-z0-9_])[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+){1,126}",
+    EDGE_BEFORE + r"(?=[A-Za-z0-9_])[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]++)++",
     1.0,
 )
 PHONE = Pattern("phone", r"(?:\+\d{1,3}[ \-])?\(?" + _edged(r"\d{3}\)?[\s.\-]\d{3}[\s.\-]\d{4}"), 0.7)
@@ -148,6 +148,8 @@ def deny_recognizer(entity: str, words: Sequence[str], score: float = 1.0) -> Re
     become a hashed look-up of every word of the text, which does not slow down with the list.
     Lists of many thousands of entries belong in a table: see ``lexicon_findings``."""
     listed = sorted(set(words), key=lambda w: (-len(w), w))
+    if not all(w and not w.isspace() for w in listed):
+        raise PolicyError(f"empty entry in the deny list of {entity}")
     if len(listed) > 256 and all(re.fullmatch(r"\w+", w) for w in listed):
         return Recognizer(entity, (Pattern("deny_list", WORD, score),), words=tuple(listed), kinds=ALL_KINDS)
     body = "|".join(re.sub(r"([^0-9A-Za-z_\u0080-\uffff])", r"\\\1", w) for w in listed)

@@ -23,7 +23,8 @@ def findings(
 
     ``language`` names a column by which recognizers are routed row by row."""
     if isinstance(recognizers, Policy):
-        recognizers = compile_recognizers(recognizers, by_language=language is not None)
+        enabled = recognizers.enabled
+        recognizers = compile_recognizers(recognizers, by_language=language is not None) if enabled else []
     routed = column(language) if language else None
     return explode_spans(df, keys, detect(f"cast({column(name)} AS string)", recognizers, routed))
 

@@ -16,19 +16,22 @@ BROADCAST_LIMIT = 64 * 1024 * 1024
 SALTS = 16
 
 
-def _tokens(text: Sql, reach: int) -> Sql:
-    """Every word of the text as ``struct<start, ahead>``: its offset and the ``reach`` characters
-    that start at it."""
+def _tokens(text: Sql, reach: int, back: int) -> Sql:
+    """Every word of the text as ``struct<start, ahead, behind>``: its offset, the ``reach`` characters
+    that start at it, and the ``back`` characters before it."""
 
     def ahead(words: Sql) -> Sql:
         # Stretched, so that the piece of text read for a block reaches beyond its last word.
         stretched = each(words, lambda w: struct(start=f"{w}.start", end=f"{w}.end + {reach}"))
+        first = lambda start: f"greatest(0, {start} - {back})"
         body = lambda s, i, piece, offset: struct(
-            start=f"{s}.start", ahead=f"substring({piece}, {s}.start - {offset} + 1, {reach})"
+            start=f"{s}.start",
+            ahead=f"substring({piece}, {s}.start - {offset} + 1, {reach})",
+            behind=f"substring({piece}, {first(f'{s}.start')} - {offset} + 1, least({s}.start, {back}))",
         )
-        return let(stretched, lambda w: read_around(text, w, lambda at: f"get({w}, {at}).start", body))
+        return let(stretched, lambda w: read_around(text, w, lambda at: first(f"get({w}, {at}).start"), body))
 
-    empty = "cast(array() AS array<struct<start:int,ahead:string>>)"
+    empty = "cast(array() AS array<struct<start:int,ahead:string,behind:string>>)"
     return let(regex_spans(text, "", WORD, 0.0), lambda words: case(f"size({words}) > 0", ahead(words), empty))
 
 
@@ -43,23 +46,26 @@ def lexicon_findings(
     """Findings of the entries of ``lexicon(term, entity, score)`` as whole words in ``column``.
 
     The texts are cut into words, which are joined with the first word of each term; the rest of a
-    longer term is compared afterwards. The lexicon is measured first. Up to ``broadcast_limit``
+    longer term, and what it has before that word, are compared afterwards; of repeated terms the highest score counts. The lexicon is measured first. Up to ``broadcast_limit``
     bytes it is broadcast and the texts are not shuffled. A larger one is joined by shuffle: only
     key, offset and the few characters a term can span travel, and because common words dominate
     any text, the words are spread over ``salts`` partitions per word while the lexicon is
     repeated that many times.
     """
-    terms = lexicon.select(
-        F.regexp_extract("term", WORD, 0).alias("head"),
-        F.col("term"),
-        F.col("entity"),
-        F.col("score").cast("double").alias("score"),
-    ).filter("head <> ''").dropDuplicates(["term", "entity"])
+    terms = lexicon.groupBy("term", "entity").agg(F.max(F.col("score").cast("double")).alias("score"))
+    terms = terms.withColumn("head", F.regexp_extract("term", WORD, 0))
+    terms = terms.withColumn("lead", F.substring("term", F.lit(1), F.expr("locate(head, term) - 1")))
+    terms = terms.withColumn("rest", F.expr("substring(term, locate(head, term))"))
     size = terms.agg(
         F.coalesce(F.sum(F.octet_length("term") * 2 + F.octet_length("entity") + 48), F.lit(0)).alias("bytes"),
-        F.coalesce(F.max(F.length("term")), F.lit(0)).alias("longest"),
+        F.coalesce(F.max(F.length("rest")), F.lit(0)).alias("longest"),
+        F.coalesce(F.max(F.length("lead")), F.lit(0)).alias("lead"),
+        F.count_if(F.col("head") == "").alias("wordless"),
     ).first()
-    words = df.select(*keys, F.expr(f"inline({_tokens(quoted(column), size['longest'] + 1)})")).withColumn(
+    if size["wordless"]:
+        raise ValueError(f"{size['wordless']} terms have no letter or digit")
+    tokens = _tokens(quoted(column), size["longest"] + 1, size["lead"])
+    words = df.select(*keys, F.expr(f"inline({tokens})")).withColumn(
         "head", F.regexp_extract("ahead", WORD, 0)
     )
     if size["bytes"] <= broadcast_limit:
@@ -70,14 +76,13 @@ def lexicon_findings(
         # Spark takes the size of exploded words for the size of the texts they come from; the hint
         # keeps it from broadcasting them on that estimate, and lets it split skewed partitions.
         joined = salted.join(repeated.hint("merge"), ["head", "salt"])
-    whole_word = F.col("ahead").startswith(F.col("term")) & ~F.substring(
-        F.col("ahead"), F.length("term") + 1, F.lit(1)
-    ).rlike(WORD)
+    after = F.substring(F.col("ahead"), F.length("rest") + 1, F.lit(1))
+    whole_word = F.col("ahead").startswith(F.col("rest")) & F.col("behind").endswith(F.col("lead")) & ~after.rlike(WORD)
     return joined.filter(whole_word).select(
         *keys,
         "entity",
-        "start",
-        (F.col("start") + F.length("term")).alias("end"),
+        (F.col("start") - F.length("lead")).alias("start"),
+        (F.col("start") + F.length("rest")).alias("end"),
         "score",
         F.col("term").alias("value"),
     )

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,11 +14,14 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) ->
     """One row per key, the one that is last in ``order``; ``order`` should leave no ties.
 
     ``row_number() = 1`` is reduced to one row per key inside every map task before the shuffle
-    (WindowGroupLimit), so a key that owns a third of the rows sends one row per task.
+    (WindowGroupLimit), so a key that owns a third of the rows sends one row per task. A NULL in a
+    key is equal to nothing: such rows all stay.
     """
+    anonymous = reduce(or_, [F.col(k).isNull() for k in keys])
+    df = df.withColumn("__row", F.when(anonymous, F.monotonically_increasing_id()))
     descending = [(F.col(o) if isinstance(o, str) else o).desc_nulls_last() for o in order]
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*descending))
-    return df.withColumn("__rank", rank).filter("__rank = 1").drop("__rank")
+    rank = F.row_number().over(Window.partitionBy(*keys, "__row").orderBy(*descending))
+    return df.withColumn("__rank", rank).filter("__rank = 1").drop("__rank", "__row")
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:

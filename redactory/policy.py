@@ -27,6 +27,9 @@ class Pattern:
     regex: str
     score: float = 0.8
 
+    def __post_init__(self) -> None:
+        check_regex(self.regex)
+
 
 @dataclass(frozen=True)
 class EntityPolicy:
@@ -166,7 +169,6 @@ def _read_pattern(entity: str, position: int, item: Any) -> Pattern:
     if isinstance(item, str):
         item = {"name": f"{entity.lower()}_{position}", "regex": item}
     regex = item["regex"].replace("(?P<", "(?<")
-    check_regex(regex)
     return Pattern(item["name"], regex, float(item.get("score", 0.8)))
 
 
@@ -174,11 +176,11 @@ def check_regex(regex: str) -> None:
     """Refuse patterns that can exhaust the regex stack on long texts or match nothing at all.
 
     java.util.regex recurses once per round of a repeated group, so ``(...)*``, ``(...)+`` and
-    ``(...){n,}`` overflow the stack on long inputs. ``(...){0,50}`` is accepted.
+    ``(...){n,}`` overflow the stack on long inputs. ``(...){0,50}`` and possessive groups are accepted.
     """
     bare = re.sub(r"\\.", "..", regex)
     bare = re.sub(r"\[\^?\]?[^\]]*\]", lambda m: "." * len(m.group()), bare)
-    if re.search(r"\)(?:[*+]|\{\d+,\})", bare):
+    if re.search(r"\)(?:[*+]|\{\d+,\})(?!\+)", bare):
         raise PolicyError(f"unbounded repetition of a group; give it an upper bound: {regex!r}")
     try:
         matches_nothing = re.search(regex, "") is not None

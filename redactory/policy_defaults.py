@@ -125,16 +125,18 @@ DEFAULT_POLICY = {
 ID_COLUMNS = ("user_id", "id", "uuid", "guid", "key", "pk")
 ID_SUFFIX = "_id"
 
-# Scores and context words of the street-address patterns. The repetitions are
-# bounded, because an unbounded repeated group exhausts the stack of java.util.regex on long texts.
+# Scores, context words and street words of the street-address patterns. Edges are look-arounds,
+# because \b depends on what the JVM takes for a letter; words before the street word are a loop over a class and
+# parts after it a possessive group, because java.util.regex recurses into other repeated groups.
 STREET_WORDS = "St|Ave|Rd|Dr|Ln|Blvd|Way|Ct|Pl|Street|Avenue|Road|Drive|Lane|Boulevard"
 ADDRESS_CONTEXT = ("address", "location", "street", "avenue", "road")
+BEFORE, AFTER = "(?<![0-9A-Za-z_])", "(?![0-9A-Za-z_])"
 ADDRESS_PATTERNS = (
     (
         "full_address",
-        rf"\b\d+(?:\s+[A-Za-z]+){{1,6}}\s+(?:{STREET_WORDS})\b(?:,\s*[A-Za-z\s]{{1,40}}){{0,3}}",
+        rf"{BEFORE}\d+\s+[A-Za-z][A-Za-z\s]*\s(?:{STREET_WORDS}){AFTER}(?:,\s*[A-Za-z\s]+)*+",
         0.8,
     ),
-    ("street_address", rf"\b\d+\s+[A-Za-z\s]+(?:{STREET_WORDS})\b", 0.7),
-    ("address_with_city", r"\b\d+\s+[A-Za-z\s]+,\s*[A-Za-z\s]+,\s*[A-Za-z\s]+", 0.8),
+    ("street_address", rf"{BEFORE}\d+\s+[A-Za-z\s]+(?:{STREET_WORDS}){AFTER}", 0.7),
+    ("address_with_city", rf"{BEFORE}\d+\s+[A-Za-z\s]+,\s*[A-Za-z\s]+,\s*[A-Za-z\s]+", 0.8),
 )
