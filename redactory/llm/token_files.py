@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks, text_or_empty
+from .common import chunks, text_or_empty, written
 
 #: Words of which a worker keeps the ids; beyond, it starts anew.
 CACHE = 500_000
@@ -150,9 +150,6 @@ def token_index(spark: SparkSession, folder: str, key: str = "doc_id") -> DataFr
     """From the files, per document: ``key``, ids of all documents before it (``start``), its ids (``n_tokens``)
     and the CRC-32 of those ids as little-endian unsigned 32-bit integers (``ids_crc32``)."""
     rows = read_tokens(spark, folder)
-    parts = rows.groupBy("part").agg(F.sum(F.size("ids")).alias("total"))
-    before = F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    shifts = parts.select("part", F.coalesce(before, F.lit(0)).alias("shift"))
     schema = rows.select(key, "part", "offset").schema.add("n_tokens", "long").add("ids_crc32", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,6 +163,9 @@ def token_index(spark: SparkSession, folder: str, key: str = "doc_id") -> DataFr
                 [*kept, pa.array(np.diff(bounds).astype(np.int64)), pa.array(sums, pa.int64())], names=schema.names
             )
 
-    digests = rows.mapInArrow(run, schema)
+    digests = written(rows.mapInArrow(run, schema), "digests")  # so that the ids are read once
+    parts = digests.groupBy("part").agg(F.sum("n_tokens").alias("total"))
+    before = F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    shifts = parts.select("part", F.coalesce(before, F.lit(0)).alias("shift"))
     start = (F.col("offset") + F.col("shift")).alias("start")
     return digests.join(shifts, "part").select(key, start, "n_tokens", "ids_crc32")
