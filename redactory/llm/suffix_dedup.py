@@ -36,6 +36,8 @@ TEXT_BYTES = 1 << 18
 TASK_SEGMENTS = 400_000
 #: No anchor keeps more than twice this share of the segments together; so 1 / share anchors at most are split.
 LEAST_SHARE = 1e-5
+#: Repeated segments that a task remembers.
+REMEMBERED = 200_000
 #: Different segments around one anchor beyond which the windows are dealt out one by one.
 GROUP_SEGMENTS = 4_000
 #: Bytes that are sorted in one suffix array, unless one group has more, and bytes of segments of a task.
@@ -149,10 +151,12 @@ def window_hashes(joined: bytes, first: np.ndarray, length: int) -> np.ndarray:
 
 def segment_rows(texts: DataFrame, length: int, heavy: np.ndarray) -> DataFrame:
     """``anchor, sides, content, _key, start, n``. Copies of a segment within a group of texts are repeats at once; they
-    are marked by a negative ``n`` and dealt out evenly."""
+    are marked by a negative ``n`` and dealt out evenly. A task remembers a bounded number of segments that were
+    repeated in a group and marks later copies too, so a segment of very many copies is sent a few times a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
+        seen = [np.zeros(0, np.int64)] * 4  # content, anchor, key and start, sorted by content
         for keys, own in grouped_texts(batches):
             anchor, sides, owner, start, n, joined, starts = segments(own, length)
             split = np.isin(anchor, heavy)
@@ -172,6 +176,15 @@ def segment_rows(texts: DataFrame, length: int, heavy: np.ndarray) -> DataFrame:
             anchor, sides, content, key, start, n = (x[order] for x in (anchor, sides, content, key, start, n))
             again = np.zeros(len(n), bool)
             again[1:] = (anchor[1:] == anchor[:-1]) & (content[1:] == content[:-1])
+            if len(seen[0]):
+                at = np.minimum(np.searchsorted(seen[0], content), len(seen[0]) - 1)
+                later = (key > seen[2][at]) | ((key == seen[2][at]) & (start > seen[3][at]))
+                again |= (seen[0][at] == content) & (seen[1][at] == anchor) & later
+            first = np.flatnonzero(~again[:-1] & again[1:] & (content[1:] == content[:-1]))
+            if len(first) and len(seen[0]) < REMEMBERED:
+                joined_ = [np.concatenate(x) for x in zip(seen, (content[first], anchor[first], key[first], start[first]))]
+                _, kept = np.unique(joined_[0], return_index=True)
+                seen = [x[kept] for x in joined_]
             anchor = np.where(again, key * 1_000_003 + start, anchor)
             columns = (anchor, sides, content, key, start, np.where(again, -n, n))
             yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=SEGMENT)
@@ -230,7 +243,8 @@ def repeated(group: np.ndarray, value: np.ndarray) -> np.ndarray:
 
 
 def bodies(texts: DataFrame, marks: DataFrame, length: int) -> DataFrame:
-    """``anchor, _key, start, body`` of the segments that have to be compared, cut from their texts."""
+    """``anchor, _key, start, body`` of the segments that have to be compared, cut from their texts; of large groups
+    one row per window, with the hash of the window as anchor and without body."""
     wanted = marks.where("state > 0").groupBy("_key")
     wanted = wanted.agg(F.collect_list(F.struct("anchor", "start", "n", "state")).alias("wanted"))
 
@@ -245,7 +259,7 @@ def bodies(texts: DataFrame, marks: DataFrame, length: int) -> DataFrame:
                         rows.append((w["anchor"], key, at, text[at : at + n + length - 1]))
                         continue
                     each = window_hashes(text, np.arange(at, at + n), length).tolist()
-                    rows.extend((h, key, a, text[a : a + length]) for h, a in zip(each, range(at, at + n)))
+                    rows.extend((h, key, a, None) for h, a in zip(each, range(at, at + n)))
             columns = list(zip(*rows)) or [[]] * 4
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays(
@@ -367,6 +381,14 @@ def compared(segments_: DataFrame, length: int) -> DataFrame:
     return dealt.mapInArrow(run, "_key long, start long, n long")
 
 
+def repeated_windows(windows: DataFrame) -> DataFrame:
+    """``_key, start, n``: all windows (``anchor``: their hash) but the first of each. The first ones are combined
+    before the shuffle and joined back, so a window of very many copies is split like any other skewed key."""
+    first = windows.groupBy("anchor").agg(F.min(F.struct("_key", "start")).alias("first"))
+    later = windows.join(first, "anchor").where(F.struct("_key", "start") != F.col("first"))
+    return later.select("_key", "start", F.lit(1).cast("long").alias("n"))
+
+
 # --- result ---
 
 
@@ -406,7 +428,8 @@ def remove_repeats(df: DataFrame, length: int = 100, text: str = "text", key: st
     heavy = heavy_anchors(texts, length, max(LEAST_SHARE, 1 / (2 * parts)))
     marks = written(marked(segment_rows(texts, length, heavy), parts), "marks")
     cut = written(bodies(texts, marks, length), "segments")
-    found = compared(cut, length).union(marks.where("state = 0").select("_key", "start", "n"))
+    found = compared(cut.where("body IS NOT NULL"), length).union(marks.where("state = 0").select("_key", "start", "n"))
+    found = found.union(repeated_windows(cut.where("body IS NULL")))
     runs = found.groupBy("_key").agg(F.collect_list(F.struct("start", "n")).alias("_runs"))
     schema = df.select(key).schema
     for name, kind in zip(RESULT, (T.LongType(), T.LongType(), T.LongType(), T.StringType(), T.BinaryType())):
