@@ -11,6 +11,7 @@ import os
 import re
 import time
 
+from checks import jobs
 from checks.jobs import QUERIES
 from redactory.session import local_session
 
@@ -38,6 +39,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cpus, app="bench")
+    jobs.SPREAD = True  # each table is one small file here
     queries = dict(QUERIES)
     queries["entities_in_documents"] = lambda s, d: QUERIES["findings"](s, d).groupBy("entity").count()
     for name in ("findings", "upsert_latest"):  # warm-up: class loading and JIT

@@ -36,7 +36,8 @@ from redactory.operators.lexicon import attach
 from redactory.operators.model import with_model_spans
 from redactory.operators.upsert import latest
 from redactory.operators.validate import policy_violations, schema_differences
-from redactory.session import scratch_path, spread
+from redactory.session import scratch_path
+from redactory.session import spread as spread_out
 from redactory.sources.paging import page, page_after, with_pages
 from redactory.sources.tables import append
 from redactory.streaming.jobs import (
@@ -55,6 +56,12 @@ TABLES = (
     "pages", "benchmark", "labels", "conversations",
 )
 KEY = "0123456789abcdef"
+#: Whether tables of a few large row groups are dealt out to all cores first; whoever runs the jobs may ask for it.
+SPREAD = False
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    return spread_out(df, key) if SPREAD else df
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -598,8 +605,7 @@ def observed_report(spark, sf_dir):
 def stream_anonymize(spark, sf_dir):
     stream = file_stream(spark, sf_dir, "documents.parquet").select("doc_id", "text")
     out = scratch_path(spark, "stream-out")
-    wide = stream.repartition(2 * spark.sparkContext.defaultParallelism)  # one file is one task otherwise
-    anonymize_stream(wide, Policy.default(), out, scratch_path(spark, "stream-state")).awaitTermination()
+    anonymize_stream(stream, Policy.default(), out, scratch_path(spark, "stream-state")).awaitTermination()
     return spark.read.parquet(out)
 
 

@@ -33,7 +33,7 @@ def with_pages(df: DataFrame, key: str, size: int, slices: int | None = None) ->
     slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Keys whose hash falls into one of ``rows / SAMPLE`` classes: about SAMPLE keys reach the driver.
     thin = max(1, df.count() // SAMPLE)
-    sampled = df.select(key).filter(F.col(key).isNotNull() & (F.pmod(F.xxhash64(key), F.lit(thin)) == 0)).collect()
+    sampled = df.select(key).filter(F.col(key).isNotNull() & (F.pmod(F.xxhash64(key), F.lit(thin)) == 0)).distinct().collect()
     ordered = sorted(r[0] for r in sampled)
     cuts = sorted({ordered[len(ordered) * i // slices] for i in range(1, slices)}) if ordered else []
     if cuts:
@@ -41,7 +41,10 @@ def with_pages(df: DataFrame, key: str, size: int, slices: int | None = None) ->
         slice_of = F.size(F.filter(bounds, lambda c: c <= F.col(key)))
     else:
         slice_of = F.lit(0)
-    sliced = df.withColumn("__slice", F.when(F.col(key).isNull(), -1).otherwise(slice_of))
+    # Rows without a key come first; they are spread by a hash of the row, so they do not meet in one task.
+    hashed = F.xxhash64(*[F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind])
+    keyless = -1 - F.pmod(hashed, F.lit(slices)).cast("int")
+    sliced = df.withColumn("__slice", F.when(F.col(key).isNull(), keyless).otherwise(slice_of))
     # One row per slice: the unpartitioned window and the broadcast are bounded by ``slices``.
     before = F.sum("n").over(Window.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1))
     offsets = (
