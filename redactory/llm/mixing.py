@@ -137,10 +137,11 @@ def mix(
     docs = sizes.join(named, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     docs = written(streams(docs, "_key"), "streams")
     schedule_ = schedule(sources.select("source_no", "quota"))
-    mixed = written(schedule_.join(pieces(docs), ["source_no", "block_no"]), "mix")
+    # Both sides grow with the table; the hint keeps Spark from broadcasting one on the size of its compressed files.
+    mixed = written(schedule_.join(pieces(docs).hint("merge"), ["source_no", "block_no"]), "mix")
     taken = mixed.groupBy("source_no", "first").agg(F.sum("words").alias("_taken"))
     taken = taken.withColumnsRenamed({"source_no": "_no", "first": "_first"})
     matches = (F.col("source_no") == F.col("_no")) & (F.col("first") == F.col("_first")) & (F.col("size") > 0)
-    rows = docs.join(taken, matches, "left").withColumn("taken", F.coalesce("_taken", F.lit(0)))
+    rows = docs.join(taken.hint("merge"), matches, "left").withColumn("taken", F.coalesce("_taken", F.lit(0)))
     columns = ["source", "source_no", "size", "source_size", "target", "first", "taken"]
     return mixed, rows.select(F.col("_key").alias(key), *[c for c in columns if c != key])
