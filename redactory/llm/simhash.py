@@ -281,6 +281,8 @@ def near_duplicates(
 #: Fingerprints of samples, and shingles in a sample. Two texts of similarity s have a common sample with
 #: probability 1 - (1 - s**4)**16: 0.9998 at 0.8.
 SAMPLES, SAMPLE_SHINGLES = 16, 4
+#: Texts of a bucket that all others in it are compared with in a round.
+LEADERS = 8
 ORDERS = np.random.default_rng(SEED).integers(1, 1 << 63, SAMPLES * SAMPLE_SHINGLES, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -339,8 +341,8 @@ def similar_groups(
     Texts are similar if their sets of shingles have a Jaccard index of ``similarity`` or more. The fingerprints
     of whole texts at 0.8 differ in some ten bits of 64, more than probes can follow; so candidates are texts
     whose whole fingerprints link within ``radius`` and texts that share the fingerprint of a sample. Equal texts
-    are one. In every bucket all texts are compared with the first, those that differ from it with the first
-    of them, and so on until none is left; all decisions are by the shingles themselves. Keys must be whole
+    are one. In every bucket all texts are compared with a few leaders, those that are similar to none with new
+    leaders, and so on until none is left; all decisions are by the shingles themselves. Keys must be whole
     numbers, not null and not repeated. Null texts count as empty.
     """
     rows = df.select(F.col(key).cast("long").alias("_key"), text_or_empty(text).alias("_text"))
@@ -361,18 +363,21 @@ def similar_groups(
     buckets = linked.select("_key", F.lit(0).alias("sample"), F.coalesce("root", "fp").alias("fp"))
     sampled = different.select("_key", F.posexplode("fps").alias("sample", "fp")).where("sample > 0")
     open_ = written(buckets.union(sampled), "candidates")
-    found = None
+    found, bucket = None, ["sample", "fp"]
     while True:
-        sizes = open_.groupBy("sample", "fp").agg(F.min("_key").alias("u"), F.count("*").alias("n")).where("n > 1")
-        open_ = written(open_.join(sizes, ["sample", "fp"]).where("_key <> u"), "candidates")
-        pairs = open_.select("u", F.col("_key").alias("v")).distinct()
+        shared = open_.groupBy(*bucket).agg(F.count("*").alias("n")).where("n > 1").select(*bucket)
+        open_ = written(open_.join(shared, bucket), "candidates")
+        turn = F.pmod(F.xxhash64("_key"), F.lit(LEADERS))
+        leaders = open_.groupBy(*bucket, turn.alias("turn")).agg(F.min("_key").alias("leader")).drop("turn")
+        met = open_.join(leaders, bucket).where("_key <> leader")
+        met = written(met.withColumns({"u": F.least("_key", "leader"), "v": F.greatest("_key", "leader")}), "met")
+        pairs = met.select("u", "v").distinct()
         if pairs.limit(1).count() == 0:
             break
-        judged = written(similar_pairs(rows, pairs, similarity, words_each), "judged")
-        new = judged.where("similar").select("u", "v")
+        new = written(similar_pairs(rows, pairs, similarity, words_each).where("similar").select("u", "v"), "similar")
         found = new if found is None else found.union(new)
-        failed = judged.where("NOT similar").select("u", F.col("v").alias("_key"))
-        open_ = written(open_.join(failed, ["u", "_key"]).select("_key", "sample", "fp"), "candidates")
+        done = met.join(new, ["u", "v"]).select(*bucket, "_key").union(met.select(*bucket, F.col("leader").alias("_key")))
+        open_ = open_.join(done.distinct(), [*bucket, "_key"], "left_anti")
     equal = same.where("_key <> first").select(F.col("_key").alias("u"), F.col("first").alias("v"))
     roots = components(equal if found is None else equal.union(found))
     grouped = rows.select("_key").join(roots, F.col("_key") == F.col("node"), "left")
