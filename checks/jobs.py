@@ -36,10 +36,10 @@ from redactory.operators.lexicon import attach
 from redactory.operators.model import with_model_spans
 from redactory.operators.upsert import latest
 from redactory.operators.validate import policy_violations, schema_differences
+from redactory.plans.database import append_anonymized
 from redactory.session import scratch_path
 from redactory.session import spread as spread_out
 from redactory.sources.paging import page, page_after, with_pages
-from redactory.sources.tables import append
 from redactory.streaming.jobs import (
     anonymize_stream,
     entity_counts_stream,
@@ -142,12 +142,13 @@ def upsert_masked_keys(spark, sf_dir):
 
 
 def written_tables(spark, sf_dir):
-    """Write tables anonymized, append a checked batch to one of them, read everything back."""
+    """Write tables anonymized, append an anonymized batch to one of them, read it back."""
     path = scratch_path(spark, "tables")
     frames = {"people": people(spark, sf_dir), "customer": read(spark, sf_dir, "customer").drop("c_acctbal")}
     write_anonymized(TableSet(spark, frames), path, Policy.default())
     more = frames["people"].select(*reversed(frames["people"].columns)).filter("locale = 'fr_FR'")
-    append(more.withColumn("user_id", F.concat(F.lit("again-"), "user_id")), f"{path}/people.parquet")
+    more = more.withColumn("user_id", F.concat(F.lit("again-"), "user_id"))
+    append_anonymized(more, f"{path}/people.parquet", Policy.default())
     return spark.read.parquet(f"{path}/people.parquet").select("user_id", "email", "phone", "ssn", "card")
 
 

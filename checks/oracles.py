@@ -312,8 +312,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT {mask_email('n.email')} AS email, n.name, b.bio FROM n JOIN b ON b.email = n.email""",
         "written_tables": people_columns + """, w AS (SELECT user_id, c_email.email, c_phone.phone, c_ssn.ssn, c_card.card
             FROM c_email JOIN c_phone USING (user_id) JOIN c_ssn USING (user_id) JOIN c_card USING (user_id))
-            SELECT * FROM w UNION ALL SELECT concat('again-', user_id), email, phone, ssn, card FROM """
-        + f"{PEOPLE} WHERE locale = 'fr_FR'",
+            SELECT * FROM w UNION ALL SELECT concat('again-', user_id), w.email, w.phone, w.ssn, w.card FROM w JOIN """
+        + f"{PEOPLE} USING (user_id) WHERE locale = 'fr_FR'",
         "empty_copy": f'SELECT "table", CAST(0 AS BIGINT) AS n_rows, count(*) AS n_columns FROM ({described()}) GROUP BY 1',
         "schema_diff": """SELECT * FROM (VALUES ('region', NULL, NULL, NULL, 'missing table'),
             ('nation', 0, 'n_nationkey', 'n_name', 'column differs'), ('nation', 1, 'n_name', 'n_nationkey', 'column differs'),

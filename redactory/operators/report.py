@@ -93,7 +93,9 @@ def entities_found(profile: DataFrame) -> DataFrame:
 def report(profile: DataFrame, policy: Policy, elapsed: float | None = None) -> DataFrame:
     """The nested report as one row; ``elapsed`` adds the wall-clock figures of a finished run."""
     fact = lambda kind, key, n: F.struct(F.lit(kind).alias("kind"), key.alias("key"), n.alias("n"))
-    place = F.concat_ws(".", "table", "column")
+    # Names that hold a dot are quoted, so that no two columns share a key.
+    named = lambda n: F.when(F.col(n).contains("."), F.concat(F.lit("`"), n, F.lit("`"))).otherwise(F.col(n))
+    place = F.concat_ws(".", named("table"), named("column"))
     facts = profile.select(
         F.inline(
             F.concat(

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, Observation
 
 from ..operators.anonymize import anonymize_table, prepare_table
 from ..operators.report import profile_from_metrics, profile_tables, report
-from ..policy import Policy, TablePolicy
-from ..sources.tables import TableSet
+from ..policy import Policy, PolicyError, TablePolicy, policies_of
+from ..sources.tables import TableSet, append
 
 
 def anonymize_tables(
@@ -30,6 +30,23 @@ def database_report(
     return report(profile_tables(dict(tables.frames), policy, dict(policies or {})), policy)
 
 
+def refuse_unknown(tables: TableSet, policies: Mapping[str, TablePolicy]) -> None:
+    unknown = [
+        f"{table}.{column}" if column else table
+        for table, column in policies_of(policies)
+        if table not in tables.frames or column and column not in tables.frames[table].columns
+    ]
+    if unknown:
+        raise PolicyError(f"policies for unknown tables or columns: {unknown}")
+
+
+def append_anonymized(
+    df: DataFrame, path: str, policy: Policy, table_policy: TablePolicy | None = None
+) -> None:
+    """Anonymize a batch and append it to a table that was written anonymized."""
+    append(anonymize_table(df, policy, table_policy), path)
+
+
 def write_anonymized(
     tables: TableSet,
     path: str,
@@ -43,8 +60,9 @@ def write_anonymized(
     The counters are observed while the rows are written, so no text is searched twice, and each
     write is one stage without a shuffle: counters of lost or repeated tasks are not added.
     Small tables do not fill a cluster, hence a few writes run side by side; the first error is
-    raised.
+    raised. Table policies that name unknown tables or columns are refused before anything is written.
     """
+    refuse_unknown(tables, policies or {})
     started = time.monotonic()
 
     def write(name: str) -> DataFrame:

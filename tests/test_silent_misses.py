@@ -5,7 +5,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from redactory import EntityPolicy, Pattern, Policy, anonymize, anonymize_table, findings, lexicon_findings, register_python_mask, upsert
+from redactory import ColumnPolicy, EntityPolicy, Pattern, Policy, TablePolicy, TableSet, anonymize, anonymize_table, findings, lexicon_findings, register_python_mask, upsert, write_anonymized
 from redactory.operators.detect import deny_recognizer
 from redactory.policy import PolicyError
 
@@ -73,3 +73,10 @@ def test_rows_without_a_key_stay(spark):
     new = spark.createDataFrame([(None, 4), (1, 5)], "k int, v int")
     got = upsert(old, new, ["k"]).collect()
     assert sorted((r.k is not None, r.v) for r in got) == [(False, 1), (False, 2), (False, 4), (True, 5)]
+
+
+def test_policies_for_unknown_names_are_refused(spark, tmp_path):
+    tables = TableSet(spark, {"t": texts(spark, "a")})
+    for policies in ({"u": TablePolicy()}, {"t": TablePolicy(columns={"txt": ColumnPolicy()})}):
+        with pytest.raises(PolicyError, match="unknown"):
+            write_anonymized(tables, f"{tmp_path}/out", Policy.default(), policies)
