@@ -363,7 +363,7 @@ def findings_by_language(spark, sf_dir):
 def findings_negative_control(spark, sf_dir):
     """Dialogues hold no personal data: a count per table, expected to be zero."""
     found = findings(texts(spark, sf_dir, "conversations", "conv_id", "text"), ["conv_id"], "text",
-                     only("EMAIL_ADDRESS", "US_SSN", "CREDIT_CARD", "IP_ADDRESS", "URL"))
+                     only("EMAIL_ADDRESS", "PHONE_NUMBER", "US_SSN", "CREDIT_CARD", "LOCATION", "IP_ADDRESS", "URL"))
     return found.agg(F.count(F.lit(1)).alias("n_found"))
 
 

@@ -362,7 +362,7 @@ def oracle_sql() -> dict[str, str]:
             ['EMAIL_ADDRESS', 'PHONE_NUMBER', 'CREDIT_CARD', 'IP_ADDRESS'])}) f JOIN documents d ON d.doc_id = f.doc_id
             WHERE lang = 'en' OR entity <> 'PHONE_NUMBER' GROUP BY 1, 2""",
         "findings_negative_control": f"""SELECT count(*) AS n_found FROM ({spans('(SELECT conv_id * 1000 + turn AS rid, text FROM conversations) s',
-            'rid', 'text', ['EMAIL_ADDRESS', 'US_SSN', 'CREDIT_CARD', 'IP_ADDRESS', 'URL'])})""",
+            'rid', 'text', ['EMAIL_ADDRESS', 'PHONE_NUMBER', 'US_SSN', 'CREDIT_CARD', 'LOCATION', 'IP_ADDRESS', 'URL'])})""",
         "findings_model": places(list(CITIES)),
         "anonymize_documents": rewritten("documents", "doc_id", "text", all_docs),
         "replace_email": rewritten(docs, "doc_id", "text", spans(docs, "doc_id", "text", ["EMAIL_ADDRESS"]), mask="'<EMAIL_ADDRESS>'"),
