@@ -14,8 +14,7 @@ from redactory.session import scratch_path
 
 #: Bytes of text that a Python task holds as objects at once.
 CHUNK_BYTES = 8 << 20
-#: Code points between words: blank, tab, line feed, vertical tab, form feed, carriage return.
-BLANKS = r"[\x20\x09-\x0D]"
+#: A word: what lies between blanks, tabs, line feeds, vertical tabs, form feeds and carriage returns.
 WORD = r"[^\x20\x09-\x0D]+"
 
 

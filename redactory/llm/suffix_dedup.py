@@ -6,8 +6,9 @@ are dealt out by anchor; anchors that occur once are done. Equal segments need n
 are repeats. Different segments around one anchor are cut from the texts and compared in a suffix array: the
 Burrows-Wheeler transform of a bounded number of them is searched breadth-first, extending intervals backwards,
 which finds the common prefixes of neighbouring suffixes by increasing length; the search stops at ``length``,
-and neighbours that it has not parted by then share a window. A window reaches over the anchor by its size on one side at least, so a segment is
-only compared if the hash of that side occurs in another segment around the anchor.
+and neighbours that it has not parted by then share a window. A window of three anchors or more reaches over its
+anchor by as much on one side at least, so a segment is only compared if the hash of that side occurs in another
+segment around the anchor.
 
 An anchor with a great share of all segments is split: its windows are dealt out one by one, by their own hash.
 Such anchors are found beforehand, in a pass that keeps a bounded number of counters.
@@ -412,10 +413,10 @@ def remove_repeats(df: DataFrame, length: int = 100, text: str = "text", key: st
     row of smaller key, or earlier in the same row. Strings do not cross rows; they are judged on the input. A
     null text counts as empty; texts shorter than ``length`` stay. If keys are null or repeated, rows are
     ordered by key (nulls first) and a hash of the text, and every row is a document of its own. An empty table
-    gives no rows. ``length`` must be above the size of an anchor.
+    gives no rows. ``length`` must be three anchors at least.
     """
-    if length <= ANCHOR:
-        raise ValueError(f"length must be above {ANCHOR}")
+    if length < 3 * ANCHOR:
+        raise ValueError(f"length must be {3 * ANCHOR} at least")
     rows = df.select(F.col(key), text_or_empty(text).alias("_text"))
     if unique_ids(df, key):
         rows = rows.withColumn("_key", F.col(key).cast("long"))

@@ -64,7 +64,7 @@ def test_repeats_with_null_and_repeated_keys(documents):
 def test_no_rows_no_repeats(documents):
     assert suffix_dedup.remove_repeats(documents([(1, "x")]).where("doc_id > 1"), LENGTH).count() == 0
     with pytest.raises(ValueError):
-        suffix_dedup.remove_repeats(documents([(1, "x")]), 32)
+        suffix_dedup.remove_repeats(documents([(1, "x")]), 95)
 
 
 def plain_fingerprint(text, words_each):
