@@ -4,9 +4,11 @@ import pytest
 
 import __spark_entry__ as entry
 from checks.compare import compare, connect
+from checks.jobs import QUERIES
+from checks.oracles import oracle_sql
 
 SF = "/root/testdata/sf0.001"
-SQL = entry.oracle_sql()
+SQL = oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -21,8 +23,13 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_queries_without_sql_return_rows(spark):
-    for name in set(entry.queries()) - set(SQL):
-        assert entry.queries()[name](spark, SF).count() > 0, name
+    for name in set(QUERIES) - set(SQL):
+        assert QUERIES[name](spark, SF).count() > 0, name
+
+
+def test_registered_queries():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):
