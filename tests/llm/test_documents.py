@@ -31,6 +31,33 @@ def test_query_equals_sql(spark, duck, name):
     assert rows_of(frame.columns, frame.collect()) == rows_of([d[0] for d in result.description], result.fetchall())
 
 
+COLUMNS = {
+    "op1_suffix_dedup": "doc_id n_bytes n_removed n_spans kept_sha256",
+    "op2_simhash": "doc_id fingerprint component_id",
+    "op3_byte_bpe": "doc_id n_tokens ids_sha256 decoded_sha256",
+    "op5_token_counts": "doc_id n_bytes n_tokens over_limit",
+    "op7_personal_data": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
+    "op8_token_files": "doc_id start n_tokens ids_crc32",
+    "op9_toxicity": "doc_id held_out score predicted",
+    "op10_quality": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
+}
+
+
+@pytest.mark.parametrize("name", sorted(COLUMNS))
+def test_query_covers_every_document(spark, name):
+    rows = queries.QUERIES[name](spark, SF).collect()
+    assert rows[0].__fields__ == COLUMNS[name].split()
+    documents = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect()
+    assert Counter(r.doc_id for r in rows) == Counter(r.doc_id for r in documents)
+    if name == "op7_personal_data":
+        texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+        names = [k.name for k in personal_data.KINDS]
+        for row in rows:
+            base = ",".join(f"{names[k]}:{a}:{b}" for a, k, b in plain_spans(texts[row.doc_id] or ""))
+            assert row.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+            assert set(filter(None, base.split(","))) <= set(row.spans.split(","))
+
+
 # --- search ---
 
 
