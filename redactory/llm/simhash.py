@@ -281,8 +281,8 @@ def near_duplicates(
 #: Fingerprints of samples, and shingles in a sample. Two texts of similarity s have a common sample with
 #: probability 1 - (1 - s**4)**16: 0.9998 at 0.8.
 SAMPLES, SAMPLE_SHINGLES = 16, 4
-#: Texts of a bucket that all others in it are compared with in a round.
-LEADERS = 8
+#: Texts of a bucket that all others in it are compared with in the first round.
+LEADERS = 4
 ORDERS = np.random.default_rng(SEED).integers(1, 1 << 63, SAMPLES * SAMPLE_SHINGLES, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -363,11 +363,11 @@ def similar_groups(
     buckets = linked.select("_key", F.lit(0).alias("sample"), F.coalesce("root", "fp").alias("fp"))
     sampled = different.select("_key", F.posexplode("fps").alias("sample", "fp")).where("sample > 0")
     open_ = written(buckets.union(sampled), "candidates")
-    found, bucket = None, ["sample", "fp"]
+    found, bucket, several = None, ["sample", "fp"], LEADERS
     while True:
         shared = open_.groupBy(*bucket).agg(F.count("*").alias("n")).where("n > 1").select(*bucket)
         open_ = written(open_.join(shared, bucket), "candidates")
-        turn = F.pmod(F.xxhash64("_key"), F.lit(LEADERS))
+        turn = F.pmod(F.xxhash64("_key"), F.lit(several))
         leaders = open_.groupBy(*bucket, turn.alias("turn")).agg(F.min("_key").alias("leader")).drop("turn")
         met = open_.join(leaders, bucket).where("_key <> leader")
         met = written(met.withColumns({"u": F.least("_key", "leader"), "v": F.greatest("_key", "leader")}), "met")
@@ -378,6 +378,7 @@ def similar_groups(
         found = new if found is None else found.union(new)
         done = met.join(new, ["u", "v"]).select(*bucket, "_key").union(met.select(*bucket, F.col("leader").alias("_key")))
         open_ = open_.join(done.distinct(), [*bucket, "_key"], "left_anti")
+        several *= 2  # what is left differs from all leaders so far; rounds grow with the logarithm of a bucket
     equal = same.where("_key <> first").select(F.col("_key").alias("u"), F.col("first").alias("v"))
     roots = components(equal if found is None else equal.union(found))
     grouped = rows.select("_key").join(roots, F.col("_key") == F.col("node"), "left")
