@@ -367,6 +367,9 @@ def similar_groups(
     while True:
         shared = open_.groupBy(*bucket).agg(F.count("*").alias("n")).where("n > 1").select(*bucket)
         open_ = written(open_.join(shared, bucket), "candidates")
+        if found is None:  # only texts that share a bucket are read and shuffled in the rounds
+            texts = written(rows.join(open_.select("_key").distinct(), "_key", "left_semi"), "texts")
+            found = rows.select(F.col("_key").alias("u"), F.col("_key").alias("v")).limit(0)
         turn = F.pmod(F.xxhash64("_key"), F.lit(several))
         leaders = open_.groupBy(*bucket, turn.alias("turn")).agg(F.min("_key").alias("leader")).drop("turn")
         met = open_.join(leaders, bucket).where("_key <> leader")
@@ -374,12 +377,12 @@ def similar_groups(
         pairs = met.select("u", "v").distinct()
         if pairs.limit(1).count() == 0:
             break
-        new = written(similar_pairs(rows, pairs, similarity, words_each).where("similar").select("u", "v"), "similar")
-        found = new if found is None else found.union(new)
+        new = written(similar_pairs(texts, pairs, similarity, words_each).where("similar").select("u", "v"), "similar")
+        found = found.union(new)
         done = met.join(new, ["u", "v"]).select(*bucket, "_key").union(met.select(*bucket, F.col("leader").alias("_key")))
         open_ = open_.join(done.distinct(), [*bucket, "_key"], "left_anti")
         several *= 2  # what is left differs from all leaders so far; rounds grow with the logarithm of a bucket
     equal = same.where("_key <> first").select(F.col("_key").alias("u"), F.col("first").alias("v"))
-    roots = components(equal if found is None else equal.union(found))
+    roots = components(equal.union(found))
     grouped = rows.select("_key").join(roots, F.col("_key") == F.col("node"), "left")
     return grouped.select(F.col("_key").alias(key), F.coalesce("root", "_key").alias("group_id"))
