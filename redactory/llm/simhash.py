@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, map_texts, text_or_empty, written
+from .common import map_texts, numbered, text_or_empty, written
 from .components import components
 
 BITS = 64
@@ -281,8 +281,10 @@ def near_duplicates(
 #: Fingerprints of samples, and shingles in a sample. Two texts of similarity s have a common sample with
 #: probability 1 - (1 - s**4)**16: 0.9998 at 0.8.
 SAMPLES, SAMPLE_SHINGLES = 16, 4
-#: Texts of a bucket that all others in it are compared with in the first round.
-LEADERS = 4
+#: Texts of a block; all its pairs are compared in one place.
+BLOCK = 256
+#: Cells of the table of texts and shingles that are counted at once.
+COMMON_CELLS = 1 << 21
 ORDERS = np.random.default_rng(SEED).integers(1, 1 << 63, SAMPLES * SAMPLE_SHINGLES, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -310,27 +312,104 @@ def sample_fingerprints(text: str, words_each: int) -> list[int]:
     return np.packbits(majority, axis=1, bitorder="little").reshape(-1).view("<i8").tolist()
 
 
-def similar_pairs(texts: DataFrame, pairs: DataFrame, similarity: float, words_each: int) -> DataFrame:
-    """``u, v, similar``: whether the texts (``_key, _text``) of each pair share enough of their shingles (Jaccard)."""
+def similar_in(sets: list[np.ndarray], side: np.ndarray, similarity: float) -> np.ndarray:
+    """For each set the place of the first one that chains of similar sets reach. Every pair is compared; if there
+    are two sides, every pair across them."""
+    sizes = np.array([len(s) for s in sets])
+    hashes, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(hashes, kind="stable")
+    hashes, owner = hashes[order], owner[order]
+    column = np.cumsum(np.append(False, hashes[1:] != hashes[:-1])) if len(hashes) else np.zeros(0, np.int64)
+    several = np.bincount(column) > 1  # only shingles of two sets or more count
+    owner, column = owner[several[column]], (np.cumsum(several) - 1)[column[several[column]]]
+    common, step = np.zeros((len(sets), len(sets)), np.float32), max(256, COMMON_CELLS // len(sets))
+    for first in range(0, int(several.sum()), step):
+        lo, hi = np.searchsorted(column, [first, first + step])
+        held = np.zeros((len(sets), min(step, int(several.sum()) - first)), np.float32)
+        held[owner[lo:hi], column[lo:hi] - first] = 1
+        common += held @ held.T
+    shared = common.astype(np.float64)
+    near = shared >= similarity * (sizes[:, None] + sizes[None, :] - shared)
+    if side.any() and not side.all():
+        near &= side[:, None] != side[None, :]
+    label = np.arange(len(sets))
+    while True:
+        lower = np.minimum(label, np.where(near, label[None, :], len(sets)).min(axis=1))
+        lower = lower[lower]
+        if np.array_equal(lower, label):
+            return label
+        label = lower
+
+
+def group_links(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """``u, v``: links that connect what chains of similar texts connect in each group (``g1, g2, i, j``) of ``members``
+    (further columns ``side, _key``). Groups are of bounded size; ``sets`` holds ``_key, hashes``."""
+    group = ["g1", "g2", "i", "j"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "b"):
-            found = []
-            last, held = None, None
-            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
-                if a != last:
-                    last, held = a, shingle_hashes(a, words_each)
-                other = shingle_hashes(b, words_each)
-                common = len(np.intersect1d(held, other, assume_unique=True))
-                found.append(common >= similarity * (len(held) + len(other) - common))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("u"), batch.column("v"), pa.array(found, pa.bool_())], names=["u", "v", "similar"]
-            )
-
-    first = texts.select(F.col("_key").alias("u"), F.col("_text").alias("a"))
-    second = texts.select(F.col("_key").alias("v"), F.col("_text").alias("b"))
-    both = pairs.join(second, "v").join(first, "u").select("u", "v", "a", "b")
-    return both.mapInArrow(run, "u long, v long, similar boolean")
+        name, keys, sides, sets_ = None, [], [], []
+
+        def links_of() -> tuple[list[int], list[int]]:
+            if len(keys) < 2:
+                return [], []
+            label = similar_in(sets_, np.array(sides), similarity)
+            moved = np.flatnonzero(label != np.arange(len(label)))
+            return [keys[x] for x in moved], [keys[label[x]] for x in moved]
+
+        for batch in itertools.chain(batches, [None]):
+            u, v = [], []
+            if batch is None:
+                u, v = links_of()
+            else:
+                names = zip(*[batch.column(c).to_pylist() for c in group])
+                rows = zip(names, batch.column("side").to_pylist(), batch.column("_key").to_pylist(), batch.column("hashes"))
+                for own, side, key, hashes in rows:
+                    if own != name:
+                        more_u, more_v = links_of()
+                        u += more_u
+                        v += more_v
+                        name, keys, sides, sets_ = own, [], [], []
+                    keys.append(key)
+                    sides.append(side)
+                    sets_.append(np.frombuffer(hashes.as_py(), "<u8"))
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+    dealt = members.join(sets, "_key").repartition(*group).sortWithinPartitions(*group, "side", "_key")
+    return dealt.select(*group, "side", "_key", "hashes").mapInArrow(run, "u long, v long")
+
+
+def undecided(open_: DataFrame, found: DataFrame) -> DataFrame:
+    """``sample, fp, _key, root, n`` of the buckets whose ``n`` texts are not all in one component of the links. Of
+    buckets that hold the same texts (by count, smallest, largest and 128 bits of hashes) one is left."""
+    bucket = ["sample", "fp"]
+    roots = components(found)
+    rooted = open_.join(roots, open_["_key"] == roots["node"], "left").select(*bucket, "_key", F.coalesce("root", "_key").alias("root"))
+    rooted = written(rooted, "rooted")
+    h1, h2 = F.bit_xor(F.xxhash64("_key")), F.bit_xor(F.xxhash64("_key", F.lit(1)))
+    sizes = rooted.groupBy(*bucket).agg(
+        F.count("*").alias("n"), F.min("_key").alias("low"), F.max("_key").alias("high"),
+        h1.alias("h1"), h2.alias("h2"), F.min("root").alias("first"), F.max("root").alias("last"),
+    )
+    mixed = sizes.where("first <> last").groupBy("n", "low", "high", "h1", "h2").agg(F.min(F.struct(*bucket)).alias("b"))
+    return written(rooted.join(mixed.select("b.*", "n"), bucket), "undecided")
+
+
+def block_pairs(mixed: DataFrame) -> DataFrame:
+    """Members of the groups that meet the blocks of each bucket, each pair of blocks once. Texts of a bucket are in
+    order of their component, so blocks that lie in one component need not meet."""
+    bucket = ["sample", "fp"]
+    ranked = written(numbered(mixed.select(*bucket, "root", "_key"), [F.col(c) for c in (*bucket, "root", "_key")], "_place"), "ranked")
+    firsts = ranked.groupBy(*bucket).agg(F.min("_place").alias("_first"))
+    placed = ranked.join(firsts, bucket)
+    placed = written(placed.select(*bucket, "root", "_key", F.floor((F.col("_place") - F.col("_first")) / BLOCK).alias("block")), "blocks")
+    blocks = placed.groupBy(*bucket, "block").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    left = blocks.select(*bucket, F.col("block").alias("i"), "low")
+    right = blocks.select(*bucket, F.col("block").alias("j"), "high")
+    pairs = written(left.join(right, bucket).where("i <= j AND low <> high").select(*bucket, "i", "j"), "meetings")
+    one = pairs.withColumn("block", F.col("i")).withColumn("side", F.lit(0))
+    other = pairs.where("i < j").withColumn("block", F.col("j")).withColumn("side", F.lit(1))
+    met = one.union(other).join(placed.drop("root"), [*bucket, "block"])
+    return met.select(F.col("sample").cast("long").alias("g1"), F.col("fp").alias("g2"), "i", "j", "side", "_key")
 
 
 def similar_groups(
@@ -341,9 +420,10 @@ def similar_groups(
     Texts are similar if their sets of shingles have a Jaccard index of ``similarity`` or more. The fingerprints
     of whole texts at 0.8 differ in some ten bits of 64, more than probes can follow; so candidates are texts
     whose whole fingerprints link within ``radius`` and texts that share the fingerprint of a sample. Equal texts
-    are one. In every bucket all texts are compared with a few leaders, those that are similar to none with new
-    leaders, and so on until none is left; all decisions are by the shingles themselves. Keys must be whole
-    numbers, not null and not repeated. Null texts count as empty.
+    are one. Of every bucket all pairs are compared, by the shingles themselves, but those that lie in one component
+    already, where the result cannot change: texts first meet in blocks around the leader that they share most
+    buckets with, then in blocks of each bucket, then blocks meet block by block. Keys must be whole numbers, not
+    null and not repeated. Null texts count as empty.
     """
     rows = df.select(F.col(key).cast("long").alias("_key"), text_or_empty(text).alias("_text"))
 
@@ -362,27 +442,40 @@ def similar_groups(
     linked = whole.join(stars_, whole["fp"] == stars_["node"], "left")
     buckets = linked.select("_key", F.lit(0).alias("sample"), F.coalesce("root", "fp").alias("fp"))
     sampled = different.select("_key", F.posexplode("fps").alias("sample", "fp")).where("sample > 0")
-    open_ = written(buckets.union(sampled), "candidates")
-    found, bucket, several = None, ["sample", "fp"], LEADERS
-    while True:
-        shared = open_.groupBy(*bucket).agg(F.count("*").alias("n")).where("n > 1").select(*bucket)
-        open_ = written(open_.join(shared, bucket), "candidates")
-        if found is None:  # only texts that share a bucket are read and shuffled in the rounds
-            texts = written(rows.join(open_.select("_key").distinct(), "_key", "left_semi"), "texts")
-            found = rows.select(F.col("_key").alias("u"), F.col("_key").alias("v")).limit(0)
-        turn = F.pmod(F.xxhash64("_key"), F.lit(several))
-        leaders = open_.groupBy(*bucket, turn.alias("turn")).agg(F.min("_key").alias("leader")).drop("turn")
-        met = open_.join(leaders, bucket).where("_key <> leader")
-        met = written(met.withColumns({"u": F.least("_key", "leader"), "v": F.greatest("_key", "leader")}), "met")
-        pairs = met.select("u", "v").distinct()
-        if pairs.limit(1).count() == 0:
-            break
-        new = written(similar_pairs(texts, pairs, similarity, words_each).where("similar").select("u", "v"), "similar")
-        found = found.union(new)
-        done = met.join(new, ["u", "v"]).select(*bucket, "_key").union(met.select(*bucket, F.col("leader").alias("_key")))
-        open_ = open_.join(done.distinct(), [*bucket, "_key"], "left_anti")
-        several *= 2  # what is left differs from all leaders so far; rounds grow with the logarithm of a bucket
-    equal = same.where("_key <> first").select(F.col("_key").alias("u"), F.col("first").alias("v"))
-    roots = components(equal.union(found))
+    every, bucket = written(buckets.union(sampled), "candidates"), ["sample", "fp"]
+    shared = every.groupBy(*bucket).agg(F.count("*").alias("n"), F.min("_key").alias("leader")).where("n > 1").drop("n")
+    open_ = written(every.join(shared, bucket), "candidates")
+    texts = rows.join(open_.select("_key").distinct(), "_key", "left_semi")
+
+    def shingles(texts: Iterator[list[str]]) -> Iterator[list[list[bytes]]]:
+        for batch in texts:
+            yield [[shingle_hashes(text, words_each).astype("<u8").tobytes() for text in batch]]
+
+    sets = written(map_texts(texts, ["_key"], "_text", shingles, "hashes binary"), "sets")
+    found = same.where("_key <> first").select(F.col("_key").alias("u"), F.col("first").alias("v"))
+
+    # every text with the leader that it meets most often, and with the others of that leader in blocks
+    often = open_.where("_key <> leader").groupBy("_key", "leader").agg(F.count("*").alias("times"))
+    often = often.groupBy("_key").agg(F.max(F.struct("times", (-F.col("leader")).alias("l"))).alias("o"))
+    follows = written(often.select("_key", (-F.col("o.l")).alias("leader")), "leaders")
+    led = follows.groupBy("leader").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    followers = follows.join(led, "leader").select("leader", F.pmod(F.xxhash64("_key"), "blocks").alias("i"), "_key")
+    leaders = led.select("leader", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("i"), F.col("leader").alias("_key"))
+    members = followers.union(leaders)
+    members = members.select(F.col("leader").alias("g1"), F.lit(0).cast("long").alias("g2"), "i", F.col("i").alias("j"), F.lit(0).alias("side"), "_key")
+    found = found.union(written(group_links(members, sets, similarity), "similar"))
+
+    # all pairs of the blocks of each bucket that is not in one component; a bucket of one block is done then
+    mixed = undecided(open_, found)
+    block = F.when(F.col("n") <= BLOCK, F.lit(0).cast("long")).otherwise(F.pmod(F.xxhash64("_key", "sample"), F.ceil(F.col("n") / BLOCK)))
+    members = mixed.select(F.col("sample").cast("long").alias("g1"), F.col("fp").alias("g2"), block.alias("i"), F.lit(0).cast("long").alias("j"), F.lit(0).alias("side"), "_key")
+    found = found.union(written(group_links(members, sets, similarity), "similar"))
+
+    # all pairs of blocks of each larger bucket that is still not in one component
+    large = mixed.where(F.col("n") > BLOCK).select(*bucket, "_key")
+    if large.limit(1).count():
+        mixed = undecided(large, found)
+        found = found.union(written(group_links(block_pairs(mixed), sets, similarity), "similar"))
+    roots = components(found)
     grouped = rows.select("_key").join(roots, F.col("_key") == F.col("node"), "left")
     return grouped.select(F.col("_key").alias(key), F.coalesce("root", "_key").alias("group_id"))
