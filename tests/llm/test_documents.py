@@ -124,6 +124,12 @@ def test_toxicity(spark, documents):
     assert {r.predicted for r in got if r.doc_id in (9000, 9001, 9002)} == {0}
 
 
+def test_labels_of_unknown_ids_take_no_place(spark, documents):
+    rows, labels = toxic_rows()
+    known = spark.createDataFrame([*labels, *[(10_000 + i, i % 2) for i in range(3000)]], "doc_id long, toxic int")
+    assert toxicity.learning_rows(documents(rows), known, "toxic", max_rows=200).count() == 200
+
+
 def test_mentions_of_groups_weigh_less(spark, documents, monkeypatch):
     rows, labels = toxic_rows()
     known = spark.createDataFrame(labels, "doc_id long, toxic int")
