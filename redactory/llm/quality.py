@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from .common import WORD, text_or_empty, written
 
 WINDOW_WORDS = 8
+KIND_WORDS = 200
 SYMBOLS = "#*$%&|<>"
 
 
@@ -39,7 +40,7 @@ RULES = (
     Rule("lines", "try_divide(n_dup_lines, n_lines)", (0.05, 0.1, 0.2, 0.3)),
     Rule("upper", "try_divide(n_upper, word_chars)", (0.2, 0.3, 0.5)),
     Rule("long_words", "try_divide(word_chars, n_words)", (8.0, 10.0, 12.0, 15.0)),
-    Rule("few_kinds", "1 - try_divide(n_kinds, least(n_words, 200))", (0.5, 0.6, 0.7, 0.8)),
+    Rule("few_kinds", "1 - try_divide(n_kinds, n_words)", (0.5, 0.6, 0.7, 0.8)),
 )
 #: Share of good documents of a stratum that all rules together may reject, and the probability that they reject more.
 RISK, ERROR = 0.05, 0.1
@@ -83,14 +84,17 @@ def repeat_words(words: Column, size: int = WINDOW_WORDS) -> Column:
 
 
 def measures(text: str = "text") -> dict[str, Column]:
-    """Counts over a whole text; a null text counts as empty."""
+    """Counts over a whole text; a null text counts as empty. Different words are counted in blocks of ``KIND_WORDS``
+    words, the last one included, so that their share does not fall with the length of a text."""
     whole = text_or_empty(text)
     words = F.regexp_extract_all(whole, F.lit(f"{WORD}+"), F.lit(0))
     visible = F.length(without(whole, " \t\n\v\f\r"))
     lines = F.filter(F.split(whole, "\n", -1), lambda line: F.regexp(line, F.lit(WORD)))
 
     def of_words(w: Column) -> Column:
-        kinds = F.size(F.array_distinct(F.slice(w, 1, 200)))
+        starts = F.sequence(F.lit(1), F.greatest(F.size(w), F.lit(1)), F.lit(KIND_WORDS))
+        kinds = F.transform(starts, lambda at: F.size(F.array_distinct(F.slice(w, at, KIND_WORDS))))
+        kinds = F.aggregate(kinds, F.lit(0), lambda total, n: total + n)
         return F.struct(F.size(w).alias("n"), kinds.alias("kinds"), repeat_words(w).alias("repeats"))
 
     def of_lines(x: Column) -> Column:

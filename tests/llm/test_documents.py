@@ -300,6 +300,27 @@ def test_proven_cutoffs(spark, documents):
     assert sum(not got[i] for i, _ in good) <= 0.05 * len(good)
 
 
+def test_kinds_of_words_over_the_whole_text(spark, documents):
+    r = random.Random(8)
+
+    def varied(n):
+        return [f"w{r.randrange(10**6)}" for _ in range(n)]
+
+    def poor(n):
+        return [r.choice("abcdefghijkl") for _ in range(n)]
+
+    good = [(i, " ".join(varied(40))) for i in range(2000)]
+    tail, start = varied(200) + poor(1850), poor(200) + varied(1850)
+    docs = [*good, (5000, " ".join(tail)), (5001, " ".join(start))]
+    labels = spark.createDataFrame([(i, 1) for i, _ in good], "doc_id long, quality int")
+    got = {row.doc_id: row for row in quality.quality(documents(docs), labels).collect()}
+    assert not got[5000].base_failed and not got[5000].kept
+    assert got[5001].kept
+    rows = {row._key: row.n_kinds for row in quality.measured(documents(docs), "doc_id", "lang").collect()}
+    for key, words in ((5000, tail), (5001, start)):
+        assert rows[key] == sum(len(set(words[at : at + 200])) for at in range(0, len(words), 200))
+
+
 # --- pipeline ---
 
 
