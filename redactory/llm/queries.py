@@ -10,6 +10,8 @@ from redactory.session import scratch_path
 
 from .byte_bpe import encode_digests
 from .common import table
+from .context_trees import score_texts
+from .lexical_search import ranked_search
 from .mixing import mix
 from .personal_data import personal_data, texts_of
 from .quality import quality
@@ -82,6 +84,15 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10 == 0
+    return score_texts(table(spark, sf_dir, "documents"), held_out)
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_simhash": op2_simhash,
@@ -93,6 +104,8 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
+    "op12_language_model": op12_language_model,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLE_SQL = {
@@ -136,5 +149,31 @@ WITH v AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+""",
+    "op13_lexical_search": r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS terms
+  FROM documents
+), q AS (
+  SELECT item_id, row_number() OVER () AS item, list_distinct(regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')) AS terms
+  FROM benchmark
+), c AS (
+  SELECT count(*) AS docs, CAST(sum(len(terms)) AS BIGINT) AS total FROM d WHERE len(terms) > 0
+), f AS (
+  SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM d) GROUP BY ALL
+), w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS weight
+  FROM f, c GROUP BY term, docs
+), s AS (
+  SELECT item, row, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len(d.terms) * docs) // total)))) AS BIGINT) AS score
+  FROM (SELECT item, unnest(terms) AS term FROM q) JOIN f USING (term) JOIN w USING (term) JOIN d USING (row), c
+  GROUP BY item, row
+), r AS (
+  SELECT item, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS FIRST) AS INTEGER) AS rank, doc_id, score
+  FROM s JOIN d USING (row) WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM r JOIN q USING (item) WHERE rank <= 10
 """,
 }
