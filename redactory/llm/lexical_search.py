@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks, map_texts, text_or_empty, written
+from .chunked import to_arrow
+from .common import map_texts, text_or_empty, written
 
 #: Bytes of different terms of the items that are searched together; an item is never divided.
 BLOCK_BYTES = 4 << 20
@@ -152,12 +153,6 @@ def search_block(
     return found.where("n > 0 AND size(terms) > 0").mapInArrow(run, schema)
 
 
-def to_arrow(schema: T.StructType) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    return to_arrow_schema(schema)
-
-
 def ranked_search(
     df: DataFrame,
     items: DataFrame,

@@ -17,6 +17,7 @@ from .personal_data import personal_data, texts_of
 from .quality import quality
 from .simhash import near_duplicates
 from .suffix_dedup import remove_repeats
+from .token_alignment import align_tokenizers
 from .token_counts import count_tokens
 from .token_files import token_index, write_tokens
 from .top_k import top_k
@@ -84,6 +85,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return align_tokenizers(table(spark, sf_dir, "documents"), *files)
+
+
 def op12_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10 == 0
     return score_texts(table(spark, sf_dir, "documents"), held_out)
@@ -104,6 +110,7 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
+    "op11_token_alignment": op11_token_alignment,
     "op12_language_model": op12_language_model,
     "op13_lexical_search": op13_lexical_search,
 }
