@@ -7,6 +7,7 @@ answers meet the texts of their chunk again.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,17 +19,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import written
+from redactory.session import scratch_path
 
 #: Bytes of text in a chunk; a longer text is a chunk with what begins in it.
 CHUNK_BYTES = 16 << 20
+#: Buckets of a table of chunks at most, several chunks in a bucket beyond.
+MAX_BUCKETS = 10_000
 
 
 def in_chunks(df: DataFrame, text: str, limit: int = CHUNK_BYTES) -> DataFrame:
     """``df`` with the number of its chunk, ``_chunk``, written once so that a repeated task cannot deal anew.
 
-    Rows of one task whose texts begin within the same ``limit`` bytes share a chunk.
+    Rows of one task whose texts begin within the same ``limit`` bytes share a chunk; small splits are read together, as
+    far as the cores stay busy. The table has buckets by chunk: answers travel to the texts, not the other way round.
     """
+    spark = df.sparkSession
+    whole = df.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
+    number = whole // limit + 1
+    df = df.coalesce(max(number, spark.sparkContext.defaultParallelism))
     schema = T.StructType([*df.schema, T.StructField("_chunk", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -40,7 +48,13 @@ def in_chunks(df: DataFrame, text: str, limit: int = CHUNK_BYTES) -> DataFrame:
             seen = int(ends[-1]) if len(ends) else seen
             yield pa.RecordBatch.from_arrays([*batch.columns, chunk], names=schema.names)
 
-    return written(df.mapInArrow(run, schema), "chunks")
+    name = f"chunks_{uuid.uuid4().hex}"
+    buckets = min(4 * max(number, spark.sparkContext.defaultParallelism), MAX_BUCKETS)
+    write = df.mapInArrow(run, schema).write.bucketBy(buckets, "_chunk").option("compression", "zstd")
+    write.option("path", scratch_path(spark, "chunks")).saveAsTable(name)
+    found = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the name only: the files belong to the scratch folder
+    return found
 
 
 def by_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[pa.RecordBatch]]]:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .chunked import answer, by_chunk, in_chunks, lowered
-from .common import text_or_empty, written
+from .common import chunks, text_or_empty, written
 
 #: Bytes of context.
 DEPTH = 5
@@ -38,7 +38,9 @@ TOP = 3
 #: Strings in a group, about.
 GROUP = 200_000
 #: Bytes of text that ask for their values together.
-CHUNK = 32 << 20
+CHUNK = 64 << 20
+#: Bytes of text of a chunk that are scored together.
+PIECE = 8 << 20
 #: No byte of UTF-8: stands before and after every text, so that the end of a text is predicted as well.
 EDGE = 0xFF
 #: Places of text that are looked at together.
@@ -255,11 +257,9 @@ def score_texts(
     words = written(words, "words")
     total, different = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
     counts = written(asked.where("string IS NOT NULL").groupBy("string").agg(F.sum("n").alias("n")), "strings")
-    known = asked.select("_chunk", "word").join(words.select("word", F.col("n").cast("double").alias("value")), "word")
-    costs = asked.select("_chunk", "string").join(model(counts, depth), "string")
-    answers = known.select("_chunk", F.lit(None).cast("long").alias("string"), "word", "value").unionByName(
-        costs.select("_chunk", "string", F.lit(None).cast("binary").alias("word"), "value")
-    )
+    known = asked.where("word IS NOT NULL").select("_chunk", "word").join(words, "word")
+    costs = asked.where("string IS NOT NULL").select("_chunk", "string").join(model(counts, depth), "string")
+    answers = known.unionByName(costs, allowMissingColumns=True)
     field = texts.schema["_key"].dataType
     schema = T.StructType().add("_key", field).add("held_out", "boolean")
     for name, kind in {
@@ -270,22 +270,29 @@ def score_texts(
 
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
         of_word = right.filter(pc.is_valid(right.column("word")))
-        seen = dict(zip(of_word.column("word").to_pylist(), of_word.column("value").to_pylist()))
+        seen = dict(zip(of_word.column("word").to_pylist(), of_word.column("n").to_pylist()))
         of_string = right.filter(pc.is_valid(right.column("string")))
         values, at = np.unique(of_string.column("string").to_numpy(), return_index=True)  # a cut chunk asks twice
         place, cost = pd.Index(values), of_string.column("value").to_numpy()[at]
-        whole = [t.encode() for t in left.column("_text").to_pylist()]
-        score = np.zeros(len(whole))
-        for places, owner in blocks(whole, depth):
-            score += np.bincount(owner, cost[place.get_indexer(places)], len(whole))
-        tokens, learned, base = [], [], []
-        for text in whole:
-            n = np.array([*map(seen.__getitem__, text.split()), seen[b""]])
-            tokens.append(len(n))
-            learned.append(int(np.count_nonzero(n)))
-            base.append(float(np.log10((n + 0.1) / (total + 0.1 * (different + 1))).sum()))
-        size = np.array([len(t) + 1 for t in whole])
-        columns = [left.column("_key"), left.column("_held"), tokens, learned, [total] * len(whole), base]
-        return pa.table([*columns, score, -score / math.log10(2) / size], names=schema.names)
+        log_chance = lambda n: np.log10((n + 0.1) / (total + 0.1 * (different + 1)))
+        parts = []
+        for batch in chunks(iter(left.to_batches()), "_text", PIECE):
+            whole = [t.encode() for t in batch.column("_text").to_pylist()]
+            score = np.zeros(len(whole))
+            for places, owner in blocks(whole, depth):
+                score += np.bincount(owner, cost[place.get_indexer(places)], len(whole))
+            found = [np.array([*map(seen.__getitem__, text.split()), seen[b""]]) for text in whole]
+            size = np.array([len(t) + 1 for t in whole])
+            columns = {
+                "n_tokens": [len(n) for n in found],
+                "n_known": [int(np.count_nonzero(n)) for n in found],
+                "train_tokens": [total] * len(whole),
+                "base_score": [float(log_chance(n).sum()) for n in found],
+                "score": score,
+                "bits_per_byte": -score / math.log10(2) / size,
+            }
+            kept = [batch.column("_key"), batch.column("_held")]
+            parts.append(pa.RecordBatch.from_arrays([*kept, *map(pa.array, columns.values())], names=schema.names))
+        return pa.Table.from_batches(parts)
 
     return answer(texts, answers, scored, schema).withColumnRenamed("_key", key)
