@@ -350,6 +350,40 @@ def anonymize_places(spark, sf_dir):
     return anonymize(attach(base, ["user_id"], found), "address", only("LOCATION"), "spans").drop("spans")
 
 
+def names_policy(spark, sf_dir) -> Policy:
+    """The default policy with the people, countries and companies of the tables, and the cities of the addresses."""
+    listed = lambda df, column, entity: df.select(F.col(column).alias("term"), F.lit(entity).alias("entity")).distinct()
+    names = listed(derived.people(spark, sf_dir), "name", "PERSON")
+    names = names.unionByName(listed(read(spark, sf_dir, "nation"), "n_name", "LOCATION"))
+    names = names.unionByName(listed(read(spark, sf_dir, "supplier"), "s_name", "ORG"))
+    return Policy.default().with_listed(names.withColumn("score", F.lit(0.85)))
+
+
+def contacts(spark, sf_dir) -> DataFrame:
+    columns = ("user_id", "name", "bio", "note", "n_name", "s_name", "locale")
+    return spread(derived.contacts(spark, sf_dir).select(*columns), "user_id")
+
+
+def anonymize_table_names(spark, sf_dir):
+    """Listed people, countries and companies masked wherever they stand, with everything that patterns find."""
+    return anonymize_table(contacts(spark, sf_dir), names_policy(spark, sf_dir))
+
+
+def report_names(spark, sf_dir):
+    """The report of the same job: detections per column and entity."""
+    profile = R.profile_tables({"contacts": contacts(spark, sf_dir)}, names_policy(spark, sf_dir))
+    return profile.select("column", "values_anonymized", F.explode("entities").alias("entity", "n_found"))
+
+
+def stream_anonymize_names(spark, sf_dir):
+    """The same job on a stream: files in, masked rows out."""
+    arriving, out = scratch_path(spark, "names-in"), scratch_path(spark, "names-out")
+    contacts(spark, sf_dir).write.parquet(arriving)
+    stream = file_stream(spark, arriving, "*.parquet", files_per_batch=4)
+    anonymize_stream(stream, names_policy(spark, sf_dir), out, scratch_path(spark, "names-state")).awaitTermination()
+    return spark.read.parquet(out)
+
+
 def findings_optional_entities(spark, sf_dir):
     return findings(payments(spark, sf_dir), ["order_key"], "note", only("DATE_TIME", "MONEY", "IBAN_CODE"))
 
@@ -667,6 +701,9 @@ QUERIES = {
     "findings_place_join_shuffled": findings_place_join_shuffled,
     "findings_supplier_names": findings_supplier_names,
     "anonymize_places": anonymize_places,
+    "anonymize_table_names": anonymize_table_names,
+    "report_names": report_names,
+    "stream_anonymize_names": stream_anonymize_names,
     "findings_optional_entities": findings_optional_entities,
     "findings_by_language": findings_by_language,
     "findings_negative_control": findings_negative_control,

@@ -6,9 +6,10 @@ from __future__ import annotations
 from redactory.policy_defaults import ADDRESS_CONTEXT, DEFAULT_POLICY, STREET_WORDS
 
 from . import jobs
-from .people import CITIES, PAYMENTS_SQL, PEOPLE_SQL, duck
+from .people import CITIES, CONTACTS_SQL, PAYMENTS_SQL, PEOPLE_SQL, duck
 
 PEOPLE = f"({duck(PEOPLE_SQL)}) people"
+CONTACTS = f"({duck(CONTACTS_SQL)}) contacts"
 PAYMENTS = f"({duck(PAYMENTS_SQL)}) payments"
 ENTITY = {e["entity_type"]: e for e in DEFAULT_POLICY["entities"].values()}
 
@@ -273,6 +274,45 @@ def places(terms: list[str]) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def listed(key: str, text: str, entity: str, terms: str, context: tuple[str, ...]) -> str:
+    """Whole-word occurrences in ``text`` of the column of ``terms`` that is named first there; a term that another one
+    of the list holds does not occur in these tables."""
+    edge = lambda part: f"({part} = '' OR NOT regexp_matches({part}, '^[0-9A-Za-z_]$'))"
+    ahead = "lower(substr(t, greatest(s - 60, 0) + 1, s - greatest(s - 60, 0)))"
+    near = " OR ".join(f"contains({ahead}, {q(w)})" for w in context)
+    return f"""SELECT {key}, {q(entity)} AS entity, CAST(s AS INTEGER) AS start, CAST(s + length(term) AS INTEGER) AS "end",
+ CASE WHEN {near} THEN least({dbl(1.0)}, {dbl(0.85)} + {dbl(0.35)}) ELSE {dbl(0.85)} END AS score, term AS value
+FROM (SELECT {key}, {text} AS t, term, unnest(range(0, length({text}))) AS s FROM {CONTACTS}, ({terms}) l(term) WHERE contains({text}, term)) o
+WHERE substr(t, s + 1, length(term)) = term AND {edge("substr(t, s, 1)")} AND {edge("substr(t, s + length(term) + 1, 1)")}"""
+
+
+LISTS = {
+    "PERSON": f"SELECT DISTINCT name FROM {PEOPLE}", "LOCATION": "SELECT n_name FROM nation", "ORG": "SELECT s_name FROM supplier",
+}
+CONTACT_COLUMNS = ("name", "bio", "note", "n_name", "s_name", "locale")
+
+
+def contact_spans(column: str) -> str:
+    parts = [spans(CONTACTS, "user_id", column, DEFAULT_ENTITIES)]
+    parts += [listed("user_id", column, e, terms, tuple(ENTITY[e]["context_words"])) for e, terms in LISTS.items()]
+    return " UNION ALL ".join(f"SELECT * FROM ({p})" for p in parts)
+
+
+def contacts_masked() -> str:
+    extra = "WHEN 'ORG' THEN " + mask_tail('substr(t, start + 1, "end" - start)', 6)
+    cells = ", ".join(
+        f"c_{c} AS ({rewritten(CONTACTS, 'user_id', c, contact_spans(c), extra=extra)})" for c in CONTACT_COLUMNS
+    )
+    joined = " ".join(f"JOIN c_{c} USING (user_id)" for c in CONTACT_COLUMNS[1:])
+    return f"WITH {cells} SELECT user_id, {', '.join(f'c_{c}.{c}' for c in CONTACT_COLUMNS)} FROM c_name {joined}"
+
+
+def contacts_report() -> str:
+    found = " UNION ALL ".join(f"SELECT {q(c)} AS \"column\", user_id, entity FROM ({contact_spans(c)})" for c in CONTACT_COLUMNS)
+    return f"""WITH f AS ({found}) SELECT "column", values_anonymized, entity, count(*) AS n_found FROM f JOIN
+ (SELECT "column", count(DISTINCT user_id) AS values_anonymized FROM f GROUP BY 1) USING ("column") GROUP BY ALL"""
+
+
 PLACE_TERMS = [*CITIES, "Maple Ln", "Pine"]
 
 
@@ -357,6 +397,9 @@ def oracle_sql() -> dict[str, str]:
             PEOPLE, "user_id", "address",
             f"SELECT * FROM ({spans(PEOPLE, 'user_id', 'address', ['LOCATION'])}) UNION ALL {places(PLACE_TERMS)}",
         ),
+        "anonymize_table_names": contacts_masked(),
+        "report_names": contacts_report(),
+        "stream_anonymize_names": contacts_masked(),
         "findings_optional_entities": spans(PAYMENTS, "order_key", "note", ["DATE_TIME", "MONEY", "IBAN_CODE"]),
         "findings_by_language": f"""SELECT lang, entity, count(*) AS n_found FROM ({spans(docs, 'doc_id', 'text',
             ['EMAIL_ADDRESS', 'PHONE_NUMBER', 'CREDIT_CARD', 'IP_ADDRESS'])}) f JOIN documents d ON d.doc_id = f.doc_id

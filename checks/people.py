@@ -34,6 +34,15 @@ SELECT o_orderkey AS order_key, concat('Order ', CAST(o_orderkey AS STRING), ' w
 FROM {orders}
 """
 
+#: Notes that name a person, a country and a company of the tables: what lists, not patterns, must find.
+CONTACTS_SQL = """
+SELECT p.*, n_name, s_name,
+ concat('Ask ', name, ' of ', n_name, CASE WHEN c_custkey % 2 = 0 THEN concat(', not ', upper(name), ',') ELSE '' END,
+  ' about ', s_name, ' or write to ', email, '; ', s_name, '0 is another firm.') AS note
+FROM {people} p JOIN {customer} ON concat('u', lpad(CAST(c_custkey AS STRING), 6, '0')) = p.user_id
+JOIN {nation} ON n_nationkey = c_nationkey JOIN {supplier} ON s_suppkey = c_custkey % 10 + 1
+"""
+
 CITIES = ("London", "Paris", "Berlin", "Madrid", "Rome", "Tokyo", "Oslo")
 
 
@@ -45,6 +54,12 @@ def payments(spark, sf_dir):
     return spark.sql(PAYMENTS_SQL, orders=spark.read.parquet(f"{sf_dir}/orders.parquet"))
 
 
+def contacts(spark, sf_dir):
+    tables = {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("customer", "nation", "supplier")}
+    return spark.sql(CONTACTS_SQL, people=people(spark, sf_dir), **tables)
+
+
 def duck(sql: str) -> str:
     """The same statement over the views of DuckDB."""
-    return sql.format(customer="customer", orders="orders")
+    tables = {name: name for name in ("customer", "orders", "nation", "supplier")}
+    return sql.format(people=f"({PEOPLE_SQL.format(**tables)})", **tables)

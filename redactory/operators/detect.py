@@ -8,8 +8,9 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import types as T
 
+from ..functions.listed import WORD, WORD_HERE, TermIndex, listed_spans
 from ..functions.regexes import first_class, min_width
-from ..functions.spans import NO_SPANS, boost_by_context, distinct_spans, locate, whole_value_span
+from ..functions.spans import NO_SPANS, at_least, boost_by_context, distinct_spans, locate, whole_value_span
 from ..functions.text import Sql, case, each, fn, keep, let, lit, struct, worth_analysing
 from ..policy import ColumnPolicy, Pattern, Policy, PolicyError
 from ..policy_defaults import ADDRESS_CONTEXT, ADDRESS_PATTERNS
@@ -18,7 +19,6 @@ from ..policy_defaults import ADDRESS_CONTEXT, ADDRESS_PATTERNS
 # number that directly follows an accented letter is found as well.
 EDGE_BEFORE = r"(?<![0-9A-Za-z_])"
 EDGE_AFTER = r"(?![0-9A-Za-z_])"
-WORD = r"[\p{L}\p{N}_]+"
 
 TEXT = "text"
 ALL_KINDS = frozenset({TEXT, "integer", "decimal", "real", "date", "timestamp"})
@@ -55,12 +55,13 @@ class Recognizer:
 
     ``needs`` is a literal every match contains; it only serves to skip texts cheaply. ``check``
     names a rule of ``CHECKS`` that scores the matched values. ``kinds`` are the value classes whose text form
-    can match at all, so numeric columns cost nothing for patterns that need letters.
+    can match at all, so numeric columns cost nothing for patterns that need letters. ``terms`` are listed
+    words and phrases with their scores, found by look-up instead of patterns.
     """
 
     entity: str
     patterns: tuple[Pattern, ...] = ()
-    words: tuple[str, ...] = ()
+    terms: tuple[tuple[str, float], ...] = ()
     whole: bool = False
     needs: str | None = None
     kinds: frozenset[str] = frozenset({TEXT})
@@ -143,18 +144,24 @@ def built_in() -> tuple[Recognizer, ...]:
     )
 
 
+#: From so many entries on, a list is looked up word by word instead of searched as one alternation.
+LOOK_UP_FROM = 64
+
+
 def deny_recognizer(entity: str, words: Sequence[str], score: float = 1.0) -> Recognizer:
-    """Listed words and phrases: one alternation, longest entry first. Long lists of single words
-    become a hashed look-up of every word of the text, which does not slow down with the list.
-    Lists of many thousands of entries belong in a table: see ``lexicon_findings``."""
+    """Listed words and phrases, whole words only, leftmost and longest. A short list and entries without letters and
+    digits become an alternation, longest entry first; a long list is looked up word by word, which does not slow
+    down with the list. Both find the same. Lists of many thousands of entries belong in a table: see
+    ``Policy.with_listed`` and ``lexicon_findings``."""
     listed = sorted(set(words), key=lambda w: (-len(w), w))
     if not all(w and not w.isspace() for w in listed):
         raise PolicyError(f"empty entry in the deny list of {entity}")
-    if len(listed) > 256 and all(re.fullmatch(r"\w+", w) for w in listed):
-        return Recognizer(entity, (Pattern("deny_list", WORD, score),), words=tuple(listed), kinds=ALL_KINDS)
-    body = "|".join(re.sub(r"([^0-9A-Za-z_\u0080-\uffff])", r"\\\1", w) for w in listed)
+    looked_up = [w for w in listed if WORD_HERE.search(w)] if len(listed) >= LOOK_UP_FROM else []
+    rest = [w for w in listed if not looked_up or not WORD_HERE.search(w)]
+    body = "|".join(re.sub(r"([^0-9A-Za-z_\u0080-\uffff])", r"\\\1", w) for w in rest)
     regex = rf"(?<![\p{{L}}\p{{N}}_])(?:{body})(?![\p{{L}}\p{{N}}_])"
-    return Recognizer(entity, (Pattern("deny_list", regex, score),), kinds=ALL_KINDS)
+    patterns = (Pattern("deny_list", regex, score),) if rest else ()
+    return Recognizer(entity, patterns, tuple((w, score) for w in looked_up), kinds=ALL_KINDS)
 
 
 def compile_recognizers(
@@ -180,9 +187,12 @@ def compile_recognizers(
             found.append(Recognizer(entity.entity, entity.patterns, kinds=ALL_KINDS))
         if entity.deny:
             found.append(deny_recognizer(entity.entity, entity.deny))
+        if entity.listed:
+            found.append(Recognizer(entity.entity, terms=entity.listed))
         for recognizer in found:
             fitting = tuple(p for p in recognizer.patterns if room is None or min_width(p.regex) <= room)
-            if kind not in recognizer.kinds or not fitting:
+            terms = tuple((t, s) for t, s in recognizer.terms if room is None or len(t) <= room)
+            if kind not in recognizer.kinds or not fitting and not terms:
                 continue
             if not by_language and recognizer.languages and column.language not in recognizer.languages:
                 continue
@@ -190,6 +200,7 @@ def compile_recognizers(
                 replace(
                     recognizer,
                     patterns=fitting,
+                    terms=terms,
                     context=tuple(dict.fromkeys(recognizer.context + entity.context)),
                     threshold=policy.threshold(entity, column),
                 )
@@ -211,38 +222,52 @@ def _guarded(regex: str) -> str:
     return f"(?=[{first}])(?:{regex})" if first else regex
 
 
-def _candidates(text: Sql, group: Sequence[Recognizer], rules: dict[object, str]) -> Sql:
+def _candidates(text: Sql, group: Sequence[Recognizer]) -> Sql:
     """One struct per pattern: its settings and its matches in ``text``."""
     found = []
     for r in group:
-        rule = rules.setdefault(r.words, f"words{len(rules)}") if r.words else r.check
         for p in r.patterns:
             found.append(
                 struct(
                     entity=lit(r.entity),
                     regex=lit(_guarded(p.regex)),
                     score=lit(float(p.score)),
-                    rule=lit(rule),
+                    rule=lit(r.check),
                     threshold=lit(float(r.threshold or 0.0)),
-                    context=f"cast(array({', '.join(lit(w.lower()) for w in r.context)}) AS array<string>)",
+                    context=_context(r),
                     hits=f"regexp_extract_all({text}, {lit(_guarded(p.regex))}, 0)",
                 )
             )
     return f"array({', '.join(found)})"
 
 
-def _spans_of(text: Sql, c: Sql, rules: dict[object, str], checks: set[str]) -> Sql:
+def _context(r: Recognizer) -> Sql:
+    return f"cast(array({', '.join(lit(w.lower()) for w in r.context)}) AS array<string>)"
+
+
+def _listed(text: Sql, group: Sequence[Recognizer]) -> Sql:
+    """The spans of recognizers with listed terms; the words of the text are taken out once for all of them."""
+
+    def of(r: Recognizer, words: Sql) -> Sql:
+        spans = listed_spans(text, words, r.entity, TermIndex.of(r.terms))
+        if r.context:
+            boosted = lambda s: case(f"size({s}) > 0", boost_by_context(text, s, _context(r)), s)
+            spans = let(spans, boosted)
+        return at_least(spans, r.threshold)
+
+    found = lambda words: f"concat({', '.join(of(r, words) for r in group)})"
+    return let(f"regexp_extract_all({text}, {lit(WORD)}, 0)", found)
+
+
+def _spans_of(text: Sql, c: Sql, checks: set[str]) -> Sql:
     """The spans of one candidate: located, scored, boosted by context, cut at the threshold."""
 
     def score_of(value: Sql) -> Sql:
         branches = [f"WHEN {lit(name)} THEN {CHECKS[name](value, f'{c}.score')}" for name in sorted(checks)]
-        for words, name in rules.items():
-            listed = case(f"{value} IN ({', '.join(map(lit, words))})", f"{c}.score", "NULL")
-            branches.append(f"WHEN {lit(name)} THEN {listed}")
         return f"CASE {c}.rule {' '.join(branches)} ELSE {c}.score END" if branches else f"{c}.score"
 
     spans = locate(text, f"{c}.regex", f"{c}.hits", f"{c}.entity", score_of)
-    if rules or checks:
+    if checks:
         spans = keep(spans, lambda s: f"{s}.score IS NOT NULL")
     boosted = let(
         spans,
@@ -274,27 +299,32 @@ def detect(text: Sql, recognizers: Sequence[Recognizer], language: Sql | None =
     recognizer that is bound to languages applies to rows of these languages only.
     """
     whole = [r for r in recognizers if r.whole]
+    terms: dict[object, list[Recognizer]] = {}
+    for r in recognizers:
+        if r.terms:
+            terms.setdefault(r.languages if language is not None else None, []).append(r)
     groups: dict[object, list[Recognizer]] = {}
     for r in recognizers:
-        if not r.whole:
+        if r.patterns:
             bound = r.languages if language is not None else None
             groups.setdefault((bound, r.needs or ("first" if _first(r) else (r.entity, r.patterns))), []).append(r)
 
     def search(t: Sql) -> Sql:
         parts = [whole_value_span(t, r.entity, 1.0) for r in whole]
-        rules: dict[object, str] = {}
+        for bound, group in terms.items():
+            parts.append(case(f"{language} IN ({', '.join(map(lit, sorted(bound)))})", _listed(t, group), NO_SPANS) if bound else _listed(t, group))
         listed = []
         for (bound, _), group in groups.items():
             conditions = [f"{language} IN ({', '.join(map(lit, sorted(bound)))})"] if bound else []
             conditions += _gates(t, group)
-            candidates = f"CASE WHEN {' AND '.join(conditions)} THEN {_candidates(t, group, rules)} END"
+            candidates = f"CASE WHEN {' AND '.join(conditions)} THEN {_candidates(t, group)} END"
             listed.append(f"coalesce({candidates}, array())")
         if listed:
             checks = {r.check for r in recognizers if r.check}
             hit = keep(f"concat({', '.join(listed)})", lambda c: f"size({c}.hits) > 0")
-            parts.append(f"flatten({each(hit, lambda c: _spans_of(t, c, rules, checks))})")
+            parts.append(f"flatten({each(hit, lambda c: _spans_of(t, c, checks))})")
         every = f"concat({', '.join(parts)})"
-        widths = [1 if r.whole else min(min_width(p.regex) for p in r.patterns) for r in recognizers]
+        widths = [min([*(min_width(p.regex) for p in r.patterns), *(len(x) for x, _ in r.terms), *[1] * r.whole]) for r in recognizers]
         worth = f"octet_length({t}) >= {max(2, min(widths))} AND {worth_analysing(t)}"
         return case(worth, distinct_spans(every), NO_SPANS)
 

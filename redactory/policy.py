@@ -13,10 +13,15 @@ from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .policy_defaults import DEFAULT_POLICY
 
 
+#: Bytes of listed terms that may become part of a plan.
+LISTED_BYTES = 4 << 20
+
+
 class PolicyError(ValueError):
     """The policy cannot be applied safely."""
 
@@ -39,6 +44,7 @@ class EntityPolicy:
     context: tuple[str, ...] = ()
     deny: tuple[str, ...] = ()
     patterns: tuple[Pattern, ...] = ()
+    listed: tuple[tuple[str, float], ...] = ()  # terms and scores from a table, see ``Policy.with_listed``
     strategy: str = "replace"
     params: Mapping[str, Any] = field(default_factory=dict)
 
@@ -133,6 +139,29 @@ class Policy:
             return replace(self, entities=self.entities + (changed,))
         return replace(self, entities=tuple(changed if e.entity == changed.entity else e for e in self.entities))
 
+    def with_listed(self, lexicon: DataFrame, limit: int = LISTED_BYTES) -> Policy:
+        """A copy that also finds the terms of ``lexicon(term, entity, score)`` in every text, and enables their entities.
+
+        The list becomes part of every plan, so that tables, streams and reports need no join; it is measured first and
+        refused beyond ``limit`` bytes, where ``lexicon_findings`` joins it instead. Of repeated terms the highest
+        score counts; rows without a term or entity are left out.
+        """
+        terms = lexicon.where("term IS NOT NULL AND entity IS NOT NULL AND trim(term) <> ''").groupBy("term", "entity")
+        terms = terms.agg(F.coalesce(F.max(F.col("score").cast("double")), F.lit(1.0)).alias("score"))
+        size = terms.agg(F.coalesce(F.sum(F.octet_length("term") + 16), F.lit(0))).first()[0]
+        if size > limit:
+            raise PolicyError(f"a list of {size} bytes is too large for a plan; join it with lexicon_findings")
+        policy, found = self, {}
+        for row in terms.orderBy("term").collect():
+            found.setdefault(row["entity"], []).append((row["term"], row["score"]))
+        for entity, listed in sorted(found.items()):
+            wordless = [term for term, _ in listed if not re.search(r"\w", term)]
+            if wordless:
+                raise PolicyError(f"terms without a letter or digit: {wordless[:5]}")
+            known = policy.entity(entity) or EntityPolicy(entity)
+            policy = policy.with_entity(replace(known, listed=tuple(listed), enabled=True))
+        return policy
+
     def only(self, *names: str) -> Policy:
         """A copy in which exactly the named entities are enabled."""
         return replace(self, entities=tuple(replace(e, enabled=e.entity in names) for e in self.entities))
