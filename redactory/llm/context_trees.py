@@ -38,9 +38,9 @@ TOP = 3
 #: Strings in a group, about.
 GROUP = 200_000
 #: Bytes of text that ask for their values together.
-CHUNK = 64 << 20
+CHUNK = 40 << 20
 #: Bytes of text of a chunk that are scored together.
-PIECE = 8 << 20
+PIECE = 4 << 20
 #: No byte of UTF-8: stands before and after every text, so that the end of a text is predicted as well.
 EDGE = 0xFF
 #: Places of text that are looked at together.
@@ -269,10 +269,11 @@ def score_texts(
         schema = schema.add(name, kind)
 
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
-        of_word = right.filter(pc.is_valid(right.column("word")))
-        seen = dict(zip(of_word.column("word").to_pylist(), of_word.column("n").to_pylist()))
+        of_word = right.filter(pc.is_valid(right.column("word"))).select(["word", "n"]).combine_chunks()
+        words, seen = pc.unique(of_word.column("word")), of_word.column("n").to_numpy()  # a cut chunk asks twice
+        seen = seen[pc.index_in(words, value_set=of_word.column("word")).to_numpy()]
         of_string = right.filter(pc.is_valid(right.column("string")))
-        values, at = np.unique(of_string.column("string").to_numpy(), return_index=True)  # a cut chunk asks twice
+        values, at = np.unique(of_string.column("string").to_numpy(), return_index=True)
         place, cost = pd.Index(values), of_string.column("value").to_numpy()[at]
         log_chance = lambda n: np.log10((n + 0.1) / (total + 0.1 * (different + 1)))
         parts = []
@@ -281,13 +282,16 @@ def score_texts(
             score = np.zeros(len(whole))
             for places, owner in blocks(whole, depth):
                 score += np.bincount(owner, cost[place.get_indexer(places)], len(whole))
-            found = [np.array([*map(seen.__getitem__, text.split()), seen[b""]]) for text in whole]
+            split = [[*text.split(), b""] for text in whole]
+            tokens = np.array([len(own) for own in split], np.int64)
+            listed = pa.array([word for own in split for word in own], pa.binary())
+            n, of = seen[pc.index_in(listed, value_set=words).to_numpy()], np.repeat(np.arange(len(whole)), tokens)
             size = np.array([len(t) + 1 for t in whole])
             columns = {
-                "n_tokens": [len(n) for n in found],
-                "n_known": [int(np.count_nonzero(n)) for n in found],
-                "train_tokens": [total] * len(whole),
-                "base_score": [float(log_chance(n).sum()) for n in found],
+                "n_tokens": tokens,
+                "n_known": np.bincount(of, n > 0, len(whole)).astype(np.int64),
+                "train_tokens": np.full(len(whole), total),
+                "base_score": np.bincount(of, log_chance(n), len(whole)),
                 "score": score,
                 "bits_per_byte": -score / math.log10(2) / size,
             }
