@@ -43,6 +43,14 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """``df``, written to the shared scratch folder and read again: it is computed once, and what was written survives
+    lost executors."""
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @functools.cache
 def _own_folder() -> str:
     return tempfile.mkdtemp(prefix="redactory-")
