@@ -3,7 +3,8 @@
 Texts are shuffled as they are; a group counts its copies and is tokenized by both tokenizers and aligned once. The
 places where tokens of both end cut a text into groups; within a group every token of one is linked to every token of the
 other. A chunk of texts numbers its different groups, so a text is a list of such numbers with their frequencies, and
-asks once for every pair of ids: the pairs, weighted by the copies of the texts that hold them, are counted over the
+asks once for every pair of ids. Both tokenizers end a token before a blank that follows a visible character, so a chunk
+tokenizes and aligns every stretch between such places once. The pairs, weighted by the copies of the texts that hold them, are counted over the
 corpus, and the counts come back to the chunk. Measures are then joined with the documents by a digest of their text.
 """
 
@@ -12,6 +13,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import os
+import re
 from collections.abc import Iterator, Sequence
 from itertools import chain
 
@@ -31,6 +33,10 @@ from .token_counts import byte_symbols
 BATCH_BYTES = 2 << 20
 #: Links that are looked up together.
 BLOCK = 4 << 20
+#: A blank before which a text is not cut: it follows white space, or a character that might be some, or ends the text.
+ODD_BLANK = re.compile(r"(?:^|[^!-~\u00a1-\u024f]) | $")
+#: Where a text is cut, before a blank.
+CUT = re.compile(r"(?<=[!-~\u00a1-\u024f])(?= )")
 ALIGNED = (
     "_chunk long, digest binary, copies long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
     "kinds array<int>, times array<long>, kind int, a array<int>, b array<int>, id_a int, id_b int, n long"
@@ -38,6 +44,41 @@ ALIGNED = (
 MEASURES = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
+class Ragged:
+    """Lists of ids one after the other."""
+
+    def __init__(self, values: np.ndarray, sizes: np.ndarray) -> None:
+        self.values, self.sizes = values, sizes
+        self.starts = np.cumsum(sizes) - sizes
+        self.owner = np.repeat(np.arange(len(sizes)), sizes)
+        self.place = np.arange(len(values)) - self.starts[self.owner]
+
+    @classmethod
+    def of(cls, lists: Sequence[Sequence[int]]) -> Ragged:
+        return cls(np.fromiter(chain.from_iterable(lists), np.int64), np.array([len(own) for own in lists], np.int64))
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """The sum of ``values``, one per id, of each list."""
+        ends = np.append(0, np.cumsum(values))
+        return ends[self.starts + self.sizes] - ends[self.starts]
+
+    def hashes(self) -> np.ndarray:
+        """A 64-bit hash of each list, none of which is empty."""
+        longest = int(self.sizes.max(initial=1))
+        powers = np.multiply.accumulate(np.full(longest, 0x9E3779B97F4A7C15, np.uint64))
+        mixed = (self.values.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+        return np.add.reduceat((mixed ^ mixed >> np.uint64(29)) * powers[self.place], self.starts)
+
+    def equal(self, first: np.ndarray) -> bool:
+        """Whether each list equals the list ``first`` names for it."""
+        if (self.sizes != self.sizes[first]).any():
+            return False
+        return bool((self.values == self.values[self.starts[first[self.owner]] + self.place]).all())
+
+    def at(self, i: int) -> np.ndarray:
+        return self.values[self.starts[i] : self.starts[i] + self.sizes[i]]
+
+
 class Tokenizers:
     """Both tokenizers with the bytes of each of their ids."""
 
@@ -58,6 +99,8 @@ class Tokenizers:
             self.bytes_a[i] = token.content.encode()
         self.b = SentencePieceProcessor(model_file=path_b)
         self.bytes_b = {i: self.piece(i) for i in range(self.b.get_piece_size())}
+        # No piece goes on into a blank, so a blank after something else starts a piece.
+        self.parts = not any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in self.bytes_b)
         self.size_a, self.size_b = (self.sizes(table) for table in (self.bytes_a, self.bytes_b))
 
     def piece(self, i: int) -> bytes:
@@ -71,17 +114,29 @@ class Tokenizers:
             sizes[i] = len(value)
         return sizes
 
-    def encode(self, texts: Sequence[str]) -> list[tuple[Sequence[int], Sequence[int]]]:
+    def encode(self, texts: Sequence[str]) -> tuple[Ragged, Ragged]:
         """Ids of both for each text; none where the text is empty or a tokenizer does not give its bytes back."""
         led = [f" {text}" for text in texts]
         ids_a = [found.ids for found in self.a.encode_batch_fast(led, add_special_tokens=False)]
         ids_b = self.b.encode(list(texts), num_threads=1)
-        found = []
-        for text, a, b in zip(led, ids_a, ids_b):
-            data = text.encode()
-            whole = b"".join(map(self.bytes_a.__getitem__, a)) == data == b"".join(map(self.bytes_b.__getitem__, b))
-            found.append((a, b) if whole and text != " " else ((), ()))
-        return found
+        a, b, data = Ragged.of(ids_a), Ragged.of(ids_b), [text.encode() for text in led]
+        ends = np.cumsum([len(own) for own in data])
+        if not (
+            self.joined(self.bytes_a, ids_a) == self.joined(self.bytes_b, ids_b) == b"".join(data)
+            and (a.sums(self.size_a[a.values]).cumsum() == ends).all()
+            and (b.sums(self.size_b[b.values]).cumsum() == ends).all()
+            and all(texts)
+        ):
+            for i, (text, own) in enumerate(zip(texts, data)):
+                back = [self.joined(*side) for side in ((self.bytes_a, [ids_a[i]]), (self.bytes_b, [ids_b[i]]))]
+                if not text or back != [own, own]:
+                    ids_a[i], ids_b[i] = [], []
+            a, b = Ragged.of(ids_a), Ragged.of(ids_b)
+        return a, b
+
+    @staticmethod
+    def joined(table: dict[int, bytes], ids: Sequence[Sequence[int]]) -> bytes:
+        return b"".join(map(table.__getitem__, chain.from_iterable(ids)))
 
 
 @functools.lru_cache(maxsize=2)
@@ -89,32 +144,6 @@ def tokenizers(path_a: str, path_b: str) -> Tokenizers:
     return Tokenizers(path_a, path_b)
 
 
-class Ragged:
-    """Lists of ids one after the other."""
-
-    def __init__(self, values: np.ndarray, sizes: np.ndarray) -> None:
-        self.values, self.sizes = values, sizes
-        self.starts = np.cumsum(sizes) - sizes
-        self.owner = np.repeat(np.arange(len(sizes)), sizes)
-        self.place = np.arange(len(values)) - self.starts[self.owner]
-
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each list, none of which is empty."""
-        longest = int(self.sizes.max(initial=1))
-        powers = np.multiply.accumulate(np.full(longest, 0x9E3779B97F4A7C15, np.uint64))
-        mixed = (self.values.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
-        return np.add.reduceat((mixed ^ mixed >> np.uint64(29)) * powers[self.place], self.starts)
-
-    def equal(self, first: np.ndarray) -> bool:
-        """Whether each list equals the list ``first`` names for it."""
-        if (self.sizes != self.sizes[first]).any():
-            return False
-        return bool((self.values == self.values[self.starts[first[self.owner]] + self.place]).all())
-
-    def at(self, i: int) -> np.ndarray:
-        return self.values[self.starts[i] : self.starts[i] + self.sizes[i]]
-
-
 def distinct_groups(a: Ragged, b: Ragged) -> tuple[np.ndarray, np.ndarray]:
     """The first of equal groups, for each different group, and for each group its place among these."""
     mixed = a.hashes() * np.uint64(0xC2B2AE3D27D4EB4F) ^ b.hashes()
@@ -126,25 +155,33 @@ def distinct_groups(a: Ragged, b: Ragged) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(label, return_index=True)[1], label
 
 
-def align(ids: Sequence[tuple[Sequence[int], Sequence[int]]], size_a: np.ndarray, size_b: np.ndarray):
+def align(a: Ragged, b: Ragged, size_a: np.ndarray, size_b: np.ndarray) -> tuple[Ragged, Ragged, np.ndarray]:
     """Groups of all texts: their ids of both kinds, and the number of groups of each text."""
-    join = lambda lists: np.fromiter(chain.from_iterable(lists), np.int64)
-    a, b = join(x for x, _ in ids), join(y for _, y in ids)
-    ends_a, ends_b = np.cumsum(size_a[a]), np.cumsum(size_b[b])
-    cuts = np.intersect1d(ends_a, ends_b)
-    ragged = [
-        Ragged(values, np.bincount(np.searchsorted(cuts, ends), minlength=len(cuts)))
-        for values, ends in ((a, ends_a), (b, ends_b))
+    ends_a, ends_b = np.cumsum(size_a[a.values]), np.cumsum(size_b[b.values])
+    cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+    groups = [
+        Ragged(own.values, np.bincount(np.searchsorted(cuts, ends), minlength=len(cuts)))
+        for own, ends in ((a, ends_a), (b, ends_b))
     ]
-    tokens = np.cumsum([len(x) for x, _ in ids])
-    last = np.where(tokens > 0, np.searchsorted(cuts, ends_a[tokens - 1] if len(a) else tokens) + 1, 0)
-    return *ragged, np.diff(last, prepend=0)
+    last = np.searchsorted(cuts, a.sums(size_a[a.values]).cumsum(), "right")
+    return *groups, np.diff(last, prepend=0)
+
+
+def stretches(text: str) -> list[str]:
+    """A text cut before blanks, each stretch without the blank that leads it, as the text itself is led by one."""
+    if not ODD_BLANK.search(text):
+        return text.split(" ")
+    return [stretch[1:] for stretch in CUT.split(f" {text}")]
 
 
 class Chunk:
-    """The different groups of a chunk, numbered, and in how many documents each pair of ids is linked."""
+    """The different stretches and groups of a chunk, numbered, and in how many documents each pair of ids is linked."""
 
     def __init__(self) -> None:
+        self.known: dict[str, int] = {}  # stretches; -1: not given back byte by byte
+        self.named: list[str] = []  # their groups as text
+        self.sizes = np.zeros((0, 4), np.int64)  # their ids of both kinds, links and groups
+        self.groups = np.zeros(0, np.int64)  # numbers of their groups, one stretch after the other
         self.kinds: dict[tuple[bytes, bytes], int] = {}
         self.names: list[str] = []
         self.pairs: list[np.ndarray] = []  # the different pairs of each kind
@@ -156,32 +193,60 @@ class Chunk:
         found = self.kinds.get(key)
         if found is None:
             found = self.kinds[key] = len(self.kinds)
-            self.names.append(f"{','.join(map(str, a.tolist()))}|{','.join(map(str, b.tolist()))}")
-            keys = (np.unique(a)[:, None] << 32 | np.unique(b)[None, :]).ravel()
-            self.pairs.append(np.array([self.number.setdefault(k, len(self.number)) for k in keys.tolist()], np.int64))
+            left, right = a.tolist(), b.tolist()
+            self.names.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
+            keys = [x << 32 | y for x in set(left) for y in set(right)]
+            self.pairs.append(np.array([self.number.setdefault(k, len(self.number)) for k in keys], np.int64))
+        return found
+
+    def learn(self, texts: Sequence[str], code: Tokenizers) -> list[int]:
+        """Align stretches or whole texts; their numbers, -1 where a tokenizer does not give them back."""
+        a, b = code.encode(texts)
+        whole = a.sizes > 0
+        if not whole.any():
+            return [-1] * len(texts)
+        groups_a, groups_b, n_groups = align(a, b, code.size_a, code.size_b)
+        first, label = distinct_groups(groups_a, groups_b)
+        kind = np.array([self.kind(groups_a.at(i), groups_b.at(i)) for i in first.tolist()])[label]
+        names = list(map(self.names.__getitem__, kind.tolist()))
+        own, ends = n_groups[whole], np.cumsum(n_groups[whole])
+        links = np.add.reduceat(groups_a.sizes * groups_b.sizes, ends - own)
+        numbers = np.where(whole, len(self.named) + np.cumsum(whole) - 1, -1)
+        self.named += [names[e - 1] if n == 1 else ";".join(names[e - n : e]) for n, e in zip(own.tolist(), ends.tolist())]
+        self.sizes = np.concatenate([self.sizes, np.column_stack([a.sizes[whole], b.sizes[whole], links, own])])
+        self.groups = np.concatenate([self.groups, kind])
+        return numbers.tolist()
+
+    def numbers(self, texts: Sequence[str], code: Tokenizers) -> list[list[int]]:
+        """Each text as numbers of aligned stretches; none where it has no tokens."""
+        split = [stretches(text) if code.parts else [text] for text in texts]
+        new = list(set().union(*split).difference(self.known))
+        self.known.update(zip(new, self.learn(new, code) if new else []))
+        found = [list(map(self.known.__getitem__, own)) for own in split]
+        odd = [i for i, own in enumerate(found) if -1 in own]  # a stretch by itself may differ, for example a blank at the end
+        for i, number in zip(odd, self.learn([texts[i] for i in odd], code) if odd else []):
+            found[i] = [] if number < 0 else [number]
         return found
 
-    def add(self, ids: Sequence[tuple], copies: np.ndarray, code: Tokenizers) -> list:
+    def add(self, texts: Sequence[str], copies: np.ndarray, code: Tokenizers) -> list:
         """Columns ``n_a .. times`` of the texts."""
-        a, b, n_groups = align(ids, code.size_a, code.size_b)
-        if not len(a.sizes):
-            none = [0] * len(ids)
-            return [none, none, none, none, [""] * len(ids), [[]] * len(ids), [[]] * len(ids)]
-        first, label = distinct_groups(a, b)
-        kind = np.array([self.kind(a.at(i), b.at(i)) for i in first])[label]
-        owner = np.repeat(np.arange(len(ids)), n_groups)
-        n_links = np.bincount(owner, a.sizes * b.sizes, len(ids)).astype(np.int64)
-        both, times = np.unique(owner * len(self.kinds) + kind, return_counts=True)
-        text, own = both // len(self.kinds), both % len(self.kinds)
-        self.count(text, own, copies)
-        bounds = np.searchsorted(text, np.arange(len(ids) + 1))
-        ends = np.cumsum(n_groups)
-        listed = [self.names[k] for k in kind.tolist()]
-        names = [";".join(listed[e - n : e]) for e, n in zip(ends.tolist(), n_groups.tolist())]
+        found = self.numbers(texts, code)
+        names = [";".join(map(self.named.__getitem__, own)) for own in found]
         digests = [hashlib.sha256(name.encode()).hexdigest() if name else "" for name in names]
+        held = Ragged.of(found)
+        sizes = self.sizes[held.values]
+        starts = (np.cumsum(self.sizes[:, 3]) - self.sizes[:, 3])[held.values]
+        own = Ragged(np.zeros(int(sizes[:, 3].sum())), sizes[:, 3])  # the groups of each stretch in turn
+        kind = self.groups[starts[own.owner] + own.place]
+        most = max(len(self.kinds), 1)
+        both, times = np.unique(held.owner[own.owner] * most + kind, return_counts=True)
+        text, kind = both // most, both % most
+        if len(text):
+            self.count(text, kind, copies)
+        bounds = np.searchsorted(text, np.arange(len(texts) + 1))
         lists = lambda values, kind: pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, kind))
-        sizes = [[len(x) for x, _ in ids], [len(y) for _, y in ids]]
-        return [*sizes, n_groups, n_links, digests, lists(own, pa.int32()), lists(times, pa.int64())]
+        n_a, n_b, n_links, n_groups = (held.sums(sizes[:, i]) for i in range(4))
+        return [n_a, n_b, n_groups, n_links, digests, lists(kind, pa.int32()), lists(times, pa.int64())]
 
     def count(self, text: np.ndarray, kind: np.ndarray, copies: np.ndarray) -> None:
         """Count the texts' copies for every pair that a text holds, once for each text."""
@@ -219,7 +284,7 @@ def aligned(texts: DataFrame, path_a: str, path_b: str) -> DataFrame:
         for batch in chunks(batches, "_text", BATCH_BYTES):
             own = batch.column("_text").to_pylist()
             copies = batch.column("copies").to_numpy()
-            n_a, n_b, n_groups, n_links, digests, kinds, times = chunk.add(code.encode(own), copies, code)
+            n_a, n_b, n_groups, n_links, digests, kinds, times = chunk.add(own, copies, code)
             yield rows(
                 len(own), _chunk=[number] * len(own), digest=batch.column("digest"), copies=copies, n_a=n_a, n_b=n_b,
                 n_groups=n_groups, n_links=n_links, groups_sha256=digests, kinds=kinds, times=times,

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -20,6 +21,7 @@ ODD = [
     None, "", " ", "  two  blanks ", "a▁b", "<|endoftext|> <s> </s> <unk>", "Straße — naïve", "日本語のテキスト", "👩‍👩‍👧 ok", "a\x00b",
     "one\n\ntwo\tthree", "x" * 3000, "ab " * 2000, " " * 500, "The THE the tHe", "é" * 40, " line", "1234567890" * 5,
 ]
+PIECES = [" ", "  ", "\n", "\t", "\u00a0", "\u2003", "▁", "é", "日", "a", "the", "'s", ".", ",", "12", "\u0301", "\u1680", "\x1c", "Ǆ", "<s>"]
 
 
 def documents(spark, texts, extra=""):
@@ -82,7 +84,9 @@ def alignment(texts):
 @pytest.mark.parametrize("chunk", [1 << 24, 1 << 10])
 def test_alignment(spark, monkeypatch, chunk):
     monkeypatch.setattr(token_alignment, "CHUNK_BYTES", chunk)
-    texts = ODD + [t[:1500] for t in sample(spark, 25)] + ["same text"] * 7 + ["same text twice"] * 2 + ODD
+    r = random.Random(3)
+    mixed = ["".join(r.choice(PIECES) for _ in range(r.randrange(1, 25))) for _ in range(150)]
+    texts = ODD + mixed + [t[:1500] for t in sample(spark, 25)] + ["same text"] * 7 + ["same text twice"] * 2 + ODD
     got = {r[0]: tuple(r[1:]) for r in align_tokenizers(documents(spark, texts, "'x' AS digest"), A, B).collect()}
     assert [got[i] for i in range(len(texts))] == alignment(texts)
 
