@@ -39,6 +39,7 @@ from redactory.operators.validate import policy_violations, schema_differences
 from redactory.plans.database import append_anonymized
 from redactory.session import scratch_path
 from redactory.session import spread as spread_out
+from redactory.sources.store import UpsertStore
 from redactory.sources.paging import page, page_after, with_pages
 from redactory.streaming.jobs import (
     anonymize_stream,
@@ -663,6 +664,27 @@ def stream_upsert(spark, sf_dir):
     return read_upserted(spark, out, ["user_id"], ["ts", "event_id"])
 
 
+def stream_upsert_compacted(spark, sf_dir):
+    """The same with a log that is folded into the snapshot every second batch while the stream runs."""
+    arriving = scratch_path(spark, "upsert-in")
+    read(spark, sf_dir, "events").repartition(7, "event_id").write.parquet(arriving)
+    stream = file_stream(spark, arriving, "*.parquet", files_per_batch=1)
+    out = scratch_path(spark, "upsert-out")
+    state = scratch_path(spark, "upsert-state")
+    upsert_stream(stream, ["user_id"], ["ts", "event_id"], out, state, compact_every=2).awaitTermination()
+    return read_upserted(spark, out)
+
+
+def store_by_arrival(spark, sf_dir):
+    """``upsert_latest`` through a store: other events first, purchases after a compaction, keys known to the store."""
+    events, path = read(spark, sf_dir, "events"), scratch_path(spark, "store")
+    store = UpsertStore.create(spark, path, ["user_id"], ["ts", "event_id"])
+    store.write(events.filter("event_type <> 'purchase'"))
+    store.compact()
+    UpsertStore.open(spark, path).write(events.filter("event_type = 'purchase'"))
+    return UpsertStore.open(spark, path).read()
+
+
 QUERIES = {
     "list_tables": list_tables,
     "table_schema": table_schema,
@@ -736,4 +758,6 @@ QUERIES = {
     "stream_anonymize": stream_anonymize,
     "stream_entities_found": stream_entities_found,
     "stream_upsert": stream_upsert,
+    "stream_upsert_compacted": stream_upsert_compacted,
+    "store_by_arrival": store_by_arrival,
 }

@@ -337,7 +337,11 @@ def oracle_sql() -> dict[str, str]:
     upserted = f"""(SELECT email, name, CASE WHEN name LIKE 'A%' THEN concat(bio, ' Updated.') ELSE bio END AS bio FROM {PEOPLE}) merged"""
     upsert_cells = {c: rewritten(upserted, "email", c, spans(upserted, "email", c, ["EMAIL_ADDRESS"])) for c in ("name", "bio")}
     lines = "(SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)"
+    arrival = """SELECT event_id, ts, user_id, event_type, value, props FROM (SELECT *, row_number() OVER (PARTITION BY user_id
+            ORDER BY CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END DESC, ts DESC, event_id DESC) AS r FROM events) WHERE r = 1"""
     return {
+        "store_by_arrival": arrival,
+        "stream_upsert_compacted": f"SELECT event_id, ts, user_id, event_type, value, props FROM (SELECT *, {latest} AS r FROM events) WHERE r = 1",
         "list_tables": "SELECT * FROM (VALUES " + ", ".join(f"({q(t)})" for t in jobs.TABLES) + ') v("table")',
         "table_schema": described(),
         "table_row_counts": " UNION ALL ".join(f'SELECT {q(t)} AS "table", count(*) AS n_rows FROM {t}' for t in jobs.TABLES),

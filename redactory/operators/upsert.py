@@ -9,6 +9,9 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Which row of a key counts: the one that came last, or the one that is last in an order.
+ARRIVAL, ORDER = "arrival", "order"
+
 
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """One row per key, the one that is last in ``order``; ``order`` should leave no ties.
@@ -24,13 +27,18 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) ->
     return df.withColumn("__rank", rank).filter("__rank = 1").drop("__rank", "__row")
 
 
-def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
-    """``existing`` with the rows of ``incoming`` replaced or added. Incoming rows win over existing
-    ones; ``order`` decides between incoming rows of one key. Without ``keys`` rows are appended."""
+def upsert(
+    existing: DataFrame, incoming: DataFrame, keys: Sequence[str], order: Sequence[str] = (), by: str = ARRIVAL
+) -> DataFrame:
+    """``existing`` with the rows of ``incoming`` replaced or added. By ``"arrival"``, incoming rows win over existing
+    ones, and ``order`` decides between incoming rows of one key; by ``"order"``, the last row in ``order`` wins
+    wherever it comes from, so a late row does not replace a newer one, and incoming rows win ties. Without ``keys``
+    rows are appended. ``UpsertStore`` has the same two rules."""
     if set(existing.columns) != set(incoming.columns):
         raise ValueError(f"columns differ: {existing.columns} and {incoming.columns}")
     both = existing.withColumn("__new", F.lit(0)).unionByName(incoming.withColumn("__new", F.lit(1)))
-    merged = latest(both, keys, ["__new", *order]) if keys else both
+    ranking = ["__new", *order] if by == ARRIVAL else [*order, "__new"]
+    merged = latest(both, keys, ranking) if keys else both
     return merged.select(*existing.columns)
 
 
