@@ -6,11 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from redactory.llm import simhash
 from redactory.llm.byte_bpe import encode_bytes
 from redactory.llm.common import fresh, keyed, table, written
 from redactory.llm.mixing import mix
 from redactory.llm.personal_data import masked, personal_data
-from redactory.llm.simhash import similar_groups
 from redactory.llm.toxicity import fit, learning_rows, score
 
 
@@ -27,10 +27,11 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar documents the one of smallest id stays."""
+    """Of the documents whose fingerprints of three-word shingles hang together by two differing bits or fewer, the one of
+    smallest id stays; null and repeated ids are ordered as in ``keyed``."""
     rows = packed(docs)
-    groups = similar_groups(rows, similarity=0.8, words_each=5, key="_key")
-    gone = written(groups.where("group_id <> _key").select("_key"), "gone")
+    found = simhash.near_duplicates(rows, radius=2, words_each=3, key="_key")
+    gone = written(found.where("component_id <> _key").select("_key"), "gone")
     return rows.join(gone, "_key", "left_anti").select("doc.*")
 
 
