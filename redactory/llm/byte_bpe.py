@@ -25,7 +25,7 @@ from .token_counts import UNUSUAL
 
 #: Pre-tokens, and stretches of several, of which a worker keeps tokens and decoded text. Beyond, those that were not
 #: used since the last time are forgotten.
-CACHE = 350_000
+CACHE = 250_000
 #: Bytes of text that are encoded together.
 TEXT_BYTES = 2 << 20
 #: Words that one recursive query contracts together.

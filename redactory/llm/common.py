@@ -37,7 +37,7 @@ def text_or_empty(name: str = "text") -> Column:
 def keyed(df: DataFrame, key: str = "doc_id", text: str = "text", name: str = "_key") -> DataFrame:
     """``df`` with a whole number per row, not null and not repeated: the key itself if it is such a number, else the
     rank of the row by key (nulls first) and text."""
-    if unique_ids(df, key):
+    if whole_ids(df, key):
         return df.withColumn(name, F.col(key).cast("long"))
     return written(numbered(df, [F.col(key), F.xxhash64(text), F.col(text)], name), "keyed")
 
@@ -124,6 +124,11 @@ def numbered(df: DataFrame, order: Sequence[Column], name: str, first: int = 0)
     )
 
 
+def whole_ids(df: DataFrame, column: str) -> bool:
+    """Whether the ids are whole numbers of 64 bits at most by their type, none of them null or repeated."""
+    return isinstance(df.schema[column].dataType, T.IntegralType) and unique_ids(df, column)
+
+
 def unique_ids(df: DataFrame, column: str) -> bool:
     """Whether no id is null or repeated. Reads one column; counts are combined before they are shuffled."""
     seen = df.groupBy(column).agg(F.count("*").alias("n")).where((F.col("n") > 1) | F.col(column).isNull())

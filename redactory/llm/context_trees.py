@@ -38,13 +38,13 @@ TOP = 3
 #: Strings in a group, about.
 GROUP = 200_000
 #: Bytes of text that ask for their values together.
-CHUNK = 40 << 20
+CHUNK = 32 << 20
 #: Bytes of text of a chunk that are scored together.
 PIECE = 4 << 20
 #: No byte of UTF-8: stands before and after every text, so that the end of a text is predicted as well.
 EDGE = 0xFF
 #: Places of text that are looked at together.
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 log_gamma = np.frompyfunc(math.lgamma, 1, 1)
 
 
@@ -107,7 +107,7 @@ def uses(texts: DataFrame, depth: int) -> DataFrame:
                     found.append(np.unique(places[learned], return_counts=True))
                     rest = np.unique(places[~learned])
                     found.append((rest, np.zeros(len(rest), np.int64)))
-                    if len(found) > 16:
+                    if len(found) > 12:
                         found = merged(found)
                 for text, out in zip(whole, held):
                     split = text.split()

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks, numbered, text_or_empty, unique_ids, written
+from .common import chunks, numbered, text_or_empty, whole_ids, written
 
 #: Bytes of an anchor; power of two.
 ANCHOR = 32
@@ -411,14 +411,14 @@ def remove_repeats(df: DataFrame, length: int = 100, text: str = "text", key: st
 
     Removes each byte of the UTF-8 text that a string of ``length`` bytes covers which also starts earlier: in a
     row of smaller key, or earlier in the same row. Strings do not cross rows; they are judged on the input. A
-    null text counts as empty; texts shorter than ``length`` stay. If keys are null or repeated, rows are
+    null text counts as empty; texts shorter than ``length`` stay. If keys are null, repeated or not whole numbers, rows are
     ordered by key (nulls first) and a hash of the text, and every row is a document of its own. An empty table
     gives no rows. ``length`` must be three anchors at least.
     """
     if length < 3 * ANCHOR:
         raise ValueError(f"length must be {3 * ANCHOR} at least")
     rows = df.select(F.col(key), text_or_empty(text).alias("_text"))
-    if unique_ids(df, key):
+    if whole_ids(df, key):
         rows = rows.withColumn("_key", F.col(key).cast("long"))
     else:
         rows = written(numbered(rows, [F.col(key), F.xxhash64("_text"), F.col("_text")], "_key"), "keyed")

@@ -131,42 +131,6 @@ def test_thresholds_add_up_and_keep_every_pair():
             assert any(not m & (1 << a | 1 << b) for m in simhash.refined(mask, 2, list(range(64))))
 
 
-def test_similar_groups(documents):
-    docs = dict(enumerate(near_texts()))
-    sets = {k: set(simhash.shingle_hashes(t or "", 5).tolist()) for k, t in docs.items()}
-    want = smallest_reachable(list(docs), lambda a, b: 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]))
-    got = simhash.similar_groups(documents([*docs.items()]))
-    assert {r.doc_id: r.group_id for r in got.collect()} == want
-
-
-def star_and_chain():
-    """A hub of large id with copies that are each similar to it (about 0.85) and hardly to each other; a chain."""
-    r = random.Random(6)
-
-    def changed(words, at):
-        return [f"n{r.randrange(10**9)}" if i in at else w for i, w in enumerate(words)]
-
-    hub = [f"w{i}" for i in range(500)]
-    star = [changed(hub, set(r.sample(range(500), 8))) for _ in range(130)]
-    link, chain = [f"c{i}" for i in range(300)], []
-    for _ in range(40):
-        chain.append(link)
-        link = changed(link, set(r.sample(range(300), 5)))
-    r.shuffle(chain)
-    return [" ".join(words) for words in [*star, *chain, hub]]
-
-
-@pytest.mark.parametrize("block", [256, 8])
-def test_similar_groups_of_hub_and_chain(documents, monkeypatch, block):
-    monkeypatch.setattr(simhash, "BLOCK", block, raising=False)
-    docs = dict(enumerate(star_and_chain()))
-    sets = {k: set(simhash.shingle_hashes(t, 5).tolist()) for k, t in docs.items()}
-    want = smallest_reachable(list(docs), lambda a, b: 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]))
-    assert len(set(want.values())) < 12
-    got = {r.doc_id: r.group_id for r in simhash.similar_groups(documents([*docs.items()])).collect()}
-    assert got == want
-
-
 def test_components(spark):
     r = random.Random(5)
     pairs = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(r.randrange(300, 500), r.randrange(300, 500)) for _ in range(90)] + [(9, 9), (-5, -4)]
