@@ -395,6 +395,44 @@ def findings_by_language(spark, sf_dir):
     return count_by_entity(findings(docs, ["lang"], "text", routed, language="lang"), "lang")
 
 
+def language_policy() -> tuple[Policy, TablePolicy]:
+    """Phone numbers as English texts write them, and a pattern for German and French texts only."""
+    article = EntityPolicy(
+        "ARTICLE", patterns=(Pattern("article", r"(?<![0-9A-Za-z_])(?:der|une)(?![0-9A-Za-z_])", 0.9, ("de", "fr")),), strategy="redact"
+    )
+    return Policy.default().with_entity(article), TablePolicy(language_column="lang")
+
+
+def anonymize_by_language(spark, sf_dir):
+    """One plan for all languages: recognizers and patterns apply by the language of the row."""
+    docs = texts(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return anonymize_table(docs, *language_policy())
+
+
+def written_by_language(spark, sf_dir):
+    """The same while tables are written; what was written is read back."""
+    policy, own = language_policy()
+    out = scratch_path(spark, "languages")
+    docs = texts(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    write_anonymized(TableSet(spark, {"documents": docs}), out, policy, {"documents": own})
+    return spark.read.parquet(f"{out}/documents.parquet")
+
+
+def stream_by_language(spark, sf_dir):
+    policy, own = language_policy()
+    stream = file_stream(spark, sf_dir, "documents.parquet").select("doc_id", "text", "lang")
+    out, state = scratch_path(spark, "languages-out"), scratch_path(spark, "languages-state")
+    anonymize_stream(stream, policy, out, state, own).awaitTermination()
+    return spark.read.parquet(out)
+
+
+def report_by_language(spark, sf_dir):
+    """Detections of the report of the same job."""
+    policy, own = language_policy()
+    docs = texts(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return R.entities_found(R.profile_table(docs, "documents", policy, own))
+
+
 def findings_negative_control(spark, sf_dir):
     """Dialogues hold no personal data: a count per table, expected to be zero."""
     found = findings(texts(spark, sf_dir, "conversations", "conv_id", "text"), ["conv_id"], "text",
@@ -728,6 +766,10 @@ QUERIES = {
     "stream_anonymize_names": stream_anonymize_names,
     "findings_optional_entities": findings_optional_entities,
     "findings_by_language": findings_by_language,
+    "anonymize_by_language": anonymize_by_language,
+    "written_by_language": written_by_language,
+    "stream_by_language": stream_by_language,
+    "report_by_language": report_by_language,
     "findings_negative_control": findings_negative_control,
     "findings_model": findings_model,
     "anonymize_documents": anonymize_documents,

@@ -337,6 +337,10 @@ def oracle_sql() -> dict[str, str]:
     upserted = f"""(SELECT email, name, CASE WHEN name LIKE 'A%' THEN concat(bio, ' Updated.') ELSE bio END AS bio FROM {PEOPLE}) merged"""
     upsert_cells = {c: rewritten(upserted, "email", c, spans(upserted, "email", c, ["EMAIL_ADDRESS"])) for c in ("name", "bio")}
     lines = "(SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)"
+    routed = f"""SELECT f.* FROM ({spans(docs, 'doc_id', 'text', DEFAULT_ENTITIES, extra={'ARTICLE': [(r"\b(?:der|une)\b", 0.9, '')]})}) f
+        JOIN documents l ON l.doc_id = f.doc_id WHERE CASE WHEN entity IN ('PHONE_NUMBER', 'US_SSN', 'LOCATION') THEN lang = 'en'
+        WHEN entity = 'ARTICLE' THEN lang IN ('de', 'fr') ELSE true END"""
+    by_language = rewritten(docs, "doc_id", "text", routed, columns="src.lang,", extra="WHEN 'ARTICLE' THEN ''")
     arrival = """SELECT event_id, ts, user_id, event_type, value, props FROM (SELECT *, row_number() OVER (PARTITION BY user_id
             ORDER BY CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END DESC, ts DESC, event_id DESC) AS r FROM events) WHERE r = 1"""
     return {
@@ -408,6 +412,10 @@ def oracle_sql() -> dict[str, str]:
         "findings_by_language": f"""SELECT lang, entity, count(*) AS n_found FROM ({spans(docs, 'doc_id', 'text',
             ['EMAIL_ADDRESS', 'PHONE_NUMBER', 'CREDIT_CARD', 'IP_ADDRESS'])}) f JOIN documents d ON d.doc_id = f.doc_id
             WHERE lang = 'en' OR entity <> 'PHONE_NUMBER' GROUP BY 1, 2""",
+        "anonymize_by_language": by_language,
+        "written_by_language": by_language,
+        "stream_by_language": by_language,
+        "report_by_language": f"SELECT entity, count(*) AS n_found FROM ({routed}) GROUP BY 1",
         "findings_negative_control": f"""SELECT count(*) AS n_found FROM ({spans('(SELECT conv_id * 1000 + turn AS rid, text FROM conversations) s',
             'rid', 'text', ['EMAIL_ADDRESS', 'PHONE_NUMBER', 'US_SSN', 'CREDIT_CARD', 'LOCATION', 'IP_ADDRESS', 'URL'])})""",
         "findings_model": places(list(CITIES)),

@@ -24,24 +24,34 @@ def make_span(entity: Sql, start: Sql, end: Sql, score: Sql, value: Sql) -> Sql:
     return struct(entity=entity, start=start, end=end, score=score, value=value)
 
 
-def running(values: Sql, zero: int, step: Callable[[Sql, Sql], Sql]) -> Sql:
-    """Running fold of a non-empty ``array<int>``: element i is the fold of elements 0..i."""
+def scan(
+    values: Sql, start: Sql, step: Callable[[Sql, Sql], Sql], out: Callable[[Sql], Sql], out_type: str
+) -> Sql:
+    """``out`` of the state after each element of a non-empty array, as ``array<out_type>``.
+
+    ``step`` takes the state and an element and gives the next state. The results are collected block by block.
+    """
 
     def one_block(outer: Sql, block: Sql) -> Sql:
         advance = lambda acc, v: let(
-            step(f"{acc}.last", v), lambda n: struct(last=n, seen=f"array_append({acc}.seen, {n})")
+            step(f"{acc}.state", v), lambda n: struct(state=n, seen=f"array_append({acc}.seen, {out(n)})")
         )
-        finish = lambda acc: struct(last=f"{acc}.last", blocks=f"array_append({outer}.blocks, {acc}.seen)")
-        return fold(block, struct(last=f"{outer}.last", seen="cast(array() AS array<int>)"), advance, finish)
+        finish = lambda acc: struct(state=f"{acc}.state", blocks=f"array_append({outer}.blocks, {acc}.seen)")
+        return fold(block, struct(state=f"{outer}.state", seen=f"cast(array() AS array<{out_type}>)"), advance, finish)
 
     def blocks(bound: Sql) -> Sql:
         cut = each(f"sequence(1, size({bound}), {BLOCK})", lambda first: f"slice({bound}, {first}, {BLOCK})")
-        start = struct(last=str(zero), blocks="cast(array() AS array<array<int>>)")
-        return f"flatten({fold(cut, start, one_block, lambda acc: f'{acc}.blocks')})"
+        begin = struct(state=start, blocks=f"cast(array() AS array<array<{out_type}>>)")
+        return f"flatten({fold(cut, begin, one_block, lambda acc: f'{acc}.blocks')})"
 
     return let(values, blocks)
 
 
+def running(values: Sql, zero: int, step: Callable[[Sql, Sql], Sql]) -> Sql:
+    """Running fold of a non-empty ``array<int>``: element i is the fold of elements 0..i."""
+    return scan(values, str(zero), step, lambda state: state, "int")
+
+
 def locate(text: Sql, regex: Sql, hits: Sql, entity: Sql, score_of: Callable[[Sql], Sql]) -> Sql:
     """Spans of ``hits``, the non-empty list of all matches of ``regex`` in ``text``.
 
@@ -149,7 +159,9 @@ def _groups(ordered: Sql) -> Sql:
         opens = lambda i: f"{i} = 0 OR get({ordered}, {i}).start >= get({reach}, {i} - 1)"
         heads = keep(f"sequence(0, size({ordered}) - 1)", opens)
         until = lambda first, i: f"coalesce(get({first}, {i} + 1), size({ordered}))"
-        run = lambda first: each(first, lambda at, i: f"slice({ordered}, {at} + 1, {until(first, i)} - {at})")
+        # Element by element: ``slice`` walks the whole array for every piece.
+        piece = lambda at, end: each(f"sequence({at}, {end} - 1)", lambda k: f"get({ordered}, {k})")
+        run = lambda first: each(first, lambda at, i: piece(at, until(first, i)))
         return let(heads, run)
 
     ends = each(ordered, lambda s: f"{s}.end")
@@ -191,12 +203,27 @@ def _claim(group: Sql) -> Sql:
     rank = lambda s: struct(
         worst=f"-{s}.score", shortest=f"{s}.start - {s}.end", start=f"{s}.start", entity=f"{s}.entity", value=f"{s}.value"
     )
-    covering = lambda left: keep(group, lambda s: f"{s}.start <= {left} AND {left} < {s}.end")
-    owner = lambda left: f"array_min({each(covering(left), rank)})"
     edges = f"concat({each(group, lambda s: f'{s}.start')}, {each(group, lambda s: f'{s}.end')})"
+    # Spans of one entity do not overlap any more, so at most ``most`` of them begin, or are open, at any edge.
+    most = f"size(array_distinct({each(group, lambda s: f'{s}.entity')}))"
+
+    def owners(lefts: Sql, width: Sql) -> Sql:
+        """The strongest span open at each edge: a sweep over the edges that keeps the spans that are open."""
+
+        def advance(state: Sql, left: Sql) -> Sql:
+            ahead = each(f"sequence({state}.next, {state}.next + {width} - 1)", lambda k: f"get({group}, {k})")
+            begun = keep(ahead, lambda s: f"coalesce({s}.start <= {left}, false)")
+            still = keep(f"{state}.open", lambda s: f"{s}.end > {left}")
+            return let(begun, lambda b: struct(next=f"{state}.next + size({b})", open=f"concat({still}, {b})"))
+
+        begin = struct(next="0", open=f"slice({group}, 1, 0)")
+        strongest = lambda state: f"array_min({each(f'{state}.open', rank)})"
+        return scan(lefts, begin, advance, strongest, "struct<worst:double,shortest:int,start:int,entity:string,value:string>")
 
     def pieces(cuts: Sql) -> Sql:
-        owned = each(f"slice({cuts}, 1, size({cuts}) - 1)", lambda left: struct(left=left, owner=owner(left)))
+        lefts = f"slice({cuts}, 1, size({cuts}) - 1)"
+        paired = fn(lambda left, owner: struct(left=left, owner=owner))
+        owned = let(most, lambda width: f"zip_with({lefts}, {owners(lefts, width)}, {paired})")
 
         def merged(segments: Sql) -> Sql:
             changes = keep(segments, lambda s, i: f"{i} = 0 OR get({segments}, {i} - 1).owner != {s}.owner")

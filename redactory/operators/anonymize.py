@@ -158,11 +158,13 @@ def prepare_table(
     table_policy: TablePolicy | None = None,
     language_column: str | None = None,
 ) -> Prepared:
-    """Add the spans of every column that can hold personal data under ``policy``.
+    """Add the spans of every column that can hold personal data under ``policy``. Recognizers and patterns that
+    are bound to languages apply row by row where a column (here or in ``table_policy``) holds the language.
 
     Columns that need the same recognizers share one expression over the array of their values, so
     the plan grows with the number of different column policies, not with the number of columns.
     """
+    language_column = language_column or (table_policy.language_column if table_policy else None)
     columns = plan_columns(df.schema, policy, table_policy, by_language=language_column is not None)
     language = column(language_column) if language_column else None
     inspected = [c for c in columns if c.recognizers]

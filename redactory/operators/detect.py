@@ -183,8 +183,10 @@ def compile_recognizers(
         if column.entities and entity.entity not in column.entities:
             continue
         found = [r for r in built_in() if r.entity == entity.entity]
-        if entity.patterns:
-            found.append(Recognizer(entity.entity, entity.patterns, kinds=ALL_KINDS))
+        for languages in dict.fromkeys(p.languages for p in entity.patterns):
+            own = tuple(p for p in entity.patterns if p.languages == languages)
+            bound = frozenset(languages) or None
+            found.append(Recognizer(entity.entity, own, kinds=ALL_KINDS, languages=bound))
         if entity.deny:
             found.append(deny_recognizer(entity.entity, entity.deny))
         if entity.listed:

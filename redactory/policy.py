@@ -31,6 +31,7 @@ class Pattern:
     name: str
     regex: str
     score: float = 0.8
+    languages: tuple[str, ...] = ()  # empty: every language
 
     def __post_init__(self) -> None:
         check_regex(self.regex)
@@ -64,6 +65,7 @@ class ColumnPolicy:
 class TablePolicy:
     enabled: bool = True
     columns: Mapping[str, ColumnPolicy] = field(default_factory=dict)
+    language_column: str | None = None  # holds the language of each row; without it columns state theirs
 
 
 @dataclass(frozen=True)
@@ -198,7 +200,7 @@ def _read_pattern(entity: str, position: int, item: Any) -> Pattern:
     if isinstance(item, str):
         item = {"name": f"{entity.lower()}_{position}", "regex": item}
     regex = item["regex"].replace("(?P<", "(?<")
-    return Pattern(item["name"], regex, float(item.get("score", 0.8)))
+    return Pattern(item["name"], regex, float(item.get("score", 0.8)), tuple(item.get("languages", ())))
 
 
 def check_regex(regex: str) -> None:

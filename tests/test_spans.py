@@ -108,3 +108,25 @@ def test_pattern_facts():
     assert first_class("[A-Z]x") is None and first_class("(?i)1a") is None and first_class(".1") is None
     assert (min_width(r"\p{L}+"), first_class(r"\p{L}+")) == (1, None)
     assert first_class("a?") is None
+
+
+def test_long_chains_of_overlaps(spark):
+    """100,000 spans of three entities, each overlapping the next: linear, and every character goes to its strongest span."""
+    import time
+
+    n = 100_000
+    span = (
+        "named_struct('entity', concat('E', cast(i % 3 AS string)), 'start', cast(2 * i AS int), 'end', cast(2 * i + 3 AS int), "
+        "'score', 0.5D + (i * 7 % 10) / 20D, 'value', repeat(cast(i % 10 AS string), 3))"
+    )
+    df = spark.range(1).selectExpr(f"transform(sequence(0, id + {n - 1}), i -> {span}) AS s")
+    small = df.selectExpr(resolve_spans("slice(s, 1, 50)") + " AS r").first()["r"]
+    spans = df.selectExpr("slice(s, 1, 50) AS s").first()["s"]
+    for place in range(101):
+        own = [s for s in spans if s["start"] <= place < s["end"]]
+        best = min(own, key=lambda s: (-s["score"], s["start"] - s["end"], s["start"], s["entity"]))
+        got = next(r for r in small if r["start"] <= place < r["end"])
+        assert (got["entity"], got["score"]) == (best["entity"], best["score"])
+    started = time.time()
+    found = df.selectExpr(f"size({resolve_spans('s')}) AS n").first()["n"]
+    assert found >= n // 2 and time.time() - started < 180  # a filter per edge takes hours
