@@ -673,6 +673,48 @@ def observed_report(spark, sf_dir):
     )
 
 
+def report_file(spark, sf_dir):
+    """The JSON file that a run leaves, read back by its fields."""
+    path, file = scratch_path(spark, "reported"), scratch_path(spark, "report")
+    write_anonymized(
+        TableSet(spark, report_frames(spark, sf_dir)), path, Policy.default(), REPORT_POLICIES, report_path=file
+    )
+    stats, found = F.col("processing_stats"), F.col("anonymization_stats")
+    return R.read_report(spark, file).select(
+        stats["total_tables"].alias("total_tables"),
+        stats["processed_rows"].alias("total_rows"),
+        stats["anonymized_rows"].alias("anonymized_rows"),
+        found["total_values_processed"].alias("values_processed"),
+        found["total_values_anonymized"].alias("values_anonymized"),
+        found["anonymization_rate"].alias("anonymization_rate"),
+        stats["progress_percent"].alias("progress_percent"),
+        (stats["rows_per_second"] * stats["elapsed_time"]).cast("decimal(20,0)").cast("bigint").alias("rows_in_time"),
+    )
+
+
+def report_failed_table(spark, sf_dir):
+    """One of three tables cannot be written: the others are, and the report says how far the run came."""
+    broken = F.when(F.col("c_custkey") >= 0, F.raise_error(F.lit("unreadable"))).otherwise(F.col("c_name"))
+    frames = {
+        "supplier": read(spark, sf_dir, "supplier"),
+        "customer": read(spark, sf_dir, "customer").withColumn("c_name", broken),
+        "nation": read(spark, sf_dir, "nation"),
+    }
+    path = scratch_path(spark, "partly")
+    full = write_anonymized(TableSet(spark, frames), path, Policy.default(), on_table_error="report")
+    stats = F.col("processing_stats")
+    written = [spark.read.parquet(f"{path}/{n}.parquet").count() for n in ("supplier", "nation")]
+    return full.select(
+        stats["total_tables"].alias("total_tables"),
+        stats["processed_tables"].alias("processed_tables"),
+        stats["total_rows"].alias("total_rows"),
+        stats["processed_rows"].alias("processed_rows"),
+        stats["progress_percent"].alias("progress_percent"),
+        F.array_join(F.map_keys(stats["failed_tables"]), ",").alias("failed"),
+        F.lit(sum(written)).cast("bigint").alias("rows_written"),
+    )
+
+
 # ---- streaming ----------------------------------------------------------------------------------
 
 
@@ -797,6 +839,8 @@ QUERIES = {
     "anonymize_database_report": anonymize_database_report,
     "report_json": report_json,
     "observed_report": observed_report,
+    "report_file": report_file,
+    "report_failed_table": report_failed_table,
     "stream_anonymize": stream_anonymize,
     "stream_entities_found": stream_entities_found,
     "stream_upsert": stream_upsert,

@@ -458,6 +458,10 @@ def oracle_sql() -> dict[str, str]:
             FROM ({all_docs}) f JOIN documents d ON d.doc_id = f.doc_id GROUP BY CUBE (lang, source, entity)""",
         "anonymize_database_report": database_report(),
         "observed_report": cells + TOTALS,
+        "report_file": cells + f"""SELECT *, CAST(100 AS DOUBLE) AS progress_percent, total_rows AS rows_in_time FROM ({TOTALS})""",
+        "report_failed_table": """SELECT CAST(3 AS BIGINT) AS total_tables, CAST(2 AS BIGINT) AS processed_tables, s + c + n AS total_rows,
+            s + n AS processed_rows, CAST(s + n AS DOUBLE) * 100 / CAST(s + c + n AS DOUBLE) AS progress_percent, 'customer' AS failed,
+            s + n AS rows_written FROM (SELECT count(*) AS s FROM supplier), (SELECT count(*) AS c FROM customer), (SELECT count(*) AS n FROM nation)""",
         "stream_anonymize": rewritten("documents", "doc_id", "text", all_docs),
         "stream_entities_found": f"SELECT entity, count(*) AS n_found FROM ({all_docs}) GROUP BY 1",
         "stream_upsert": f"SELECT event_id, ts, user_id, event_type, value, props FROM (SELECT *, {latest} AS r FROM events) WHERE r = 1",

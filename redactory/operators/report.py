@@ -2,15 +2,26 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Mapping
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import keep, lit, struct
 from ..policy import Policy, TablePolicy
 from .anonymize import Prepared, prepare_table
 
+#: The columns of a report.
+REPORT = (
+    "processing_stats struct<total_tables:bigint,processed_tables:bigint,total_rows:bigint,processed_rows:bigint,"
+    "anonymized_rows:bigint,elapsed_time:double,rows_per_second:double,progress_percent:double,failed_tables:map<string,string>>, "
+    "anonymization_stats struct<total_values_processed:bigint,total_values_anonymized:bigint,anonymization_rate:double,"
+    "entities_found:map<string,bigint>,tables_processed:map<string,bigint>,columns_processed:map<string,bigint>>, "
+    "policy struct<enabled_entities:array<string>,supported_languages:array<string>>"
+)
 NO_COUNTS = "cast(map() AS map<string,bigint>)"
 
 
@@ -55,6 +66,14 @@ def _unfold(metrics: DataFrame, table: str, prepared: Prepared) -> DataFrame:
     ).select("table", "column", "n_rows", "anonymized_rows", "values_processed", "values_anonymized", "entities")
 
 
+def empty_profile(spark: SparkSession) -> DataFrame:
+    """The profile of no table."""
+    return spark.createDataFrame(
+        [], "`table` string, `column` string, n_rows bigint, anonymized_rows bigint, values_processed bigint, "
+        "values_anonymized bigint, entities map<string,bigint>"
+    )
+
+
 def profile_tables(
     frames: dict[str, DataFrame], policy: Policy, tables: dict[str, TablePolicy] | None = None
 ) -> DataFrame:
@@ -90,8 +109,19 @@ def entities_found(profile: DataFrame) -> DataFrame:
     )
 
 
-def report(profile: DataFrame, policy: Policy, elapsed: float | None = None) -> DataFrame:
-    """The nested report as one row; ``elapsed`` adds the wall-clock figures of a finished run."""
+@dataclass(frozen=True)
+class Run:
+    """What a run was to do and what became of it: all tables with their rows, the failures with their reasons, and the
+    wall-clock seconds it took."""
+
+    rows: Mapping[str, int]
+    failures: Mapping[str, str]
+    seconds: float
+
+
+def report(profile: DataFrame, policy: Policy, run: Run | None = None) -> DataFrame:
+    """The nested report as one row. ``profile`` holds the tables that were processed; ``run`` adds the wall clock, the
+    tables that were to be processed but failed, and from both the progress. Without it the profile is all there is."""
     fact = lambda kind, key, n: F.struct(F.lit(kind).alias("kind"), key.alias("key"), n.alias("n"))
     # Names that hold a dot are quoted, so that no two columns share a key.
     named = lambda n: F.when(F.col(n).contains("."), F.concat(F.lit("`"), n, F.lit("`"))).otherwise(F.col(n))
@@ -131,17 +161,21 @@ def report(profile: DataFrame, policy: Policy, elapsed: float | None = None) ->
         mapped("table").alias("tables_processed"),
         mapped("column").alias("columns_processed"),
     )
-    seconds = F.lit(elapsed).cast("double")
+    seconds = F.lit(run.seconds if run else None).cast("double")
+    total_tables = F.lit(len(run.rows)).cast("bigint") if run else F.col("tables")
+    total_rows = F.lit(sum(run.rows.values())).cast("bigint") if run else F.col("rows")
+    failures = F.lit(json.dumps(dict(run.failures if run else {})))
     return one.select(
         F.struct(
-            F.col("tables").alias("total_tables"),
+            total_tables.alias("total_tables"),
             F.col("tables").alias("processed_tables"),
-            F.col("rows").alias("total_rows"),
+            total_rows.alias("total_rows"),
             F.col("rows").alias("processed_rows"),
             F.col("anonymized_rows"),
             seconds.alias("elapsed_time"),
             (F.col("rows") / F.nullif(seconds, F.lit(0.0))).alias("rows_per_second"),
-            F.lit(100.0).alias("progress_percent"),
+            F.coalesce(F.col("rows") * 100.0 / F.nullif(total_rows, F.lit(0)), F.lit(100.0)).alias("progress_percent"),
+            F.from_json(failures, "map<string,string>").alias("failed_tables"),
         ).alias("processing_stats"),
         F.struct(
             F.col("processed").alias("total_values_processed"),
@@ -162,5 +196,15 @@ def _rate(part: Column, whole: Column) -> Column:
     return F.coalesce(part.cast("double") * 100 / F.nullif(whole, F.lit(0)), F.lit(0.0))
 
 
+def write_report(full: DataFrame, path: str) -> None:
+    """The report as one JSON document in the folder ``path``, replacing an earlier one."""
+    report_json(full).coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    """A report that was written, as one row with the columns of ``report``."""
+    return spark.read.schema(REPORT).json(path)
+
+
 def report_json(full: DataFrame) -> DataFrame:
     return full.select(F.to_json(F.struct("*")).alias("report"))

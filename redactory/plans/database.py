@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation
 
 from ..operators.anonymize import anonymize_table, prepare_table
-from ..operators.report import profile_from_metrics, profile_tables, report
+from ..operators.report import Run, by_table, empty_profile, profile_from_metrics, profile_tables, report, write_report
 from ..policy import Policy, PolicyError, TablePolicy, policies_of
 from ..sources.tables import TableSet, append
 
@@ -54,13 +54,16 @@ def write_anonymized(
     policies: Mapping[str, TablePolicy] | None = None,
     mode: str = "errorifexists",
     concurrent: int = 4,
+    on_table_error: str = "raise",
+    report_path: str | None = None,
 ) -> DataFrame:
     """Write every table anonymized to ``{path}/{name}.parquet`` and return the report.
 
     The counters are observed while the rows are written, so no text is searched twice, and each
     write is one stage without a shuffle: counters of lost or repeated tasks are not added.
-    Small tables do not fill a cluster, hence a few writes run side by side; the first error is
-    raised. Table policies that name unknown tables or columns are refused before anything is written.
+    Small tables do not fill a cluster, hence a few writes run side by side. The first error is
+    raised; with ``on_table_error="report"`` all other tables are written, and the report names the failed ones and
+    counts progress in rows that were written. ``report_path`` takes the report as a JSON file. Table policies that name unknown tables or columns are refused before anything is written.
     """
     refuse_unknown(tables, policies or {})
     started = time.monotonic()
@@ -74,8 +77,31 @@ def write_anonymized(
         out.write.mode(mode).parquet(f"{path}/{name}.parquet")
         return profile_from_metrics(tables.spark, name, prepared, observation.get)
 
-    with ThreadPoolExecutor(max_workers=concurrent) as pool:
-        profiles = list(pool.map(write, tables.frames))
-    return report(reduce(DataFrame.unionByName, profiles), policy, time.monotonic() - started)
+    if on_table_error not in ("raise", "report"):
+        raise PolicyError(f"on_table_error is 'raise' or 'report', not {on_table_error!r}")
+    failures: dict[str, str] = {}
 
+    def attempt(name: str) -> DataFrame | None:
+        try:
+            return write(name)
+        except Exception as error:
+            if on_table_error == "raise":
+                raise
+            failures[name] = f"{type(error).__name__}: {str(error).splitlines()[0] if str(error) else ''}"
+            return None
 
+    with ThreadPoolExecutor(max_workers=concurrent) as pool:
+        profiles = [p for p in pool.map(attempt, tables.frames) if p is not None]
+    seconds = time.monotonic() - started
+    rows = {n: 0 for n in failures}  # a table that cannot be read has no count of its own
+    for name in failures:
+        try:
+            rows[name] = tables.frames[name].count()
+        except Exception:
+            failures[name] += " (rows not counted)"
+    profile = reduce(DataFrame.unionByName, profiles) if profiles else empty_profile(tables.spark)
+    rows |= {row["table"]: row["n_rows"] for row in by_table(profile).collect()}
+    full = report(profile, policy, Run(rows, failures, seconds))
+    if report_path:
+        write_report(full, report_path)
+    return full
