@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 
 import pandas as pd
@@ -39,8 +40,9 @@ from redactory.operators.validate import policy_violations, schema_differences
 from redactory.plans.database import append_anonymized
 from redactory.session import scratch_path
 from redactory.session import spread as spread_out
+from redactory.sources.catalog import materialize, save_table, upsert_table
+from redactory.sources.paging import PageIndex, page, page_after, with_pages
 from redactory.sources.store import UpsertStore
-from redactory.sources.paging import page, page_after, with_pages
 from redactory.streaming.jobs import (
     anonymize_stream,
     entity_counts_stream,
@@ -128,6 +130,54 @@ def page_fetch_after(spark, sf_dir):
     return page_after(read(spark, sf_dir, "orders"), "o_orderkey", 749, 250)
 
 
+def page_index_scan(spark, sf_dir):
+    """``page_scan`` from the ranges of an index."""
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    paged = PageIndex.build(orders, "o_orderkey", scratch_path(spark, "pages"), 6).with_pages(1000)
+    return paged.groupBy("page").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.min("o_orderkey").alias("first_key"),
+        F.max("o_orderkey").alias("last_key"),
+        F.max("row_in_page").alias("last_row"),
+    )
+
+
+def page_index_fetch(spark, sf_dir):
+    """A page in the middle, read from the ranges that hold it."""
+    return PageIndex.build(read(spark, sf_dir, "orders"), "o_orderkey", scratch_path(spark, "pages")).page_at(2, 250)
+
+
+def catalog_upsert(spark, sf_dir):
+    """``upsert_latest`` on a table of the catalog that knows its key."""
+    events, name = read(spark, sf_dir, "events"), f"events_{uuid.uuid4().hex}"
+    existing = latest(events.filter("event_type <> 'purchase'"), ["user_id"], ["ts", "event_id"])
+    save_table(existing, name, ["user_id"], location=scratch_path(spark, "table"))
+    incoming = events.filter("event_type = 'purchase'")
+    upsert_table(incoming, name, ["ts", "event_id"], location=scratch_path(spark, "table"))
+    return spark.table(name)
+
+
+def materialized_query(spark, sf_dir):
+    """``query_results_source`` with the rows of the query kept as a table before they are anonymized."""
+    read(spark, sf_dir, "customer").createOrReplaceTempView("source_customers")
+    sql = "SELECT c_custkey, c_name, c_mktsegment FROM source_customers WHERE c_mktsegment = ? AND c_nationkey < ?"
+    name = f"results_{uuid.uuid4().hex}"
+    kept = materialize(spark, sql, name, ["BUILDING", 12], ["c_custkey"], location=scratch_path(spark, "results"))
+    return anonymize_table(kept, only(), TablePolicy(columns={"c_name": ColumnPolicy(holds="PERSON")}))
+
+
+def encrypt_named_key(spark, sf_dir):
+    """Two versions of a key that only the executors' JVM holds; both are read back."""
+    for key_id, key in (("v1", KEY), ("v2", KEY[::-1])):
+        spark._jvm.java.lang.System.setProperty(f"redactory.check.{key_id}", key)
+    first, second = (masks.encrypt_by_name("redactory.check", i)("email") for i in ("v1", "v2"))
+    hidden = people(spark, sf_dir).select("user_id", "email", F.expr(f"CASE WHEN length(email) % 2 = 0 THEN {first} ELSE {second} END AS e"))
+    return masked(
+        hidden, "user_id", email=masks.decrypt_by_name("redactory.check")("e"), key_id="substring_index(e, ':', 1)",
+        hidden="NOT contains(e, email)",
+    )
+
+
 def upsert_latest(spark, sf_dir):
     events = read(spark, sf_dir, "events")
     existing = latest(events.filter("event_type <> 'purchase'"), ["user_id"], ["ts", "event_id"])
@@ -772,6 +822,11 @@ QUERIES = {
     "page_scan": page_scan,
     "page_fetch": page_fetch,
     "page_fetch_after": page_fetch_after,
+    "page_index_scan": page_index_scan,
+    "page_index_fetch": page_index_fetch,
+    "catalog_upsert": catalog_upsert,
+    "materialized_query": materialized_query,
+    "encrypt_named_key": encrypt_named_key,
     "upsert_latest": upsert_latest,
     "upsert_masked_keys": upsert_masked_keys,
     "written_tables": written_tables,

@@ -345,6 +345,15 @@ def oracle_sql() -> dict[str, str]:
             ORDER BY CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END DESC, ts DESC, event_id DESC) AS r FROM events) WHERE r = 1"""
     return {
         "store_by_arrival": arrival,
+        "catalog_upsert": arrival,
+        "materialized_query": f"""SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, {mask_person('c_name')} AS c_name, c_mktsegment
+            FROM customer WHERE c_mktsegment = 'BUILDING' AND c_nationkey < 12""",
+        "encrypt_named_key": f"""SELECT user_id, email, CASE WHEN length(email) % 2 = 0 THEN 'v1' ELSE 'v2' END AS key_id, true AS hidden
+            FROM {PEOPLE}""",
+        "page_index_scan": """SELECT CAST((n - 1) // 1000 AS BIGINT) AS page, count(*) AS n_rows, min(o_orderkey) AS first_key,
+            max(o_orderkey) AS last_key, CAST(max((n - 1) % 1000) AS INTEGER) AS last_row
+            FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS n FROM orders) GROUP BY 1""",
+        "page_index_fetch": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 250 OFFSET 500",
         "stream_upsert_compacted": f"SELECT event_id, ts, user_id, event_type, value, props FROM (SELECT *, {latest} AS r FROM events) WHERE r = 1",
         "list_tables": "SELECT * FROM (VALUES " + ", ".join(f"({q(t)})" for t in jobs.TABLES) + ') v("table")',
         "table_schema": described(),

@@ -63,6 +63,32 @@ def decrypt_with(key: str, mode: str = "GCM") -> Mask:
     return lambda value: f"cast(aes_decrypt(unhex({value}), cast({lit(key)} AS binary), {lit(mode)}) AS string)"
 
 
+def _named_key(name: Sql) -> Sql:
+    """A key that executors read themselves, from a property of their JVM; the plan holds its name only."""
+    return f"cast(reflect('java.lang.System', 'getProperty', {name}) AS binary)"
+
+
+def encrypt_by_name(key_name: str, key_id: str, mode: str = "GCM") -> Mask:
+    """AES under the key in the property ``<key_name>.<key_id>`` of the executors (``spark.executor.extraJavaOptions``, or
+    a properties file of theirs): no plan, event log or display holds the key. The result is ``<key_id>:<hex>``, so keys
+    can be changed and older values still be read. A missing or unfit key fails the job."""
+    if not key_name or not key_id or ":" in key_id:
+        raise ValueError("a named key needs a name and an id without a colon")
+    key = _named_key(lit(f"{key_name}.{key_id}"))
+    prefix = lit(f"{key_id}:")
+    return lambda value: f"concat({prefix}, hex(aes_encrypt(cast({value} AS binary), {key}, {lit(mode)})))"
+
+
+def decrypt_by_name(key_name: str, mode: str = "GCM") -> Mask:
+    """The inverse for every key id."""
+
+    def apply(value: Sql) -> Sql:
+        key = _named_key(f"concat({lit(f'{key_name}.')}, substring_index({value}, ':', 1))")
+        return f"cast(aes_decrypt(unhex(substring_index({value}, ':', -1)), {key}, {lit(mode)}) AS string)"
+
+    return apply
+
+
 def _check_key(key: str) -> None:
     if not key or len(key.encode()) not in (16, 24, 32):
         raise ValueError("encryption needs a key of 16, 24 or 32 bytes")
@@ -148,6 +174,8 @@ def build_mask(strategy: str, entity: str, params: Mapping[str, Any], defaults:
         )
     if strategy == "hash":
         return hash_with(params.get("hash_type", defaults.get("hash_type", "sha256")))
+    if strategy == "encrypt" and "key_name" in params:
+        return encrypt_by_name(params["key_name"], params.get("key_id", "1"), params.get("mode", "GCM"))
     if strategy == "encrypt":
         return encrypt_with(params.get("key") or defaults.get("encryption_key") or "", params.get("mode", "GCM"))
     if strategy == "redact":

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SAMPLE = 4096
@@ -60,3 +61,68 @@ def with_pages(df: DataFrame, key: str, size: int, slices: int | None = None) ->
         F.floor(position / size).cast("bigint").alias("page"),
         (position % size).cast("int").alias("row_in_page"),
     )
+
+
+@dataclass(frozen=True)
+class PageIndex:
+    """Rows in the order of a key, written once in ranges, with the number of rows before each range: a page is read from
+    the one or two ranges that hold it, whatever its number.
+
+    ``rows/__range=<n>`` holds a range with ``__row``, the place of a row in it; ``index`` has one row per range: first
+    key, rows, rows before. Rows without a key come first; rows of one key are ordered by a hash of the row.
+    """
+
+    spark: SparkSession
+    path: str
+    key: str
+
+    @classmethod
+    def build(cls, df: DataFrame, key: str, path: str, ranges: int | None = None) -> PageIndex:
+        hashed = F.xxhash64(*[F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind])
+        order = [F.col(key).asc_nulls_first(), F.col("__tie").asc()]
+        rows = df.withColumn("__tie", hashed)
+        rows = rows.repartitionByRange(ranges, *order) if ranges else rows.repartitionByRange(*order)
+        place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+        rows = rows.sortWithinPartitions(*order).withColumn("__row", place).withColumn("__range", F.spark_partition_id())
+        rows.drop("__tie").write.partitionBy("__range").parquet(f"{path}/rows")
+        rows.drop("__tie").limit(0).coalesce(1).write.parquet(f"{path}/schema")  # an empty table has no other file
+        sizes = cls(df.sparkSession, path, key).rows().groupBy("__range")
+        sizes = sizes.agg(F.min(key).alias("first_key"), F.count("*").alias("n_rows"))
+        before = F.sum("n_rows").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))
+        index = sizes.select("*", F.coalesce(before, F.lit(0)).alias("rows_before"))  # one row per range
+        index.coalesce(1).write.parquet(f"{path}/index")
+        return cls(df.sparkSession, path, key)
+
+    @classmethod
+    def open(cls, spark: SparkSession, path: str, key: str) -> PageIndex:
+        """An index that was built before."""
+        return cls(spark, path, key)
+
+    def index(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/index")
+
+    def rows(self) -> DataFrame:
+        schema = self.spark.read.parquet(f"{self.path}/schema").schema
+        return self.spark.read.schema(schema).parquet(f"{self.path}/rows")
+
+    def count(self) -> int:
+        return self.index().agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
+
+    def page_at(self, page: int, size: int) -> DataFrame:
+        """Rows ``page * size`` and following, ``size`` of them, in order; only the ranges that hold them are read."""
+        first, last = page * size, (page + 1) * size
+        held = self.index().where((F.col("rows_before") < last) & (F.col("rows_before") + F.col("n_rows") > first)).collect()
+        within = F.lit(False)
+        for row in held:
+            a, b = first - row["rows_before"], last - row["rows_before"]
+            within = within | ((F.col("__range") == row["__range"]) & (F.col("__row") >= a) & (F.col("__row") < b))
+        found = self.rows().where(F.col("__range").isin([row["__range"] for row in held]) & within)
+        return found.orderBy("__range", "__row").drop("__range", "__row")
+
+    def with_pages(self, size: int) -> DataFrame:
+        """All rows with ``page`` and ``row_in_page``; the index, one row per range, is broadcast."""
+        before = self.index().select("__range", "rows_before")
+        position = F.col("rows_before") + F.col("__row")
+        paged = self.rows().join(F.broadcast(before), "__range")
+        paged = paged.withColumn("page", F.floor(position / size).cast("bigint"))
+        return paged.withColumn("row_in_page", (position % size).cast("int")).drop("__range", "__row", "rows_before")
