@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from dataclasses import replace
 
@@ -32,12 +33,13 @@ from redactory.functions.spans import at_least, only_entities, resolve_spans
 from redactory.functions.text import worth_analysing
 from redactory.operators import detect as D
 from redactory.operators import report as R
+from redactory.operators.anonymize import anonymize_separated
 from redactory.operators.findings import collect_spans, count_by_entity, cube_counts, explode_spans, with_policy
 from redactory.operators.lexicon import attach
 from redactory.operators.model import with_model_spans
 from redactory.operators.upsert import latest
 from redactory.operators.validate import policy_violations, schema_differences
-from redactory.plans.database import append_anonymized
+from redactory.plans.database import append_anonymized, write_separated
 from redactory.session import scratch_path
 from redactory.session import spread as spread_out
 from redactory.sources.catalog import materialize, save_table, upsert_table
@@ -495,7 +497,8 @@ def findings_model(spark, sf_dir):
 
     def load():
         def predict(batch: pd.Series):
-            return [[("LOCATION", t.index(c), t.index(c) + len(c), 0.85) for c in CITIES if c in t] for t in batch]
+            known = re.compile("|".join(CITIES))
+            return [[("LOCATION", m.start(), m.end(), 0.85) for m in known.finditer(t)] for t in batch]
 
         return predict
 
@@ -618,6 +621,33 @@ def python_mask_phones(spark, sf_dir):
     return anonymize_table(people(spark, sf_dir).select("user_id", "bio"), policy)
 
 
+def odd_phone_policy() -> Policy:
+    """A Python mask that cannot do numbers that end in 0; rows that hold one are put aside."""
+
+    def reverse(values: pd.Series) -> pd.Series:
+        if values.str.endswith("0").any():
+            raise ValueError("ends in 0")
+        return values.str[::-1]
+
+    register_python_mask("reverse_most", reverse)
+    return replace(strategy("PHONE_NUMBER", "custom", **{"lambda": "reverse_most"}), on_error="quarantine")
+
+
+def quarantined_rows(spark, sf_dir):
+    """Rows whose masks worked, and with their reason those that were put aside."""
+    clean, failed = anonymize_separated(people(spark, sf_dir).select("user_id", "bio"), odd_phone_policy())
+    reason = F.concat_ws(": ", F.col("errors")[0]["column"], F.col("errors")[0]["entity"], F.col("errors")[0]["error"])
+    return clean.withColumn("reason", F.lit(None).cast("string")).unionByName(failed.withColumn("reason", reason).drop("errors"))
+
+
+def quarantine_counts(spark, sf_dir):
+    """The failures of a job that writes the rest, by column, entity and error, next to the rows it wrote."""
+    out = scratch_path(spark, "clean")
+    frame = people(spark, sf_dir).select("user_id", "phone", "bio")
+    counts = write_separated(frame, out, scratch_path(spark, "quarantine"), odd_phone_policy())
+    return counts.withColumn("n_written", F.lit(spark.read.parquet(out).count()).cast("bigint"))
+
+
 def process_table_batches(spark, sf_dir):
     """A user function over batches of rows."""
 
@@ -884,6 +914,8 @@ QUERIES = {
     "anonymize_table": anonymize_people,
     "anonymize_typed": anonymize_typed,
     "python_mask_phones": python_mask_phones,
+    "quarantined_rows": quarantined_rows,
+    "quarantine_counts": quarantine_counts,
     "process_table_batches": process_table_batches,
     "report_totals": report_totals,
     "report_by_table": report_by_table,

@@ -454,6 +454,13 @@ def oracle_sql() -> dict[str, str]:
         "python_mask_phones": rewritten(
             PEOPLE, "user_id", "bio", spans(PEOPLE, "user_id", "bio", ["PHONE_NUMBER"]), mask=f"reverse({value})"
         ),
+        "quarantined_rows": f"""WITH masked AS ({rewritten(PEOPLE, "user_id", "bio", spans(PEOPLE, "user_id", "bio", ["PHONE_NUMBER"]), mask=f"reverse({value})")})
+            SELECT p.user_id, CASE WHEN p.phone LIKE '%0' THEN p.bio ELSE m.bio END AS bio,
+            CASE WHEN p.phone LIKE '%0' THEN 'bio: PHONE_NUMBER: ValueError: ends in 0' END AS reason
+            FROM (SELECT * FROM {PEOPLE}) p JOIN masked m ON m.user_id = p.user_id""",
+        "quarantine_counts": f"""SELECT c AS "column", 'PHONE_NUMBER' AS entity, 'ValueError: ends in 0' AS error,
+            count(*) FILTER (phone LIKE '%0') AS n_rows, count(*) FILTER (phone NOT LIKE '%0') AS n_written
+            FROM {PEOPLE}, (VALUES ('phone'), ('bio')) t(c) GROUP BY 1""",
         "process_table_batches": "SELECT c_custkey, c_name, lower(c_mktsegment) AS c_mktsegment, length(c_name) AS n FROM customer",
         "report_totals": cells + TOTALS,
         "report_by_table": cells + BY_TABLE,

@@ -14,13 +14,16 @@ from ..functions.masks import Mask, PythonMask, build_mask
 from ..functions.spans import NO_SPANS, resolve_spans, rewrite
 from ..functions.text import Sql, column, each, fn, let, lit
 from ..plans.eligibility import ColumnPlan, plan_columns
-from ..policy import Policy, TablePolicy
+from ..policy import Policy, PolicyError, TablePolicy
+from ..session import written
 from .detect import compile_recognizers, detect
 
 SPANS = "__spans"
 TEXTS = "__texts"
 RESOLVED = "__resolved"
 MASKED = "__masked"
+ERRORS = "__errors"
+ERROR_TYPE = "struct<column:string,entity:string,error:string>"
 
 
 def masks_for(policy: Policy) -> dict[str, Mask | PythonMask]:
@@ -43,33 +46,36 @@ def mask_span(policy: Policy, masks: Mapping[str, Mask | PythonMask]) -> Callabl
 
 
 def _python_masked(entities: Sql, values: Sql, masks: Mapping[str, Mask | PythonMask], on_error: str) -> Column:
-    """Masked values of spans with Python masks, aligned with ``spans``; NULL for all others."""
+    """Masked values of spans with Python masks, and the errors of those that failed, aligned with ``spans``; NULL for
+    all others. What happens to a value that fails is up to ``on_error``."""
     bodies = {e: m.body for e, m in masks.items() if isinstance(m, PythonMask)}
 
     def guarded(body: Callable[[pd.Series], pd.Series], values: pd.Series) -> pd.Series:
         try:
-            return body(values)
+            return body(values).map(lambda masked: (masked, None))
         except Exception:
             if on_error == "fail":
                 raise
 
-        def one(value: str) -> str:
+        def one(value: str) -> tuple[str | None, str | None]:
             try:
-                return body(pd.Series([value])).iloc[0]
-            except Exception:
-                return value if on_error == "keep" else "<ERROR>"
+                return body(pd.Series([value])).iloc[0], None
+            except Exception as error:
+                masked = {"keep": value, "redact": "<ERROR>"}.get(on_error)
+                return masked, f"{type(error).__name__}: {error}"
 
         return values.map(one)
 
-    @F.pandas_udf("array<string>")
+    @F.pandas_udf("array<struct<masked:string,error:string>>")
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for entities, values in batches:
             flat = pd.DataFrame({"entity": entities.explode(), "value": values.explode()}).reset_index()
-            flat["masked"] = None
+            flat["masked"] = [(None, None)] * len(flat)
             for entity, body in bodies.items():
                 own = flat["entity"] == entity
                 if own.any():
                     flat.loc[own, "masked"] = guarded(body, flat.loc[own, "value"])
+            flat["masked"] = flat["masked"].map(lambda pair: {"masked": pair[0], "error": pair[1]})
             grouped = flat.groupby("index", sort=False)["masked"].agg(list)
             yield pd.Series([grouped[i] if len(v) else [] for i, v in values.items()])
 
@@ -119,6 +125,25 @@ class Prepared:
 
     def result(self) -> DataFrame:
         """The anonymized table, in the column order of the input."""
+        return self._rewritten().select(*self._outputs())
+
+    def separated(self) -> tuple[DataFrame, DataFrame]:
+        """The anonymized rows, and the rows of the input of which a mask failed, with ``errors``. Written to the shared
+        scratch folder in between, so that masks run once; it holds the values of rows that failed, and of no other."""
+        frame = self._rewritten()
+        if ERRORS not in frame.columns:
+            frame = frame.withColumn(ERRORS, F.expr(f"cast(array() AS array<{ERROR_TYPE}>)"))
+        failed = F.expr(f"coalesce(size({ERRORS}), 0) > 0")
+        whole = F.struct(*[F.col(f"`{c.name.replace('`', '``')}`") for c in self.columns])
+        kept = frame.select(
+            F.when(~failed, F.struct(*self._outputs())).alias("row"),
+            F.when(failed, whole).alias("failed"),
+            F.when(failed, F.col(ERRORS)).alias("errors"),
+        )
+        kept = written(kept, "separated")
+        return kept.where("row IS NOT NULL").select("row.*"), kept.where("failed IS NOT NULL").select("failed.*", "errors")
+
+    def _outputs(self) -> list[Column]:
         position = {c.name: i for i, c in enumerate(self.inspected)}
 
         def output(c: ColumnPlan) -> Sql:
@@ -126,10 +151,12 @@ class Prepared:
                 return f"{TEXTS}[{position[c.name]}]"
             return f"cast({column(c.name)} AS string)" if c.eligible else column(c.name)
 
-        frame = self._rewritten() if position else self.frame
-        return frame.select(*[F.expr(output(c)).alias(c.name) for c in self.columns])
+        return [F.expr(output(c)).alias(c.name) for c in self.columns]
 
     def _rewritten(self) -> DataFrame:
+        """The frame with the rewritten texts of the inspected columns."""
+        if not self.inspected:
+            return self.frame
         masks = masks_for(self.policy)
         choose = mask_span(self.policy, masks)
         texts = f"array({', '.join(f'cast({column(c.name)} AS string)' for c in self.inspected)})"
@@ -148,8 +175,13 @@ class Prepared:
         done = ", ".join(f"{MASKED}{i}" for i in range(len(cells)))
         paired = f"zip_with({texts}, {RESOLVED}, (t, s) -> struct(t, s))"
         zipped = f"zip_with({paired}, array({done}), (c, m) -> struct(c.t AS t, c.s AS s, m AS m))"
-        body = lambda c: rewrite(f"{c}.t", f"{c}.s", lambda span, i: f"coalesce(get({c}.m, {i}), {choose(span)})")
-        return frame.withColumn(TEXTS, F.expr(each(zipped, body)))
+        body = lambda c: rewrite(f"{c}.t", f"{c}.s", lambda span, i: f"coalesce(get({c}.m, {i}).masked, {choose(span)})")
+        failed = ", ".join(
+            f"transform(filter(zip_with({cell}, {MASKED}{i}, (s, m) -> struct(s.entity AS entity, m.error AS error)), "
+            f"x -> x.error IS NOT NULL), x -> named_struct('column', {lit(self.inspected[i].name)}, 'entity', x.entity, 'error', x.error))"
+            for i, cell in enumerate(cells)
+        )
+        return frame.withColumns({TEXTS: F.expr(each(zipped, body)), ERRORS: F.expr(f"concat({failed})")})
 
 
 def prepare_table(
@@ -201,6 +233,18 @@ def anonymize_table(
     return prepare_table(df, policy, table_policy, language_column).result()
 
 
+def anonymize_separated(
+    df: DataFrame, policy: Policy, table_policy: TablePolicy | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """``anonymize_table`` for a policy with ``on_error="quarantine"``: the rows that could be anonymized, and those of
+    which a Python mask failed, as they came, with ``errors(column, entity, error)``. No row is in both or in neither."""
+    if policy.on_error != "quarantine":
+        raise PolicyError("rows are separated for on_error='quarantine' only")
+    if not policy.enabled or (table_policy is not None and not table_policy.enabled):
+        return df, df.limit(0).withColumn("errors", F.expr(f"cast(array() AS array<{ERROR_TYPE}>)"))
+    return prepare_table(df, policy, table_policy).separated()
+
+
 def anonymize(df: DataFrame, name: str, policy: Policy, extra_spans: str | None = None) -> DataFrame:
     """Detect and anonymize one text column, whatever its name. ``extra_spans`` names a span column
     with further findings, e.g. those of a lexicon join or of a model. Masks and the global switch
@@ -217,7 +261,7 @@ def anonymize(df: DataFrame, name: str, policy: Policy, extra_spans: str | None
     if any(isinstance(m, PythonMask) for m in masks.values()):
         masked = _python_masked(f"{RESOLVED}.entity", f"{RESOLVED}.value", masks, policy.on_error)
         frame = frame.withColumn(MASKED, masked)
-        mask = lambda s, i: f"coalesce(get({MASKED}, {i}), {choose(s)})"
+        mask = lambda s, i: f"coalesce(get({MASKED}, {i}).masked, {choose(s)})"
     return frame.withColumn(name, F.expr(rewrite(text, RESOLVED, mask))).drop(SPANS, RESOLVED, MASKED)
 
 

@@ -8,8 +8,9 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
-from ..operators.anonymize import anonymize_table, prepare_table
+from ..operators.anonymize import anonymize_separated, anonymize_table, prepare_table
 from ..operators.report import Run, by_table, empty_profile, profile_from_metrics, profile_tables, report, write_report
 from ..policy import Policy, PolicyError, TablePolicy, policies_of
 from ..sources.tables import TableSet, append
@@ -47,6 +48,18 @@ def append_anonymized(
     append(anonymize_table(df, policy, table_policy), path)
 
 
+def write_separated(
+    df: DataFrame, path: str, quarantine: str, policy: Policy, table_policy: TablePolicy | None = None
+) -> DataFrame:
+    """Write the rows that can be anonymized to ``path`` and those of which a mask failed, as they came and with their
+    errors, to ``quarantine``. Returns the failures counted: ``column, entity, error, n_rows``."""
+    clean, failed = anonymize_separated(df, policy, table_policy)
+    clean.write.parquet(path)
+    failed.write.parquet(quarantine)
+    found = df.sparkSession.read.schema(failed.schema).parquet(quarantine).select(F.explode(F.array_distinct("errors")).alias("e"))
+    return found.select("e.*").groupBy("column", "entity", "error").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def write_anonymized(
     tables: TableSet,
     path: str,

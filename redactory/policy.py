@@ -77,7 +77,7 @@ class Policy:
     defaults: Mapping[str, Any] = field(default_factory=dict)
     languages: tuple[str, ...] = ("en",)
     legacy_thresholds: bool = False  # ignore the thresholds of entities, obey only those of columns
-    on_error: str = "fail"  # failing Python masks: "fail", "redact" or "keep"
+    on_error: str = "fail"  # failing Python masks: "fail", "redact", "keep", or "quarantine" (see ``anonymize_separated``)
 
     # ---- construction -------------------------------------------------------------------------
 
