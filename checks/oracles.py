@@ -225,6 +225,7 @@ ELIGIBLE_REPORT = (
     [(t, c) for t in ("people", "results") for c in ("email", "name", "phone", "address", "ssn", "card", "locale", "bio")]
     + [("documents", c) for c in ("text", "lang", "source", "n_chars")]
     + [("supplier", c) for c in ("s_suppkey", "s_name", "s_nationkey", "s_acctbal")]
+    + [("labels", c) for c in ("quality", "toxic")]
 )
 REPORT_ROWS = (
     "SELECT 'people' AS tab, count(*) AS n FROM customer UNION ALL SELECT 'results', count(*) FROM customer "
@@ -258,7 +259,7 @@ def database_report() -> str:
         for t, k, c in cells
     )
     counts = " UNION ALL ".join(f"SELECT {q(t)} AS tab, count(*) AS n FROM {t}" for t in jobs.TABLES)
-    names = ("EMAIL_ADDRESS", "PHONE_NUMBER", "CREDIT_CARD", "IP_ADDRESS", "URL", "LOCATION")
+    names = ("EMAIL_ADDRESS", "PHONE_NUMBER", "US_SSN", "CREDIT_CARD", "IP_ADDRESS", "URL", "LOCATION")
     per = ", ".join(f"(SELECT count(*) FROM hits WHERE entity = {q(e)}) AS n_{e.lower()}" for e in names)
     return f"""WITH hits AS ({hits}), counts AS ({counts}), cols AS (SELECT "table" AS tab, "column" AS col FROM ({described()}) WHERE eligible)
 SELECT (SELECT count(*) FROM counts) AS total_tables, (SELECT CAST(sum(n) AS BIGINT) FROM counts) AS total_rows,
@@ -316,7 +317,17 @@ def contacts_report() -> str:
 PLACE_TERMS = [*CITIES, "Maple Ln", "Pine"]
 
 
+def metadata_sql() -> dict[str, str]:
+    """Statements of ``jobs.METADATA``."""
+    return {name: sql for name, sql in all_sql().items() if name in jobs.METADATA}
+
+
 def oracle_sql() -> dict[str, str]:
+    """Statements of ``jobs.QUERIES``."""
+    return {name: sql for name, sql in all_sql().items() if name not in jobs.METADATA}
+
+
+def all_sql() -> dict[str, str]:
     docs, bio = "documents", spans(PEOPLE, "user_id", "bio", DEFAULT_ENTITIES, legacy=True)
     all_docs = spans(docs, "doc_id", "text", DEFAULT_ENTITIES)
     plain = lambda source, key, text, entity, pattern: raw_spans(source, key, text, entity, pattern)
@@ -367,10 +378,10 @@ def oracle_sql() -> dict[str, str]:
             ORDER BY CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END DESC, ts DESC, event_id DESC) AS r FROM events) WHERE r = 1""",
         "upsert_masked_keys": f"""WITH n AS ({upsert_cells['name']}), b AS ({upsert_cells['bio']})
             SELECT {mask_email('n.email')} AS email, n.name, b.bio FROM n JOIN b ON b.email = n.email""",
-        "written_tables": people_columns + """, w AS (SELECT user_id, c_email.email, c_phone.phone, c_ssn.ssn, c_card.card
-            FROM c_email JOIN c_phone USING (user_id) JOIN c_ssn USING (user_id) JOIN c_card USING (user_id))
-            SELECT * FROM w UNION ALL SELECT concat('again-', user_id), w.email, w.phone, w.ssn, w.card FROM w JOIN """
-        + f"{PEOPLE} USING (user_id) WHERE locale = 'fr_FR'",
+        "written_tables": people_columns + f""", w AS (SELECT p.user_id, c_email.email, p.name, c_phone.phone, c_address.address, c_ssn.ssn,
+            c_card.card, p.locale, c_bio.bio FROM (SELECT * FROM {PEOPLE}) p JOIN c_email USING (user_id) JOIN c_phone USING (user_id)
+            JOIN c_address USING (user_id) JOIN c_ssn USING (user_id) JOIN c_card USING (user_id) JOIN c_bio USING (user_id))
+            SELECT * FROM w UNION ALL SELECT concat('again-', user_id), * EXCLUDE (user_id) FROM w WHERE locale = 'fr_FR'""",
         "empty_copy": f'SELECT "table", CAST(0 AS BIGINT) AS n_rows, count(*) AS n_columns FROM ({described()}) GROUP BY 1',
         "schema_diff": """SELECT * FROM (VALUES ('region', NULL, NULL, NULL, 'missing table'),
             ('nation', 0, 'n_nationkey', 'n_name', 'column differs'), ('nation', 1, 'n_name', 'n_nationkey', 'column differs'),
@@ -418,9 +429,8 @@ def oracle_sql() -> dict[str, str]:
         "report_names": contacts_report(),
         "stream_anonymize_names": contacts_masked(),
         "findings_optional_entities": spans(PAYMENTS, "order_key", "note", ["DATE_TIME", "MONEY", "IBAN_CODE"]),
-        "findings_by_language": f"""SELECT lang, entity, count(*) AS n_found FROM ({spans(docs, 'doc_id', 'text',
-            ['EMAIL_ADDRESS', 'PHONE_NUMBER', 'CREDIT_CARD', 'IP_ADDRESS'])}) f JOIN documents d ON d.doc_id = f.doc_id
-            WHERE lang = 'en' OR entity <> 'PHONE_NUMBER' GROUP BY 1, 2""",
+        "findings_by_language": f"""SELECT lang, entity, count(*) AS n_found FROM ({all_docs}) f JOIN documents d ON d.doc_id = f.doc_id
+            WHERE lang = 'en' OR entity NOT IN ('PHONE_NUMBER', 'US_SSN', 'LOCATION') GROUP BY 1, 2""",
         "anonymize_by_language": by_language,
         "written_by_language": by_language,
         "stream_by_language": by_language,
