@@ -24,8 +24,8 @@ from pyspark.sql import types as T
 
 from .common import chunks, text_or_empty, written
 
-#: Words of which a worker keeps the ids; beyond, it starts anew.
-CACHE = 500_000
+#: Words of which a worker keeps the ids. Beyond, those that were not used since the last time are forgotten.
+CACHE = 400_000
 #: Bytes of ASCII letters, digits and white space, and of the code points U+00C0 to U+00FF, which are letters but
 #: for two. In a text of these, commas and full stops only, a mark is a piece of its own unless marks meet.
 LETTERS_AND_BLANKS = bytes(
@@ -60,6 +60,7 @@ class WordEncoder:
         self.model = self.tokenizer.model
         self.symbols = dict(enumerate(byte_symbols()))
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def words(self, text: str) -> list[bytes]:
         data = text.encode()
@@ -83,6 +84,8 @@ class WordEncoder:
     def piece(self, piece: bytes) -> bytes:
         """Ids of a run of lower-case letters or of marks, which normalizing and splitting leave whole."""
         ids = self.known.get(piece)
+        if ids is None and (ids := self.older.get(piece)) is not None:
+            self.known[piece] = ids
         if ids is None:
             symbols = piece.decode() if piece.isascii() else piece.decode("latin-1").translate(self.symbols)
             ids = self.known[piece] = array("i", [token.id for token in self.model.tokenize(symbols)]).tobytes()
@@ -91,11 +94,12 @@ class WordEncoder:
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
         split = [self.words(text) for text in texts]
+        if len(self.known) > CACHE:
+            self.older, self.known = self.known, {}
         new = set().union(*split).difference(self.known)
-        if len(self.known) + len(new) > CACHE:
-            self.known.clear()
-            new = set().union(*split)
-        self.learn(list(new))
+        again = new.intersection(self.older)
+        self.known.update((word, self.older[word]) for word in again)
+        self.learn(list(new.difference(again)))
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
 
