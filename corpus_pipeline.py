@@ -51,7 +51,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = packed(docs)
     _, taken = mix(rows, key="_key")
     turns = taken.where("taken > 0").select("_key", F.ceil(F.col("taken") / F.col("size")).alias("turns"))
-    rows = rows.join(written(turns, "turns"), "_key")
+    # A merge at every size: a few turns would be broadcast, many would not, and the stage would not grow with its input.
+    rows = rows.join(written(turns, "turns").hint("merge"), "_key")
     return rows.select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("turns")))).select("doc.*")
 
 
