@@ -112,14 +112,15 @@ def fit_logistic(
 def learning_rows(
     df: DataFrame, labels: DataFrame, label: str, text: str = "text", key: str = "doc_id", max_rows: int = MAX_ROWS
 ) -> DataFrame:
-    """``_text, label`` of at most ``max_rows`` labelled rows whose crc32(key) mod 5 is not 0. Labels of ids that ``df``
-    does not have take no place."""
+    """``_text, label`` of at most ``max_rows`` labelled rows whose crc32(key) mod 5 is not 0: one for each id, of
+    repeated ids the text of smallest hash. Labels of ids that ``df`` does not have take no place."""
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(key))
     known = known.join(df.select(key), key, "left_semi")
     known = known.groupBy(key).agg(F.max(label).cast("int").alias("label"))
     chosen = known.orderBy(F.xxhash64(key), key).limit(max_rows)
     rows = df.select(F.col(key), text_or_empty(text).alias("_text"))
-    return rows.join(F.broadcast(chosen), key).select("_text", "label")  # max_rows rows at most are broadcast
+    labelled = rows.join(F.broadcast(chosen), key)  # max_rows rows at most are broadcast
+    return labelled.groupBy(key, "label").agg(F.min_by("_text", F.xxhash64("_text")).alias("_text")).select("_text", "label")
 
 
 def held_out(key: str = "doc_id") -> Column:
