@@ -23,6 +23,9 @@ TEXTS = "__texts"
 RESOLVED = "__resolved"
 MASKED = "__masked"
 ERRORS = "__errors"
+#: Tables with so few inspected columns get expressions of their own per column, so that whoever selects one output
+#: column reads one input column. Wider tables share expressions, which keeps their plans small.
+APART = 4
 ERROR_TYPE = "struct<column:string,entity:string,error:string>"
 
 
@@ -84,8 +87,8 @@ def _python_masked(entities: Sql, values: Sql, masks: Mapping[str, Mask | Python
 
 @dataclass(frozen=True)
 class Prepared:
-    """A table with its spans: the input columns plus an array with the spans of every inspected
-    column, in the order of ``inspected``."""
+    """A table with its spans: the input columns plus a column with the spans of every inspected column or, for tables
+    of more than ``APART`` of them, one array of all, in the order of ``inspected``."""
 
     frame: DataFrame
     columns: list[ColumnPlan]
@@ -99,8 +102,12 @@ class Prepared:
     def eligible(self) -> list[ColumnPlan]:
         return [c for c in self.columns if c.eligible]
 
+    @property
+    def apart(self) -> bool:
+        return len(self.inspected) <= APART
+
     def spans(self, index: int) -> Sql:
-        return f"{SPANS}[{index}]"
+        return f"{SPANS}{index}" if self.apart else f"{SPANS}[{index}]"
 
     def entities(self) -> list[str]:
         return sorted({r.entity for c in self.inspected for r in c.recognizers})
@@ -145,10 +152,12 @@ class Prepared:
 
     def _outputs(self) -> list[Column]:
         position = {c.name: i for i, c in enumerate(self.inspected)}
+        python = any(isinstance(m, PythonMask) for m in masks_for(self.policy).values())
+        texts = lambda i: f"{TEXTS}{i}" if self.apart and not python else f"{TEXTS}[{i}]"
 
         def output(c: ColumnPlan) -> Sql:
             if c.name in position:
-                return f"{TEXTS}[{position[c.name]}]"
+                return texts(position[c.name])
             return f"cast({column(c.name)} AS string)" if c.eligible else column(c.name)
 
         return [F.expr(output(c)).alias(c.name) for c in self.columns]
@@ -159,12 +168,17 @@ class Prepared:
             return self.frame
         masks = masks_for(self.policy)
         choose = mask_span(self.policy, masks)
-        texts = f"array({', '.join(f'cast({column(c.name)} AS string)' for c in self.inspected)})"
+        one = lambda c: f"cast({column(c.name)} AS string)"
+        texts = f"array({', '.join(map(one, self.inspected))})"
         if not any(isinstance(m, PythonMask) for m in masks.values()):
-            body = fn(lambda t, s: rewrite(t, resolve_spans(s), lambda span, i: choose(span)))
-            return self.frame.withColumn(TEXTS, F.expr(f"zip_with({texts}, {SPANS}, {body})"))
+            masked = lambda t, s: rewrite(t, resolve_spans(s), lambda span, i: choose(span))
+            if self.apart:
+                own = {f"{TEXTS}{i}": F.expr(masked(one(c), self.spans(i))) for i, c in enumerate(self.inspected)}
+                return self.frame.withColumns(own)
+            return self.frame.withColumn(TEXTS, F.expr(f"zip_with({texts}, {SPANS}, {fn(masked)})"))
         # Python masks run on the resolved values, one Arrow column per inspected column.
-        frame = self.frame.withColumn(RESOLVED, F.expr(each(SPANS, resolve_spans)))
+        spans = f"array({', '.join(map(self.spans, range(len(self.inspected))))})" if self.apart else SPANS
+        frame = self.frame.withColumn(RESOLVED, F.expr(each(spans, resolve_spans)))
         cells = [f"{RESOLVED}[{i}]" for i in range(len(self.inspected))]
         frame = frame.withColumns(
             {
@@ -200,6 +214,12 @@ def prepare_table(
     columns = plan_columns(df.schema, policy, table_policy, by_language=language_column is not None)
     language = column(language_column) if language_column else None
     inspected = [c for c in columns if c.recognizers]
+    if len(inspected) <= APART:
+        own = {
+            f"{SPANS}{i}": F.expr(detect(f"cast({column(c.name)} AS string)", c.recognizers, language))
+            for i, c in enumerate(inspected)
+        }
+        return Prepared(df.withColumns(own) if own else df, columns, policy)
     groups: dict[tuple, list[int]] = {}
     for i, c in enumerate(inspected):
         groups.setdefault(c.recognizers, []).append(i)
@@ -209,8 +229,6 @@ def prepare_table(
         for i in members:
             place[i] = len(place)
         parts.append(each(f"array({texts})", partial(detect, recognizers=recognizers, language=language)))
-    if not parts:
-        return Prepared(df, columns, policy)
     found = f"concat({', '.join(parts)})"
     if list(place.values()) != sorted(place.values()) or list(place) != sorted(place):
         order = ", ".join(str(place[i]) for i in range(len(inspected)))
@@ -226,7 +244,8 @@ def anonymize_table(
 ) -> DataFrame:
     """Every eligible column anonymized and cast to string; all other columns untouched.
 
-    The result is a projection: as many tasks as the scan has splits, no shuffle, no Python.
+    The result is a projection: as many tasks as the scan has splits, no shuffle, no Python. Of tables with at most
+    ``APART`` inspected columns, only the columns are read whose results are selected afterwards.
     """
     if not policy.enabled or (table_policy is not None and not table_policy.enabled):
         return df

@@ -186,3 +186,14 @@ def test_columns_with_other_policies_keep_their_order(spark):
     code = EntityPolicy("CODE", patterns=(Pattern("c", "c@[a-z]"),))
     out = anonymize_table(df, Policy.default().with_entity(code), policy).first()
     assert tuple(out) == ("a@b.com", "c@d.com ", "e@f.com", "<CODE>")
+
+
+def test_selected_outputs_prune_the_scan(spark):
+    from redactory import anonymize_table
+
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    out = anonymize_table(df, Policy.default())
+    plan = lambda *names: out.select(*names)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<lang:string>" in plan("lang") and "ReadSchema: struct<text:string>" in plan("text")
+    assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan("doc_id", "text")
+    assert out.columns == df.columns
