@@ -36,7 +36,7 @@ DEPTH = 5
 #: Levels of the tree above the groups: what shares a context of so many bytes stays together.
 TOP = 3
 #: Strings in a group, about.
-GROUP = 200_000
+GROUP = 50_000
 #: Bytes of text that ask for their values together.
 CHUNK = 32 << 20
 #: Bytes of text of a chunk that are scored together.
