@@ -1,4 +1,8 @@
-"""A training corpus from ``documents``: stages that each call one operator of ``redactory.llm``."""
+"""A training corpus from ``documents``: stages that each call one operator of ``redactory.llm``.
+
+For every stage: null texts are empty, texts of any length are handled whole, ids may be null, repeated or of any type
+that sorts, every row is a document of its own, further columns stay as they are, and an empty table gives an empty one.
+"""
 
 from __future__ import annotations
 
@@ -20,7 +24,8 @@ def packed(docs: DataFrame) -> DataFrame:
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below 0.5 stay, empty ones too."""
+    """Documents that score below 0.5 stay, empty ones too. A score depends on the text alone, so rows of equal texts stay
+    or go together; without labels of both kinds no document goes, unless all labels are toxic."""
     model = fit(learning_rows(docs, table(spark, sf_dir, "labels"), "toxic"))
     name = fresh(docs, "score")
     return score(docs, model, keep=docs.columns, name=name).where(F.col(name) < 0.5).drop(name)
@@ -28,7 +33,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of the documents whose fingerprints of three-word shingles hang together by two differing bits or fewer, the one of
-    smallest id stays; null and repeated ids are ordered as in ``keyed``."""
+    smallest id stays; null and repeated ids are ordered as in ``keyed``. Texts without words are one group."""
     rows = packed(docs)
     found = simhash.near_duplicates(rows, radius=2, words_each=3, key="_key")
     gone = written(found.where("component_id <> _key").select("_key"), "gone")
@@ -36,7 +41,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data give way to the name of their kind in angle brackets; ``n_chars`` follows the new text."""
+    """Personal data give way to the name of their kind in angle brackets; ``n_chars`` follows the new text. Documents
+    without any, null texts among them, stay as they are."""
     rows = packed(docs)
     found = personal_data(rows, keep_columns=("_key",)).where(F.size("spans") > 0).select("_key", "spans")
     rows = rows.join(written(found, "found"), "_key", "left")
