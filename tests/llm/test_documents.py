@@ -131,15 +131,6 @@ def test_labels_of_unknown_ids_take_no_place(spark, documents):
     assert toxicity.learning_rows(documents(rows), known, "toxic", max_rows=200).count() == 200
 
 
-def test_repeated_ids_do_not_pass_the_bound(spark, documents):
-    own = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5][:6]
-    docs = documents([(own[0], f"text {n}") for n in range(300)] + [(i, "words") for i in own[1:]])
-    labels = spark.createDataFrame([(i, 1) for i in own], "doc_id long, toxic int")
-    rows = toxicity.learning_rows(docs, labels, "toxic", max_rows=4)
-    assert rows.columns == ["_text", "label"] and rows.count() == 4
-    assert toxicity.learning_rows(docs, labels, "toxic").count() == 6
-
-
 def test_mentions_of_groups_weigh_less(spark, documents, monkeypatch):
     rows, labels = toxic_rows()
     known = spark.createDataFrame(labels, "doc_id long, toxic int")
