@@ -104,3 +104,24 @@ def test_no_plan_holds_a_named_key(spark):
         anonymize(df, "t", Policy(entities=(entity("unknown"),))).collect()
     with pytest.raises(ValueError):
         masks.encrypt_by_name("a", "b:c")
+
+
+def test_named_keys_reach_executors_without_properties(spark):
+    rows = [("test.held.a", "0123456789abcdef"), ("test.held.b", "fedcba9876543210"), (None, "x")]
+    keys = spark.createDataFrame(rows, "name string, key string")
+    df = masks.with_keys(spark.createDataFrame([(1, "one"), (2, "two"), (3, None)], "id int, t string"), keys)
+    first, second = (masks.encrypt_by_name("test.held", i, keys=masks.KEYS)("t") for i in "ab")
+    df = df.withColumn("e", F.expr(f"CASE WHEN id % 2 = 1 THEN {first} ELSE {second} END"))
+    opened = df.select("id", F.expr(masks.decrypt_by_name("test.held", keys=masks.KEYS)("e")).alias("t"), "e")
+    assert all(key not in opened._jdf.queryExecution().toString() for _, key in rows[:2])
+    got = {r["id"]: (r["t"], r["e"] and r["e"][:2]) for r in opened.collect()}
+    assert got == {1: ("one", "a:"), 2: ("two", "b:"), 3: (None, None)}
+    with pytest.raises(Exception, match="no key named"):
+        df.select(F.expr(masks.encrypt_by_name("test.held", "c", keys=masks.KEYS)("t"))).collect()
+
+
+def test_the_query_on_named_keys_sets_no_property_of_the_driver(spark):
+    from checks.jobs import encrypt_named_key
+
+    encrypt_named_key(spark, "/root/testdata/sf0.001").collect()
+    assert spark._jvm.java.lang.System.getProperty("redactory.check.v1") is None
