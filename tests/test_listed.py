@@ -107,3 +107,12 @@ def test_look_up_agrees_with_the_join(spark):
     joined = lexicon_findings(df, ["id"], "text", lexicon).collect()
     expect = sorted((r["id"], r["entity"], r["start"], r["end"], r["score"], r["value"]) for r in joined)
     assert found(spark, texts, compile_recognizers(policy)) == expect
+
+
+def test_lists_share_the_located_words(spark):
+    lists = {"A": {"Al": 0.9, "Ann": 0.8, "Al Lee": 0.7}, "B": {"Lee": 0.6, "Al": 0.5}, "C": {"1": 1.0}, "D": {"nobody": 0.4}}
+    recognizers = [detect.Recognizer(name, terms=tuple(terms.items())) for name, terms in lists.items()]
+    texts = [t for t in texts_of(3, 80) if len(t.strip()) > 1]
+    assert found(spark, texts, recognizers) == sorted(s for name, terms in lists.items() for s in expected(texts, terms, name))
+    searches = lambda group: detect._listed("t", group).count("split(")
+    assert searches(recognizers) == searches(recognizers[:1])
