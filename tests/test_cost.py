@@ -1,4 +1,4 @@
-"""What a cell costs: bound values are not copied, patterns without a match build nothing."""
+"""What a cell costs: bound values are not copied, patterns without a match build nothing, counters need no Python."""
 
 from pyspark.sql import functions as F
 
@@ -6,6 +6,8 @@ from redactory import Policy
 from redactory.functions.spans import regex_spans, resolve_spans
 from redactory.functions.text import each, let
 from redactory.operators import detect as D
+from redactory.operators.anonymize import prepare_table
+from redactory.operators.report import profile_from_metrics
 
 
 def plan(df) -> str:
@@ -47,3 +49,11 @@ def test_single_spans_are_settled(spark):
     one = "array(named_struct('entity', 'A', 'start', 1, 'end', 3, 'score', 0.5D, 'value', 'bc'))"
     out = spark.range(1).select(F.expr(resolve_spans(one)).alias("s")).first().s
     assert [tuple(s) for s in out] == [("A", 1, 3, 0.5, "bc")]
+
+
+def test_observed_counters_need_no_python(spark):
+    prepared = prepare_table(spark.createDataFrame([("a@b.example",)], "t string"), Policy.default())
+    values = prepared.frame.agg(*prepared.metrics()).first().asDict()
+    profile = profile_from_metrics(spark, "t", prepared, values)
+    assert "LogicalRDD" not in plan(profile)
+    assert [(r["column"], r.n_rows, r.values_anonymized, r.entities) for r in profile.collect()] == [("t", 1, 1, {"EMAIL_ADDRESS": 1})]
