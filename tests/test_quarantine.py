@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 
 from redactory import EntityPolicy, Pattern, Policy, TablePolicy, anonymize_table, register_python_mask
-from redactory.operators.anonymize import anonymize_separated
+from redactory.operators.anonymize import anonymize_separated, guarded_by
 from redactory.operators.model import with_model_spans
 from redactory.policy import PolicyError
 
@@ -77,3 +77,29 @@ def test_model_errors(spark):
     assert [rows[i]["why"] for i in range(5)] == [None, "RuntimeError: model failed", None, None, "RuntimeError: model failed"]
     with pytest.raises(Exception, match="model failed"):
         with_model_spans(df, "my text", load).collect()
+
+
+def test_values_that_fail_are_found_by_few_calls():
+    calls = []
+
+    def body(values: pd.Series) -> pd.Series:
+        calls.append(len(values))
+        return picky(values)
+
+    for every in (1, 2, 3, 10, 100, 5000):
+        calls.clear()
+        texts = ["n13" if i % every == 0 else f"n{i % 10}" for i in range(2000)]
+        found = guarded_by("quarantine")(body, pd.Series(texts, index=range(7, 2007)))
+        assert list(found.index) == list(range(7, 2007))
+        assert list(found) == [(None, "ValueError: unlucky") if t == "n13" else ("n#", None) for t in texts]
+        assert len(calls) <= (2100 if every < 10 else 1500 if every == 10 else 400)
+
+
+def test_masks_that_number_their_results_anew_are_not_mixed_up():
+    def again(values: pd.Series) -> pd.Series:
+        if len(values) > 1 and (values == "x").any():
+            raise ValueError("together")
+        return pd.Series([v.upper() for v in values])
+
+    found = guarded_by("keep")(again, pd.Series(list("abcxef"), index=[9, 8, 7, 6, 5, 4]))
+    assert list(found) == [(c, None) for c in "ABCXEF"]
