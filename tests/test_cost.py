@@ -1,8 +1,11 @@
 """What a cell costs: bound values are not copied, patterns without a match build nothing, counters need no Python."""
 
+import re
+
 from pyspark.sql import functions as F
 
-from redactory import Policy
+from redactory import Pattern, Policy
+from redactory.functions.regexes import required_shape
 from redactory.functions.spans import regex_spans, resolve_spans
 from redactory.functions.text import each, let
 from redactory.operators import detect as D
@@ -57,3 +60,21 @@ def test_observed_counters_need_no_python(spark):
     profile = profile_from_metrics(spark, "t", prepared, values)
     assert "LogicalRDD" not in plan(profile)
     assert [(r["column"], r.n_rows, r.values_anonymized, r.entities) for r in profile.collect()] == [("t", 1, 1, {"EMAIL_ADDRESS": 1})]
+
+
+def test_texts_without_the_shape_of_a_pattern_are_not_searched(spark):
+    assert [required_shape(r) for r in (r"\d{3}-\d{2}-\d{4}", r"\d+\s[A-Z]", r"\d{1,3}(?:\.\d{1,3}){3}", "[0-4][5-9]{2}")] == [
+        "000-00-0000", "0 ", "0.0", "000",
+    ]
+    assert [required_shape(r) for r in (r"a\d?-\d?b", r"(?:12|3)4", r"[0-9&&[^3]]--", r"(?U)\d\d", r"\p{Nd}--", r"[\s.-]\d")] == [None] * 6
+    assert "contains(" in plan(spark.createDataFrame([("1",)], "t string").select(F.expr(D.detect("t", D.compile_recognizers(Policy.default())))))
+    rx = (r"\d{3}-\d{2}-\d{4}", r"\d+\s[A-Z]", r"\d{1,3}(?:\.\d{1,3}){2}", r"[0-9]{2}(?:ab)?[0-9]", r"\d(?:-\d){2,9}", r"\d{2,}?-[\t ]x")
+    group = [D.Recognizer(f"E{i}", (Pattern("p", r, 0.9),)) for i, r in enumerate(rx)]
+    texts = ["123-45-6789", "7\tX 7\nY 7\u00a0Z", "1.2.3 10.20.30", "12ab3 123", "1-2-3-4", "99-\tx 1- x", "\u0661\u0662-3", "", None, "1 2 3"]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    found = frame.select("i", F.expr(f"inline({D.detect('t', group)})")).collect()
+    want = {
+        (i, f"E{n}", m.start(), m.end())
+        for i, t in enumerate(texts) for n, r in enumerate(rx) for m in re.finditer(r, t or "", re.ASCII)
+    }
+    assert {(r.i, r.entity, r.start, r.end) for r in found} == want and want
