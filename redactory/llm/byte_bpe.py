@@ -166,6 +166,11 @@ class Codec:
                 self.known[stretch] = (",".join(ids), "".join(decoded))
         return [[self.known[part] for part in parts] for parts in cut]
 
+    def forget(self) -> None:
+        """Let go of the tokens that are kept, so that a worker that waits for its next task does not hold them."""
+        self.known, self.older = {}, {}
+        pa.default_memory_pool().release_unused()
+
     def recall(self, parts: set[str]) -> set[str]:
         """Make parts known that were known before; returns the others."""
         new = parts.difference(self.known)
@@ -245,12 +250,16 @@ def encode_bytes(df: DataFrame, path: str, pattern: str, text: str = "text", key
 
     Ids are those of the ``tiktoken`` library for the rank file at ``path`` without special tokens; ``decoded``
     are the bytes of those ids. A null or empty text has no ids and no bytes. Keys may be null or repeated;
-    other columns are not looked at. No shuffle. The file must lie at ``path`` on every executor.
+    other columns are not looked at. No shuffle. The file must lie at ``path`` on every executor. What a worker remembers of
+    words ends with its task: in a job of several stages the others need that memory.
     """
 
     def run(texts: Iterator[list[str]]) -> Iterator[list[list]]:
-        for ids, n, decoded in encoded_texts(texts, path, pattern):
-            yield [[np.array(i.split(","), np.int32) if i else [] for i in ids], n, decoded]
+        try:
+            for ids, n, decoded in encoded_texts(texts, path, pattern):
+                yield [[np.array(i.split(","), np.int32) if i else [] for i in ids], n, decoded]
+        finally:
+            codec(path, pattern).forget()
 
     return map_texts(df, [key], text, run, "token_ids array<int>, n_tokens long, decoded binary", TEXT_BYTES)
 

@@ -130,3 +130,15 @@ def test_empty_tables(spark, documents):
     assert token_files.token_index(spark, folder).count() == 0
     assert token_counts.count_tokens(none, JSON, P.PATTERN, 9).count() == 0
     assert byte_bpe.encode_bytes(none, RANKS, P.PATTERN).count() == 0
+
+
+def test_words_are_not_remembered_after_the_task(monkeypatch):
+    made = []
+    monkeypatch.setattr(byte_bpe, "map_texts", lambda df, keep, text, run, *rest: made.append(run))
+    byte_bpe.encode_bytes(None, RANKS, P.PATTERN)
+    batches = [["The one, l'été zyxwv", ""], ["zyxwv abcab"]]
+    found = [list(map(int, ids)) for batch in made[0](iter(batches)) for ids in batch[0]]
+    library = tiktoken.Encoding("r", pat_str=P.PATTERN, mergeable_ranks=byte_bpe.codec(RANKS, P.PATTERN).ranks, special_tokens={})
+    assert found == [library.encode_ordinary(text) for batch in batches for text in batch]
+    code = byte_bpe.codec(RANKS, P.PATTERN)
+    assert not code.known and not code.older
