@@ -1,9 +1,9 @@
 """Byte-level BPE by recursive queries, run by DuckDB inside the tasks.
 
-A task collects the distinct pre-tokens of its texts. Those that it has not met yet become rows (word,
-position, token), one per byte; a recursive query joins neighbouring tokens with the merge table and contracts
-each word's leftmost pair of minimum rank, until no word has a known pair. Decoding joins the tokens with the
-vocabulary and aggregates their bytes in the order of positions.
+A task collects the distinct pre-tokens of its texts. Those that it has not met yet become rows with the list of
+their bytes' tokens; a recursive query contracts each word's leftmost pair of minimum rank and joins the pairs of the
+new token with the merge table, until no word has a known pair. Decoding joins the tokens with the vocabulary and
+puts their bytes together in the order of positions.
 """
 
 from __future__ import annotations
@@ -17,59 +17,54 @@ from collections.abc import Iterator
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
 from .common import map_texts
 from .token_counts import UNUSUAL
 
-#: Pre-tokens, and stretches of several, of which a worker keeps tokens and decoded text. Beyond, those that were not
-#: used since the last time are forgotten.
+#: Pre-tokens of which a worker keeps tokens and decoded text. Beyond, those that were not used since the last time are
+#: forgotten.
 CACHE = 250_000
 #: Bytes of text that are encoded together.
 TEXT_BYTES = 2 << 20
 #: Words that one recursive query contracts together.
 WORDS_AT_ONCE = 20_000
 #: A contraction per step takes as many steps as a word has bytes. Words beyond this length are contracted in
-#: the same order (minimum rank, then leftmost) on a heap. Positions take 8 bits of a code, so 255 at most.
+#: the same order (minimum rank, then leftmost) on a heap.
 LONG = 200
 
-BLANK_BY_SPACE = regex.compile(r" \s|\s ")
 LETTER_OR_NUMBER = regex.compile(r"[\p{L}\p{N}]")
 
-#: Every row knows its right neighbour. code = rank of the pair that it begins, its position, the neighbour's
-#: position; so the minimum of a word is its leftmost pair of minimum rank and names the row that goes (gone).
-ENCODE = """
-WITH RECURSIVE step(word, pos, tok, next_pos, next_tok, code, done) AS (
-    SELECT b.word, b.pos, b.tok, b.next_pos, b.next_tok, (m.rank << 16) | (b.pos << 8) | b.next_pos, false
-    FROM byte_rows b LEFT JOIN merges m ON m.pair = b.pair
+#: A rank that no pair has: of pairs that are no token, and of the edges of a word. Like every rank it takes 21 bits of a pair.
+NONE = 1 << 20
+
+#: Every row is a word: its tokens, with NONE before and behind, and the ranks of its pairs. A step contracts the leftmost
+#: pair of minimum rank, the first place of the minimum, and looks up the two pairs that the new token forms.
+ENCODE = f"""
+WITH RECURSIVE step(word, toks, ranks, best) AS (
+    SELECT word, toks, ranks, list_min(ranks) FROM starts
   UNION ALL
-    SELECT word, pos, tok, next_pos, next_tok,
-           CASE WHEN pair IS NULL THEN code ELSE (m.rank << 16) | (pos << 8) | next_pos END, best IS NULL
+    SELECT word, toks, ranks, list_min(ranks)
     FROM (
-        SELECT s.word, s.pos, s.code, best,
-               CASE WHEN s.code = best THEN best >> 16 ELSE s.tok END AS tok,
-               CASE WHEN s.code = best THEN gone.next_pos ELSE s.next_pos END AS next_pos,
-               CASE WHEN s.code = best THEN gone.next_tok
-                    WHEN s.next_pos = ((best >> 8) & 255) THEN best >> 16 ELSE s.next_tok END AS next_tok,
-               CASE WHEN s.code = best THEN ((best >> 16) << 20) | gone.next_tok
-                    WHEN s.next_pos = ((best >> 8) & 255) THEN (s.tok << 20) | (best >> 16) END AS pair
-        FROM step s
-        JOIN (SELECT word, min(code) AS best FROM step WHERE NOT done GROUP BY word) USING (word)
-        LEFT JOIN step gone ON s.code = best AND gone.word = s.word AND gone.pos = s.next_pos
-        WHERE NOT s.done AND (best IS NULL OR s.pos <> (best & 255))
-    ) LEFT JOIN merges m USING (pair)
+        SELECT word,
+               list_concat(list_slice(toks, 1, spot - 1), [best], list_slice(toks, spot + 2, len(toks))) AS toks,
+               list_concat(list_slice(ranks, 1, spot - 2), [coalesce(l.rank, {NONE}), coalesce(r.rank, {NONE})],
+                           list_slice(ranks, spot + 2, len(ranks))) AS ranks,
+               best
+        FROM (SELECT word, toks, ranks, best, list_position(ranks, best) AS spot FROM step WHERE best < {NONE})
+        LEFT JOIN merges l ON l.pair = (toks[spot - 1]::BIGINT << 21 | best)
+        LEFT JOIN merges r ON r.pair = (best::BIGINT << 21 | toks[spot + 2])
+    )
 )
-SELECT word, pos, tok FROM step WHERE done
+SELECT word, list_slice(toks, 2, len(toks) - 1) AS toks FROM step WHERE best = {NONE}
 """
 
 DECODE = """
-SELECT word, array_to_string(list_transform(parts, lambda p: p.tok), ',') AS ids,
-       unhex(array_to_string(list_transform(parts, lambda p: p.hex), '')) AS bytes
-FROM (
-    SELECT word, list({'tok': tok, 'hex': hex} ORDER BY pos) AS parts
-    FROM tokens t JOIN vocabulary v ON v.id = t.tok GROUP BY word
-)
+SELECT word, pos, tok, bytes
+FROM (SELECT word, unnest(toks) AS tok, generate_subscripts(toks, 1) AS pos FROM tokens) JOIN vocabulary ON id = tok
+ORDER BY word, pos
 """
 
 
@@ -82,22 +77,23 @@ class Codec:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
         if max(self.ranks.values()) >= 1 << 20 or any(bytes([b]) not in self.ranks for b in range(256)):
             raise ValueError("ranks below 2^20 and all single bytes are needed")
-        self.start = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
-        self.bytes_of = {rank: token for token, rank in self.ranks.items()}
+        self.start = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
+        pairs = [self.ranks.get(bytes([a, b]), NONE) for a in range(256) for b in range(256)]
+        self.start_ranks = np.array(pairs, np.int32).reshape(256, 256)
         self.pattern = regex.compile(pattern)
         self.known: dict[str, tuple[str, str]] = {}
         self.older: dict[str, tuple[str, str]] = {}
         self.duck = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
         splits = [
-            (self.ranks[token[:i]] << 20 | self.ranks[token[i:]], rank)
+            (self.ranks[token[:i]] << 21 | self.ranks[token[i:]], rank)
             for token, rank in self.ranks.items()
             for i in range(1, len(token))
             if token[:i] in self.ranks and token[i:] in self.ranks
         ]
-        self._table("merges", pair=[p for p, _ in splits], rank=[r for _, r in splits])
-        self._table("vocabulary", id=list(self.bytes_of), hex=[t.hex() for t in self.bytes_of.values()])
+        self._table("merges", pair=pa.array([p for p, _ in splits], pa.int64()), rank=pa.array([r for _, r in splits], pa.int32()))
+        self._table("vocabulary", id=pa.array(self.ranks.values(), pa.int32()), bytes=pa.array(self.ranks, pa.binary()))
 
-    def _table(self, name: str, **columns: list) -> None:
+    def _table(self, name: str, **columns: pa.Array) -> None:
         self.duck.register("incoming", pa.table(columns))
         self.duck.execute(f"CREATE TABLE {name} AS SELECT * FROM incoming")
         self.duck.unregister("incoming")
@@ -107,64 +103,61 @@ class Codec:
         for at in range(0, len(words), WORDS_AT_ONCE):
             part = words[at : at + WORDS_AT_ONCE]
             encoded = [word.encode() for word in part]
-            whole = [(i, 0, self.ranks[b]) for i, b in enumerate(encoded) if b in self.ranks]
-            long = [
-                (i, pos, tok)
-                for i, b in enumerate(encoded)
-                if len(b) > LONG and b not in self.ranks
-                for pos, tok in enumerate(contract_long(b, self.ranks))
-            ]
-            rest = [i for i, b in enumerate(encoded) if len(b) <= LONG and b not in self.ranks]
-            lengths = np.array([len(encoded[i]) for i in rest], np.int64)
-            ends = np.cumsum(lengths)
-            joined = np.frombuffer(b"".join(encoded[i] for i in rest), np.uint8)
-            toks = self.start[joined]
-            next_toks = np.append(toks[1:], -1)[: len(toks)]
-            next_toks[ends - 1] = -1
-            pos = np.arange(len(joined)) - np.repeat(ends - lengths, lengths)
-            rows = pa.table(
-                {
-                    "word": np.repeat(np.array(rest, np.int64), lengths),
-                    "pos": pos,
-                    "tok": toks,
-                    "next_pos": pos + 1,
-                    "next_tok": next_toks,
-                    "pair": np.where(next_toks < 0, -1, toks << 20 | next_toks),
-                }
+            direct, rest = [], []
+            for i, b in enumerate(encoded):
+                if b in self.ranks:
+                    direct.append((i, [self.ranks[b]]))
+                elif len(b) > LONG:
+                    direct.append((i, contract_long(b, self.ranks)))
+                else:
+                    rest.append(i)
+            others = pa.table(
+                {"word": pa.array([i for i, _ in direct], pa.int32()), "toks": pa.array([t for _, t in direct], pa.list_(pa.int32()))}
             )
-            direct = np.array(whole + long, np.int64).reshape(-1, 3)
-            others = pa.table({name: direct[:, i] for i, name in enumerate(("word", "pos", "tok"))})
-            self.duck.register("byte_rows", rows)
-            tokens = self.duck.sql(ENCODE).to_arrow_table() if len(joined) else others.slice(0, 0)
-            self.duck.register("tokens", pa.concat_tables([tokens.cast(others.schema), others]))
-            for number, ids, decoded in self.duck.execute(DECODE).fetchall():
-                word, decoded = part[number], decoded.decode()
-                self.known[word] = (ids, word if decoded == word else decoded)  # one string instead of two equal ones
-            self.duck.unregister("byte_rows")
+            if rest:
+                self.duck.register("starts", self.starts(rest, [encoded[i] for i in rest]))
+                others = pa.concat_tables([others, self.duck.sql(ENCODE).to_arrow_table().cast(others.schema)])
+                self.duck.unregister("starts")
+            self.duck.register("tokens", others)
+            found = self.duck.sql(DECODE).to_arrow_table().combine_chunks()
             self.duck.unregister("tokens")
-
-    def cut(self, text: str) -> list[str]:
-        """Stretches of the text that are split into pre-tokens independently of what surrounds them: a blank
-        between characters that are not white space always begins a pre-token."""
-        if BLANK_BY_SPACE.search(text) or UNUSUAL.search(text):
-            return self.words(text)
-        first, *rest = text.split(" ")
-        stretches = [" " + part for part in rest]
-        return [first, *stretches] if first else stretches
+            # Rows come word by word, so a word's tokens begin where its first position is.
+            first = np.flatnonzero(found["pos"].to_numpy() == 1)
+            ends = pa.array(np.append(first, found.num_rows).astype(np.int32))
+            texts = [found["tok"].cast(pa.string()).chunk(0), found["bytes"].chunk(0)]
+            ids, decoded = (pa.ListArray.from_arrays(ends, values) for values in texts)
+            joined = pc.binary_join(ids, ",").to_pylist(), pc.binary_join(decoded, b"").to_pylist()
+            for number, own, back in zip(found["word"].to_numpy()[first].tolist(), *joined):
+                word = part[number]  # one string instead of two equal ones
+                self.known[word] = (own, word if back == encoded[number] else back.decode())
+
+    def starts(self, numbers: list[int], words: list[bytes]) -> pa.Table:
+        """Words as tokens of one byte each, with the ranks of their pairs."""
+        lengths = np.array([len(word) for word in words], np.int64)
+        ends = np.cumsum(lengths)
+        joined = np.frombuffer(b"".join(words), np.uint8)
+        before = np.repeat(np.arange(len(words)), lengths)  # how many words are complete before each byte
+        at = np.arange(len(joined))
+        toks = np.full(len(joined) + 2 * len(words), NONE, np.int32)
+        toks[at + 2 * before + 1] = self.start[joined]
+        pairs = self.start_ranks[joined[:-1], joined[1:]]
+        pairs[ends[:-1] - 1] = NONE
+        ranks = np.full(len(joined) + len(words), NONE, np.int32)
+        ranks[(at + before + 1)[:-1]] = pairs
+        lists = {"toks": (toks, 2), "ranks": (ranks, 1)}
+        columns = {
+            name: pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lengths + more)).astype(np.int32)), pa.array(values))
+            for name, (values, more) in lists.items()
+        }
+        return pa.table({"word": pa.array(numbers, pa.int32()), **columns})
 
     def read(self, texts: list[str]) -> list[list[tuple[str, str]]]:
-        """For each text, ids (joined by commas) and decoded text of its stretches, in order."""
+        """For each text, ids (joined by commas) and decoded text of its pre-tokens, in order."""
         if len(self.known) > CACHE:
             self.older, self.known = self.known, {}
-        cut = [self.cut(text) for text in texts]
-        missing = self.recall(set().union(*cut))
-        words = {stretch: self.words(stretch) for stretch in missing}
-        self.learn(sorted(self.recall(set().union(*words.values()))))
-        for stretch, own in words.items():
-            if len(own) > 1:
-                ids, decoded = zip(*map(self.known.__getitem__, own))
-                self.known[stretch] = (",".join(ids), "".join(decoded))
-        return [[self.known[part] for part in parts] for parts in cut]
+        cut = [self.words(text) for text in texts]
+        self.learn(sorted(self.recall(set().union(*cut))))
+        return [list(map(self.known.__getitem__, words)) for words in cut]
 
     def forget(self) -> None:
         """Let go of the tokens that are kept, so that a worker that waits for its next task does not hold them."""

@@ -142,3 +142,18 @@ def test_words_are_not_remembered_after_the_task(monkeypatch):
     assert found == [library.encode_ordinary(text) for batch in batches for text in batch]
     code = byte_bpe.codec(RANKS, P.PATTERN)
     assert not code.known and not code.older
+
+
+def test_byte_bpe_words_are_rows():
+    """The recursive query carries one row per word, and what is remembered are pre-tokens alone."""
+    code = byte_bpe.Codec(RANKS, P.PATTERN)
+    rows = code.starts([3, 5], [b"abc", b"xy"])
+    assert rows["word"].to_pylist() == [3, 5]
+    rank = lambda pair: code.ranks.get(pair, byte_bpe.NONE)
+    edge, one = byte_bpe.NONE, lambda word: [code.ranks[bytes([b])] for b in word]
+    assert rows["toks"].to_pylist() == [[edge, *one(b"abc"), edge], [edge, *one(b"xy"), edge]]
+    assert rows["ranks"].to_pylist() == [[edge, rank(b"ab"), rank(b"bc"), edge], [edge, rank(b"xy"), edge]]
+    code.read(["onely, twoish. onely,", "", "onely"])
+    assert set(code.known) == {"onely", ",", " twoish", ".", " onely"}
+    code.learn(["'.."])
+    assert code.known["'.."] == (f"{code.ranks[b"'"]},{code.ranks[b'..']}", "'..")  # the edge forms no pair
