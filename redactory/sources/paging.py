@@ -116,8 +116,7 @@ class PageIndex:
         for row in held:
             a, b = first - row["rows_before"], last - row["rows_before"]
             within = within | ((F.col("__range") == row["__range"]) & (F.col("__row") >= a) & (F.col("__row") < b))
-        found = self.rows().where(F.col("__range").isin([row["__range"] for row in held]) & within)
-        return found.orderBy("__range", "__row").drop("__range", "__row")
+        return self.rows().where(within).orderBy("__range", "__row").drop("__range", "__row")
 
     def with_pages(self, size: int) -> DataFrame:
         """All rows with ``page`` and ``row_in_page``; the index, one row per range, is broadcast."""
